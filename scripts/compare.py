@@ -11,6 +11,7 @@ import decimal
 import math
 import sys
 import time
+import traceback
 from collections import Counter
 from pathlib import Path
 
@@ -58,6 +59,7 @@ def main() -> int:
             took = time.time() - start
         except Exception as exc:
             print(f"FAIL  {name}: {str(exc)[:1500]}", flush=True)
+            traceback.print_exc(limit=-6)
             bad += 1
             continue
         if name not in ORACLES:

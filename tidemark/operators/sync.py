@@ -100,10 +100,10 @@ def upsert_plan(source: DataFrame, target: DataFrame, keys: Sequence[str],
               .when(F.col(f"_t.{record_id}").isNull(), CREATE)
               .when(_changed(fields, source_types, target_types), UPDATE)
               .otherwise(SKIP))
-    matched = both.select(
-        action.alias("action"), F.col(f"_t.{record_id}").alias(record_id),
-        F.col(f"_s.{source_order}").alias(source_order),
-        *[F.col(f"_s.`{c}`").alias(c) for c in fields])
+    # The fields pass through without an alias: each alias beside an expression over
+    # all fields doubles the constraints the optimizer derives from that expression.
+    matched = both.select(action.alias("action"), F.col(f"_t.{record_id}"),
+                          F.col(f"_s.{source_order}"), *[F.col(f"_s.`{c}`") for c in fields])
     none_id = F.lit(None).cast(target_types[record_id]).alias(record_id)
     again = later.select(F.lit(CREATE).alias("action"), none_id, source_order,
                          *[F.col(f"`{c}`") for c in fields])
@@ -131,8 +131,8 @@ def apply_plan(target: DataFrame, plan: DataFrame, prune: bool = False, dedupe:
     existing = plan.filter(F.col(record_id).isNotNull()).alias("_p")
     joined = target.alias("_t").join(
         existing, F.col(f"_t.{record_id}") == F.col(f"_p.{record_id}"), "left")
-    alive = joined.filter(~F.coalesce(F.col("_p.action"), F.lit(SKIP)).isin(removed)) \
-        if removed else joined
+    if removed:
+        joined = joined.filter(~F.coalesce(F.col("_p.action"), F.lit(SKIP)).isin(removed))
 
     def settled(name: str) -> Column:
         old = F.col(f"_t.`{name}`")
@@ -141,10 +141,10 @@ def apply_plan(target: DataFrame, plan: DataFrame, prune: bool = False, dedupe:
         new = F.col(f"_p.`{name}`").cast(types[name])
         return F.when(F.col("_p.action") == UPDATE, F.coalesce(new, old)).otherwise(old)
 
-    stay = alive.select(*[
+    stay = joined.select(*[
         (F.col(f"_t.{c}") if c in (record_id, seq) else settled(c)).alias(c)
         for c in target.columns])
-    created = plan.filter(F.col("action") == CREATE)
+    created = plan.filter(F.col(record_id).isNull())
 
     def fresh(name: str) -> Column:
         if name == record_id:

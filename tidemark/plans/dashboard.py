@@ -115,7 +115,8 @@ def sync_records(records: DataFrame, target: DataFrame, keys: Sequence[str],
         target, schema = create_missing(target, schema, add_numbers)
     dropped = dropped_fields(records, schema, [source_order])
     fitted = fit_to_sink(records, schema, exclude, [source_order])
-    plan = upsert_plan(fitted, target, keys, source_order)
+    # stored: applying and counting read the decisions, they do not make them again
+    plan = stored(upsert_plan(fitted, target, keys, source_order), "plan")
     return SyncResult(plan, apply_plan(target, plan, prune, dedupe, run_id, source_order),
                       sync_stats(plan, prune, dedupe), tuple(dropped))
 

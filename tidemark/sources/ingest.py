@@ -50,7 +50,7 @@ def plain_path(col: Column) -> Column:
 
 def sniff(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Per file: (path, html, header).  Bodies stay on the executors."""
-    body = F.decode(F.col("content"), F.lit("UTF-8"))
+    body = F.decode(F.col("content"), "UTF-8")
     first = F.regexp_replace(F.split(body, r"\r\n|\n|\r", 2)[0], r"^\x{FEFF}", "")
     return spark.read.format("binaryFile").load(list(paths)).select(
         plain_path(F.col("path")).alias("path"), is_html(body).alias("html"),
