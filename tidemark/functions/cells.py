@@ -17,6 +17,12 @@ _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 INTEGER_TEXT = rf"^[+-]?{_DIGITS}$"
 FLOAT_TEXT = (rf"(?i)^[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
               r"|nan|inf|infinity)$")
+SLASH_DATE = r"^[0-9]{1,2}/[0-9]{1,2}/(?:[0-9]{2}|[0-9]{4})$"
+
+
+_FLOAT_BODY = FLOAT_TEXT.removeprefix("(?i)^").removesuffix("$")
+PERCENT_TEXT = rf"(?i)^\s*{_FLOAT_BODY}\s*%$"
+DOLLAR_TEXT = rf"(?i)^\$\s*{_FLOAT_BODY}$"
 
 
 def _double(text: Column) -> Column:
@@ -33,17 +39,13 @@ def coerce_cell(col: Column) -> Column:
     is filled, the one ``kind`` names.
     """
     text = squash(col.cast("string"))
-    bare = F.replace(text, F.lit(","), F.lit(""))
-    percent = F.when(text.endswith("%"), _double(F.left(text, F.length(text) - 1)) / 100.0)
-    dollars = F.when(text.startswith("$"), _double(F.substring(text, 2, 2147483647)))
-    whole = F.when(bare.rlike(INTEGER_TEXT),
-                   F.replace(bare, F.lit("_"), F.lit("")).try_cast("bigint"))
-    number = _double(text)
+    bare = F.translate(text, ",", "")
+    digits = F.translate(text, ",_$% \t", "")
+    number, whole = digits.try_cast("double"), digits.try_cast("bigint")
     day = F.coalesce(
         dates.shaped_date(text, dates.SLASH_LONG_YEAR, "M/d/yyyy"),
         dates.shaped_date(text, dates.SLASH_LONG_YEAR, "d/M/yyyy"),
-        dates.short_year_date(text),
-    )
+        dates.short_year_date(text))
 
     def cell(kind: str, **value: Column) -> Column:
         fields = {"long_value": "bigint", "double_value": "double",
@@ -53,11 +55,12 @@ def coerce_cell(col: Column) -> Column:
             for name, dtype in fields.items()])
 
     return (F.when(text.isNull() | (text == ""), cell("blank"))
-            .when(percent.isNotNull(), cell("percent", double_value=percent))
-            .when(dollars.isNotNull(), cell("currency", double_value=dollars))
-            .when(whole.isNotNull(), cell("integer", long_value=whole))
-            .when(number.isNotNull(), cell("number", double_value=number))
-            .when(day.isNotNull(), cell("date", iso_date=F.date_format(day, "yyyy-MM-dd")))
+            .when(bare.rlike(PERCENT_TEXT), cell("percent", double_value=number / 100.0))
+            .when(bare.rlike(DOLLAR_TEXT), cell("currency", double_value=number))
+            .when(bare.rlike(INTEGER_TEXT) & whole.isNotNull(), cell("integer", long_value=whole))
+            .when(bare.rlike(FLOAT_TEXT), cell("number", double_value=number))
+            .when(text.rlike(SLASH_DATE) & day.isNotNull(),
+                  cell("date", iso_date=F.date_format(day, "yyyy-MM-dd")))
             .otherwise(cell("text", text_value=text)))
 
 

@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Fixed value: the characters that count as white space at the ends of a text.
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+               "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def squash(col: Column) -> Column:
     """Strip every kind of white space at both ends."""
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def blank_to_null(col: Column) -> Column:

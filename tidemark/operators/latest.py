@@ -32,10 +32,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                    tie_break: Sequence[str] | None = None, ascending: bool = False) -> DataFrame:
     """The newest (or, ascending, the oldest) row of each key; NULL keys form one key.
 
-    ``tie_break`` columns sort in the same direction as ``order_by``; the row
-    fingerprint settles what is still equal, so the result never depends on
-    the order in which rows arrive.
+    ``tie_break`` columns sort in the same direction as ``order_by`` and must
+    tell equally new rows of a key apart.  Without them the row fingerprint does,
+    so the result never depends on the order in which rows arrive; it reads every
+    column, which named columns avoid.
     """
     names = [*order_by, *(tie_break or [])]
     order = [F.col(c).asc() if ascending else F.col(c).desc() for c in names]
-    return first_ranked(df, keys, [*order, row_fingerprint(df)], 1)
+    last = [] if tie_break else [row_fingerprint(df)]
+    return first_ranked(df, keys, [*order, *last], 1)

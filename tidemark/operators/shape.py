@@ -18,13 +18,13 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     have = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for field in schema.fields:
-        if field.name not in have:
-            out.append(F.lit(None).cast(field.dataType).alias(field.name))
-        elif have[field.name] == field.dataType:
-            out.append(F.col(f"`{field.name}`"))
+        name, kind = f"`{field.name}`", field.dataType.simpleString()
+        if have.get(field.name) == field.dataType:
+            out.append(name)
         else:
-            out.append(F.col(f"`{field.name}`").cast(field.dataType).alias(field.name))
-    return df.select(*out)
+            value = name if field.name in have else "NULL"
+            out.append(f"CAST({value} AS {kind}) AS {name}")
+    return df.selectExpr(*out)
 
 
 def aligned_union(dfs: Sequence[DataFrame], schema: T.StructType) -> DataFrame:

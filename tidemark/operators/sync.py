@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cells import SinkField
-from ..functions.text import plain_text
+from ..functions.text import plain_text, squash
 from .latest import first_ranked
 
 _KEY = "_sync_key"
@@ -35,8 +35,8 @@ def sync_key(df: DataFrame, keys: Sequence[str]) -> Column:
     parts = []
     for i, name in enumerate(keys):
         text = plain_text(F.col(f"`{name}`"), types[name]) if name in types else F.lit(None)
-        text = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"^\s+|\s+$", "")
-        parts.append(F.lower(text).alias(f"k{i}"))
+        text = F.coalesce(text.cast("string"), F.lit(""))
+        parts.append(F.lower(squash(text)).alias(f"k{i}"))
     return F.struct(*parts)
 
 
@@ -59,13 +59,17 @@ def _changed(fields: Sequence[str], source_types: dict, target_types: dict) -> C
     tests = []
     for name in fields:
         s = F.col(f"_s.`{name}`")
-        new = F.regexp_replace(plain_text(s, source_types[name]), r"^\s+|\s+$", "")
-        if name in target_types:
-            t = plain_text(F.col(f"_t.`{name}`"), target_types[name])
-            old = F.regexp_replace(t, r"^\s+|\s+$", "")
+        t = F.col(f"_t.`{name}`")
+        if name not in target_types:
+            tests.append(s.isNotNull())
+        elif source_types[name] == target_types[name] and \
+                isinstance(source_types[name], (T.IntegralType, T.DateType)):
+            # one type with one text form per value: no need to write it out
+            tests.append(s.isNotNull() & ~s.eqNullSafe(t))
         else:
-            old = F.lit(None).cast("string")
-        tests.append(s.isNotNull() & ~new.eqNullSafe(old))
+            new = squash(plain_text(s, source_types[name]))
+            old = squash(plain_text(t, target_types[name]))
+            tests.append(s.isNotNull() & ~new.eqNullSafe(old))
     return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
 
 
@@ -182,15 +186,16 @@ def duplicate_diff(target: DataFrame, keys: Sequence[str], seq: str = "seq",
     somewhere are listed.  Identical copies are folded before they travel to
     their kept record, and what remains of a hot key is split by AQE.
     """
-    kept, extra = split_duplicates(target, keys, seq, record_id)
+    _need(target, [seq, record_id], "target")
     fields = [c for c in target.columns if c not in (record_id, seq, *ignore)]
     types = {f.name: f.dataType for f in target.schema.fields}
-    folded = (extra.withColumn(_KEY, sync_key(extra, keys))
-              .groupBy(_KEY, *[F.col(f"`{c}`") for c in fields])
-              .agg(F.count("*").alias("_copies"), F.min(seq).alias("_first")))
-    keyed = kept.withColumn(_KEY, sync_key(kept, keys)).select(
+    keyed = target.withColumn(_KEY, sync_key(target, keys))
+    kept = first_ranked(keyed, [_KEY], [F.col(seq).desc(), F.col(record_id).desc()], 1).select(
         _KEY, *[F.col(f"`{c}`") for c in fields])
-    pairs = folded.alias("_c").join(keyed.alias("_k"), F.col(f"_c.{_KEY}") == F.col(f"_k.{_KEY}"))
+    # the kept record is among the copies too; it differs from itself in nothing
+    folded = (keyed.groupBy(_KEY, *[F.col(f"`{c}`") for c in fields])
+              .agg(F.count("*").alias("_copies"), F.min(seq).alias("_first")))
+    pairs = folded.alias("_c").join(kept.alias("_k"), F.col(f"_c.{_KEY}") == F.col(f"_k.{_KEY}"))
     diffs = F.array(*[
         F.when(~F.col(f"_c.`{c}`").eqNullSafe(F.col(f"_k.`{c}`")), F.struct(
             F.lit(c).alias("field"),

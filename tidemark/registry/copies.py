@@ -233,7 +233,8 @@ def sink_of(df: DataFrame) -> list[SinkField]:
 
 
 def _two_runs(name: str, first: DataFrame, run) -> DataFrame:
-    """Sync into a nearly empty copy, then again: the second run must change nothing."""
+    """Sync into an empty copy, then again: what has a key of its own is skipped the
+    second time; a record that repeats a key is created again, as syncs by key do."""
     one = run(first, "first")
     snapshot = stored(one.snapshot, "snapshot")
     seq = F.coalesce(F.col("seq"), F.lit(0)).alias("seq")

@@ -33,7 +33,7 @@ SELECT CASE WHEN o_custkey % 40 <> 0 THEN 'Mail ' || o_custkey END AS email_name
          AS amount_raised,
        max({sql_cents('o_totalprice')}) / 100.0::DOUBLE AS avg_contribution_amount,
        (max(o_orderkey) % 7) / 100.0::DOUBLE AS conversion_rate,
-       max(o_orderpriority) AS recipient_list, min(o_orderstatus) AS excluded_list
+       chr(max(ascii(o_orderpriority))) AS recipient_list, chr(min(ascii(o_orderstatus))) AS excluded_list
 FROM orders GROUP BY CASE WHEN o_custkey % 40 <> 0 THEN 'Mail ' || o_custkey END, o_orderdate"""
 
 
@@ -53,8 +53,8 @@ def emails(spark, d):
         F.when(first % 3 != 0, F.sum(cents("o_totalprice")) / 100.0).alias("amount_raised"),
         (F.max(cents("o_totalprice")) / 100.0).alias("avg_contribution_amount"),
         (last % 7 / 100.0).alias("conversion_rate"),
-        F.max("o_orderpriority").alias("recipient_list"),
-        F.min("o_orderstatus").alias("excluded_list"),
+        F.char(F.max(F.ascii("o_orderpriority"))).alias("recipient_list"),
+        F.char(F.min(F.ascii("o_orderstatus"))).alias("excluded_list"),
     ).withColumns({
         "_import_timestamp": F.col("o_orderdate"),
         "_source_filename": F.concat(F.lit("Email_"), F.date_format(day, "yyyyMMdd"), F.lit(".csv")),
@@ -68,10 +68,10 @@ SELECT 'Form ' || l_suppkey AS form_name, l_shipdate AS _import_timestamp,
        CASE WHEN min(l_orderkey) % 13 <> 0 THEN strftime(l_shipdate, '%Y-%m-%d') END AS last_submission_date,
        CAST(count(*) AS DOUBLE) AS number_of_submissions,
        CAST(sum(CAST(round(l_quantity) AS BIGINT)) AS DOUBLE) AS number_of_views,
-       max(l_returnflag) AS form_type, max(l_linestatus) AS form_status,
+       chr(max(ascii(l_returnflag))) AS form_type, chr(max(ascii(l_linestatus))) AS form_status,
        (min(l_orderkey) % 100) / 100.0::DOUBLE AS conversion_rate,
-       CASE WHEN max(l_returnflag) <> 'N' THEN CAST(sum(l_linenumber) AS DOUBLE) END AS number_of_contributions,
-       CASE WHEN max(l_returnflag) <> 'R' THEN CAST(sum({sql_cents('l_extendedprice')}) AS BIGINT) / 100.0::DOUBLE END
+       CASE WHEN chr(max(ascii(l_returnflag))) <> 'N' THEN CAST(sum(l_linenumber) AS DOUBLE) END AS number_of_contributions,
+       CASE WHEN chr(max(ascii(l_returnflag))) <> 'R' THEN CAST(sum({sql_cents('l_extendedprice')}) AS BIGINT) / 100.0::DOUBLE END
          AS total_contribution_amount,
        max({sql_cents('l_extendedprice')}) / 100.0::DOUBLE AS average_contribution_amount,
        CAST(count(*) % 3 AS DOUBLE) AS number_of_recurring_commitments,
@@ -83,15 +83,17 @@ def forms(spark, d):
     day = F.col("l_shipdate").cast("date")
     first, n = F.min("l_orderkey"), F.count("*")
     price = cents("l_extendedprice")
+    # numbers, not strings, inside the aggregate keep it a hash aggregate
+    flag = F.char(F.max(F.ascii("l_returnflag")))
     return table(spark, d, "lineitem").groupBy("l_suppkey", "l_shipdate").agg(
         F.when(first % 13 != 0, F.date_format(day, "yyyy-MM-dd")).alias("last_submission_date"),
         n.cast("double").alias("number_of_submissions"),
         F.sum(F.round("l_quantity").cast("bigint")).cast("double").alias("number_of_views"),
-        F.max("l_returnflag").alias("form_type"), F.max("l_linestatus").alias("form_status"),
+        flag.alias("form_type"), F.char(F.max(F.ascii("l_linestatus"))).alias("form_status"),
         (first % 100 / 100.0).alias("conversion_rate"),
-        F.when(F.max("l_returnflag") != "N", F.sum("l_linenumber").cast("double"))
+        F.when(flag != "N", F.sum("l_linenumber").cast("double"))
         .alias("number_of_contributions"),
-        F.when(F.max("l_returnflag") != "R", F.sum(price) / 100.0)
+        F.when(flag != "R", F.sum(price) / 100.0)
         .alias("total_contribution_amount"),
         (F.max(price) / 100.0).alias("average_contribution_amount"),
         (n % 3).cast("double").alias("number_of_recurring_commitments"),

@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # no call-site capture per column expression; it makes wide plans slow to build
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

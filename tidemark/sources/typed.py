@@ -93,13 +93,17 @@ def infer_types(df: DataFrame, sample: int | None = None,
 
 
 def _shape(value: Column) -> Column:
-    """Aggregate: the narrowest type all non-NULL values fit."""
+    """Aggregate: the type all non-NULL values fit.
+
+    No text has two of the shapes, so each value is given one and the column
+    has a type when all its values agree.
+    """
     bare = F.replace(value, F.lit(","), F.lit(""))
-    return (F.when(F.count(value) == 0, "string")
-            .when(F.every(bare.rlike(NUMBER_SHAPE)), "double")
-            .when(F.every(value.rlike(STAMP_SHAPE)), "timestamp")
-            .when(F.every(value.rlike(DAY_SHAPE)), "date")
-            .otherwise("string"))
+    kind = F.when(value.isNotNull(), F.when(bare.rlike(NUMBER_SHAPE), 1)
+                  .when(value.rlike(DAY_SHAPE), 2).when(value.rlike(STAMP_SHAPE), 3).otherwise(0))
+    low, high = F.min(kind), F.max(kind)
+    return (F.when(low.isNull() | (low != high) | (low == 0), "string")
+            .when(low == 1, "double").when(low == 2, "date").otherwise("timestamp"))
 
 
 def inferred(df: DataFrame, sample: int | None = None,
