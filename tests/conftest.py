@@ -10,7 +10,7 @@ from tidemark.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", 4, **{
+    session = build_session("tests", "local[8]", 2, **{
         "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false",
         "spark.sql.files.maxPartitionBytes": "1m"})
     session.sparkContext.setLogLevel("ERROR")

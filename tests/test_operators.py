@@ -124,10 +124,10 @@ def test_zone_date(frame):
 
 
 def test_real_loads(frame):
-    df = frame([(None, "Daily_Full_L_1.csv"), (0, "a.csv"), (1, "a.csv"), (2, "Daily_Full_L_1.csv"),
+    df = frame([(None, "Daily_List_1.csv"), (0, "a.csv"), (1, "a.csv"), (2, "Daily_List_1.csv"),
                 (2, "daily_full_list_20260821_101112.csv"), (9, None)],
                "record_count int, _source_filename string")
-    assert rows_of(real_loads(df)) == [(2, "Daily_Full_L_1.csv")]
+    assert rows_of(real_loads(df)) == [(2, "Daily_List_1.csv")]
 
 
 # --- value counts ---------------------------------------------------------

@@ -67,7 +67,7 @@ LIST = ("report_date date, record_count bigint, subscription_status_counts strin
 def lists(frame):
     day = D(2026, 3, 20)
 
-    def row(n, counts, load, at, file="Daily_Full_L_1.csv"):
+    def row(n, counts, load, at, file="Daily_List_1.csv"):
         return (day, n, counts, TS(2026, 3, 21, load), file, f"2026-03-20T{at}:00:00+00:00")
     return {"list_one": frame([
         row(10, '{"Subscribed": 6, "Unsubscribed": 1}', 1, "06"), row(20, '{"Subscribed": 9}', 2, "06"),

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .latest import _RANK
-from pyspark.sql import Window
 
 
 def _is_exact(dtype: T.DataType) -> bool:
@@ -89,17 +88,12 @@ def breakdown(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> D
             .groupBy(*by, "field", "value").agg(F.count("*").alias("n")))
 
 
-def counts_json(value: Column, n: Column) -> Column:
-    """Aggregate (value, n) pairs to a JSON object with sorted keys.
+def daily_summary(df: DataFrame, fields: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """One row per load: record count and one ``<field>_counts`` JSON per field.
 
-    Holds one entry per distinct value: for columns of category kind.
+    The JSON has sorted keys and one entry per distinct value of the field, so
+    the fields should be categories.
     """
-    entries = F.array_sort(F.collect_list(F.struct(value, n)))
-    return F.to_json(F.map_from_entries(entries))
-
-
-def daily_summary(df: DataFrame, fields: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """One row per load: record count and one ``<field>_counts`` JSON per field."""
     present = [f for f in fields if f in df.columns]
     counted = df.groupBy(*by).agg(F.count("*").alias("record_count"))
     if not present:

@@ -192,16 +192,18 @@ def fill_rate(df: DataFrame, by: Sequence[str] = (),
 
 # Rank error of the sketch is below 1/ACCURACY; the bracket is four times as wide.
 _ACCURACY = 20000
+_BINS = 4096
 
 
 def numeric_profile(df: DataFrame, by: Sequence[str],
                     fields: Sequence[str] | None = None) -> DataFrame:
     """Minimum, exact upper median, maximum and count per field and group.
 
-    The upper median is element floor(n/2) of the sorted values.  It is found
-    without sorting a group in one task: a sketch brackets the median, values
-    outside the bracket are only counted, and the few distinct values inside it
-    are ranked.  A bracket that missed would raise, never give a wrong value.
+    The upper median is element floor(n/2) of the sorted values.  No group is
+    sorted in one task: a sketch brackets the median, the bracket is cut into
+    equal bins, rows are counted per bin, and only the distinct values of the
+    bin that holds the median are ranked.  All counts are exact and bins keep
+    the order of the values, so the sketch steers the work and not the result.
     """
     names = list(fields) if fields else [
         f.name for f in df.schema.fields
@@ -220,23 +222,37 @@ def numeric_profile(df: DataFrame, by: Sequence[str],
                .filter(F.col("value").isNotNull())
                .groupBy(*by, "field", "value").agg(F.count("*").alias("_c")))
     keys = [*by, "field"]
-    same = [F.col(f"v.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     low, high = F.col("s.cut")[0], F.col("s.cut")[1]
-    side = F.when(F.col("v.value") < low, -1).when(F.col("v.value") > high, 1).otherwise(0)
-    placed = (counted.alias("v").join(stats.alias("s"), same)
+    value = F.col("v.value")
+    inside = F.least(F.floor((value - low) / (high - low) * _BINS), F.lit(_BINS - 1))
+    # -1: below the bracket; _BINS: above it
+    place = (F.when(value < low, -1).when(value > high, _BINS)
+             .when((high > low) & (high - low < F.lit(float("inf"))), inside)
+             .otherwise(0).cast("int"))
+    placed = (counted.alias("v").join(stats.alias("s"), _same("v", "s", keys))
               .select(*[F.col(f"s.{k}").alias(k) for k in keys], "s.min", "s.max", "s.n",
-                      side.alias("_side"),
-                      F.when(side == 0, F.col("v.value")).alias("_value"), "v._c")
-              .groupBy(*keys, "min", "max", "n", "_side", "_value")
-              .agg(F.sum("_c").alias("_c")))
-    w = Window.partitionBy(*keys).orderBy("_side", "_value")
-    upto = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    target = F.floor(F.col("n") / 2) + 1
-    found = placed.withColumn("_upto", upto).filter(
-        (F.col("_upto") >= target) & (F.col("_upto") - F.col("_c") < target))
-    median = F.when(F.col("_side") == 0, F.col("_value")).otherwise(
-        F.raise_error(F.lit("median outside its bracket")).cast("double"))
-    return found.select(*by, "field", "min", median.alias("median"), "max", "n")
+                      place.alias("_bin"), value.alias("_value"), "v._c"))
+
+    def holding_target(rows: DataFrame, order: str, before: Column) -> DataFrame:
+        """Per key, the row in whose range of ranks the median lies."""
+        w = Window.partitionBy(*keys).orderBy(order)
+        upto = before + F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))
+        target = F.floor(F.col("n") / 2) + 1
+        return rows.withColumn("_upto", upto).filter(
+            (F.col("_upto") >= target) & (F.col("_upto") - F.col("_c") < target))
+
+    bins = placed.groupBy(*keys, "n", "_bin").agg(F.sum("_c").alias("_c"))
+    chosen = holding_target(bins, "_bin", F.lit(0)).select(
+        *keys, "_bin", (F.col("_upto") - F.col("_c")).alias("_before"))
+    finalists = placed.alias("p").join(
+        chosen.alias("b"), _same("p", "b", [*keys, "_bin"])).select("p.*", "b._before")
+    found = holding_target(finalists, "_value", F.col("_before"))
+    return found.select(*by, "field", "min", F.col("_value").alias("median"), "max", "n")
+
+
+def _same(left: str, right: str, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [
+        F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
 def metric_coverage(df: DataFrame, words: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -130,7 +130,7 @@ def list_reports(spark, d):
         loaded = rows.groupBy(*keys).agg(F.max("ts").alias("_import_timestamp"))
         file = F.when(F.dayofmonth("day") == 5,
                       F.concat(F.lit("list_"), F.date_format("day", "yyyyMMdd"), F.lit("_120000.csv"))) \
-            .otherwise(F.concat(F.lit("Daily_Full_L_"), F.date_format("day", "yyyyMMdd"), F.lit(".csv")))
+            .otherwise(F.concat(F.lit("Daily_List_"), F.date_format("day", "yyyyMMdd"), F.lit(".csv")))
         received = F.concat(F.date_format("day", "yyyy-MM-dd"),
                             F.when(F.col("half"), "T18:00:00+00:00").otherwise("T06:00:00+00:00"))
         out[name] = summary.join(loaded, keys).withColumns(
