@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS the
 local cores.  Each query runs once to warm up and then BENCH_RUNS times (default
-3); its number is the median.  All columns are computed, nothing is collected.
+2); its number is the median.  All columns are computed, nothing is collected.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tidemark.session import build_session  # noqa: E402
 HEADLINE = [
     "latest_per_key", "latest_per_key_ties", "dedup_left_join", "topn_other", "breakdown_365d",
     "weighted_rate", "safe_ratio", "aligned_union", "campaign_marts", "social_posts",
-    "cross_channel", "mapped_dashboard", "daily_totals", "coverage_ranges", "value_runs",
+    "cross_channel", "daily_totals", "coverage_ranges", "value_runs",
     "key_duplicates", "mark_duplicates", "duplicate_days", "numeric_profile", "fill_rate",
     "reconcile", "mixed_date_parse", "cell_coercion", "quarantine", "html_links",
     "header_and_types", "upsert_plan", "apply_plan", "duplicate_diff",
@@ -36,7 +36,7 @@ def run(df) -> None:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 8)
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session("bench", f"local[{cpus}]", int(cpus), **{
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),

@@ -21,8 +21,7 @@ def squash(col: Column) -> Column:
 
 
 def blank_to_null(col: Column) -> Column:
-    trimmed = squash(col)
-    return F.when(trimmed != "", trimmed)
+    return F.nullif(squash(col), F.lit(""))
 
 
 def clip(col: Column, n: int) -> Column:

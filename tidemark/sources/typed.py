@@ -84,8 +84,9 @@ def infer_types(df: DataFrame, sample: int | None = None,
             F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
         return names.join(seen, "column", "left").select(
             "column", F.coalesce("type", F.lit("string")).alias("type"))
-    wide = df.agg(*[_shape(blank_to_null(F.col(f"`{c}`"))).alias(f"_t{i}")
-                    for i, c in enumerate(cols)])
+    # trimmed in a projection of their own, so that each cell is trimmed once
+    wide = trimmed(df.select(*[F.col(f"`{c}`") for c in cols])).agg(*[
+        _shape(F.col(f"`{c}`")).alias(f"_t{i}") for i, c in enumerate(cols)])
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"_t{i}").alias("type"))
         for i, c in enumerate(cols)]))
@@ -112,9 +113,16 @@ def inferred(df: DataFrame, sample: int | None = None,
     return {r["column"]: r["type"] for r in infer_types(df, sample, index_col).collect()}
 
 
+def trimmed(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Text columns without space around them, blank ones NULL."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)} - set(keep)
+    return df.select(*[
+        (blank_to_null(F.col(f"`{c}`")) if c in text else F.col(f"`{c}`")).alias(c)
+        for c in df.columns])
+
+
 def coerced(value: Column, kind: str) -> Column:
-    """Text to a type; NULL when it does not fit.  A trailing % is only dropped."""
-    value = blank_to_null(value)
+    """Trimmed text to a type; NULL when it does not fit.  A trailing % is only dropped."""
     if kind == "double":
         bare = F.regexp_replace(F.regexp_replace(value, "[,$]", ""), "%+$", "")
         return F.when(bare.rlike(FLOAT_TEXT), F.replace(bare, F.lit("_"), F.lit(""))
@@ -133,6 +141,7 @@ def coerce(df: DataFrame, types: Mapping[str, str],
 
     ``rejects`` has (column, value, rows).
     """
+    df = trimmed(df, keep)
     typed = df.select(*[
         (coerced(F.col(f"`{c}`"), types.get(c, "string")) if c not in keep else F.col(f"`{c}`"))
         .alias(c) for c in df.columns])
@@ -142,7 +151,7 @@ def coerce(df: DataFrame, types: Mapping[str, str],
                                    F.lit(0).cast("bigint").alias("rows"))
         return typed, empty
     lost = F.explode(F.array_compact(F.array(*[
-        F.when(blank_to_null(F.col(f"`{c}`")).isNotNull()
+        F.when(F.col(f"`{c}`").isNotNull()
                & coerced(F.col(f"`{c}`"), types[c]).isNull(),
                F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")))
         for c in risky])))
