@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +12,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # no call-site capture per column expression; it makes wide plans slow to build
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+# Only possible before the session starts: no call-site capture per column
+# expression, which makes wide plans slow to build.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None,
@@ -25,7 +25,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None,
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for name, value in {**RUNTIME_SETTINGS, **settings}.items():
+    for name, value in {**START_SETTINGS, **RUNTIME_SETTINGS, **settings}.items():
         builder = builder.config(name, value)
     return prepare(builder.getOrCreate())
 
@@ -33,7 +33,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None,
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for name, value in RUNTIME_SETTINGS.items():
-        if spark.conf.get(name, None) != value:
+        if spark.conf.get(name, None) != value and spark.conf.isModifiable(name):
             spark.conf.set(name, value)
     return spark
 
@@ -41,18 +41,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own; on a cluster a
-    machine-local folder would lose data with the machine.
+    Where that is unset, a folder in the warehouse is named, which executors
+    share as well; a temporary folder of one machine would be lost with it.
     """
     configured = (spark.conf.get("spark.checkpoint.dir", None)
                   or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not configured:
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
