@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, minhash
+from . import chat, minhash, personal, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,13 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_document_fingerprints")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.compare_with_next(table(spark, folder, "documents"))
+
+
+@query("op4_secret_scan")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(table(spark, folder, "documents")))
+
+
+@query("op7_personal_data")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.digests(personal.find_personal_data(table(spark, folder, "documents")))
