@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, minhash, personal, secrets
+from . import chat, licenses, minhash, personal, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_personal_data")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return personal.digests(personal.find_personal_data(table(spark, folder, "documents")))
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents"))
