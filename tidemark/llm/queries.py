@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, licenses, minhash, personal, secrets
+from . import chat, licenses, minhash, personal, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,10 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_license_scan")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = quality.classify(docs.select("doc_id", "text"), table(spark, folder, "labels"))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
