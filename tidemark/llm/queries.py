@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, licenses, minhash, personal, quality, secrets
+from . import chat, licenses, minhash, personal, pieces, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +74,11 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     scored = quality.classify(docs.select("doc_id", "text"), table(spark, folder, "labels"))
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    both = pieces.decode_pieces(pieces.encode_pieces(docs))
+    return both.select("doc_id", "piece_ids", F.size("piece_ids").cast("bigint").alias("n_pieces"),
+                       F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
