@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, minhash, personal, pieces, quality, secrets
+from . import chat, licenses, lines, minhash, personal, pieces, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +82,12 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     both = pieces.decode_pieces(pieces.encode_pieces(docs))
     return both.select("doc_id", "piece_ids", F.size("piece_ids").cast("bigint").alias("n_pieces"),
                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+@query("op2_line_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    done = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    gone = F.aggregate("removed_blocks", F.lit(0).cast("bigint"), lambda a, r: a + r["last"] - r["first"] + 1)
+    return done.select("doc_id", "n_lines", gone.alias("n_removed"), F.array_join(F.transform(
+        "removed_blocks", lambda r: F.concat_ws("-", r["first"].cast("string"), r["last"].cast("string"))), ",").alias("removed"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
