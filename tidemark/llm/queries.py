@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, lines, minhash, personal, pieces, quality, secrets
+from . import chat, leaks, licenses, lines, minhash, personal, pieces, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,7 +56,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_secret_scan")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.digests(secrets.find_secrets(table(spark, folder, "documents")))
+    return secret_scan.digests(secret_scan.find_secrets(table(spark, folder, "documents")))
 
 
 @query("op7_personal_data")
@@ -91,3 +91,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_lines", gone.alias("n_removed"), F.array_join(F.transform(
         "removed_blocks", lambda r: F.concat_ws("-", r["first"].cast("string"), r["last"].cast("string"))), ",").alias("removed"),
         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op8_benchmark_decontamination")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
