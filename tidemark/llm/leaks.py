@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 WIDTH = 8
 LEAST_TOKENS = 3                # shorter items would be found anywhere and are left out
-COVER = 0.5                     # share of an item's windows
+COVER = 0.3                     # share of an item's windows
 SHIFT = 6                       # diagonals up to this far from the fullest one count with it
 BROADCAST_WINDOWS = 1_000_000   # benchmark windows that are broadcast at most; beyond it, a shuffled join
 
-NUMBER, NAME, UNIT, JOINER = "", "", "", ""
+NUMBER, NAME, UNIT, JOINER = "\ue010", "\ue011", "\ue012", "\ue013"     # private characters, taken out of texts first
 UNITS = ("km|m|cm|mm|mi|miles?|feet|ft|inch(?:es)?|kg|g|mg|lbs?|pounds?|tons?|l|ml|litres?|liters?|gallons?|"
          "s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|mph|kmh|watts?|kw|volts?|euros?|"
          "dollars?|cents?|percent|degrees?")
@@ -38,7 +38,7 @@ def tokens(text: Column) -> Column:
     t = F.regexp_replace(t, f"[0-9][0-9{JOINER}]*+", f" {NUMBER}$0 ")
     t = F.regexp_replace(t, f"(?i)({NUMBER}[0-9{JOINER}]*+ {{1,2}})({UNITS}|%)(?![\\p{{L}}])", f"$1{UNIT}$2")
     t = F.regexp_replace(t, f"[$€£](?= ? {NUMBER})", f" {UNIT}$0")
-    return F.filter(F.split(F.lower(t), f"[^\\p{{L}}\\p{{M}}{NUMBER}-{JOINER}0-9%$€£]+"), lambda w: w != "")
+    return F.filter(F.split(F.lower(t), f"(?:[^\\p{{L}}\\p{{M}}{NUMBER}-{JOINER}0-9%$€£]|(?<!{UNIT})[%$€£])++"), lambda w: w != "")
 
 
 def _is_slot(token: Column) -> Column:

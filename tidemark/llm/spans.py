@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MARK, STAND_IN = "", ""     # a mark inside a text is read as the other one: same length, no pattern has either
+MARK, STAND_IN = "\ue000", "\ue001"     # a mark inside a text is read as the other one: same length, no pattern has either
 BLOCK = 256                             # lengths are summed by blocks, so that many matches stay cheap
 CONTEXT = 32
 
