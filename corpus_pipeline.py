@@ -1,8 +1,72 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again.
 
-STAGES = []
-ORACLE_SQL = None
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.  All but the
+last return the columns of ``documents``; the last adds the token ids.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import leaks, lines, pieces, quality, setjoin
+from tidemark.session import stored
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; labels come from the ``labels`` table."""
+    forest = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.score(docs, forest).where("predicted = 1").select(*docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Blocks that stand in an earlier document are cut out; a document of which nothing is left goes.
+
+    ``n_chars`` follows the text where it was cut.
+    """
+    cut = F.size("removed_blocks") > 0
+    done = lines.dedup_lines(docs).where(~cut | (F.trim("text") != ""))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        done = done.withColumn("n_chars", F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return done.select(*docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: that of the smallest id."""
+    return setjoin.keep_one(docs).select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the ``benchmark`` table."""
+    return leaks.without_leaks(docs, _table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with sampled ``piece_ids``, and whether decoding them gives the text back."""
+    both = pieces.decode_pieces(pieces.encode_pieces(docs))
+    return both.select(*docs.columns, "piece_ids", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+STAGES = [
+    ("quality_classifier", good_quality),
+    ("line_dedup", without_repeated_lines),
+    ("ngram_jaccard_join", one_of_near_copies),
+    ("benchmark_decontamination", without_benchmark),
+    ("sentencepiece", as_pieces),
+]
+
+ORACLE_SQL = None       # trees, alignments and sampling are beyond SQL: the tests compare with brute force
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = stored(docs, name)
+    return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, leaks, licenses, lines, minhash, personal, pieces, quality, secret_scan
+from . import chat, leaks, licenses, lines, minhash, personal, pieces, quality, secret_scan, setjoin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_benchmark_decontamination")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
+
+
+@query("op5_ngram_jaccard_join")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return setjoin.similar_components(table(spark, folder, "documents"))
