@@ -16,8 +16,9 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 from tidemark.registry import QUERIES  # noqa: E402
-from tidemark.session import build_session  # noqa: E402
 
 HEADLINE = [
     "latest_per_key", "latest_per_key_ties", "dedup_left_join", "topn_other", "breakdown_365d",
@@ -26,6 +27,8 @@ HEADLINE = [
     "key_duplicates", "mark_duplicates", "duplicate_days", "numeric_profile", "fill_rate",
     "reconcile", "mixed_date_parse", "cell_coercion", "quarantine", "html_links",
     "header_and_types", "upsert_plan", "apply_plan", "duplicate_diff",
+    "sink_writes", "ingest_roundtrip", "summary_ingest", "incremental_ingest", "grid_sync", "social_sync",
+    "dashboard_sync", "web_sync",
 ]
 
 
@@ -38,9 +41,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 8)
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session("bench", f"local[{cpus}]", int(cpus), **{
-        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
-        "spark.ui.showConsoleProgress": "false"})
+    # an ordinary session: the queries bring what they need
+    spark = (SparkSession.builder.appName("bench").master(f"local[{cpus}]")
+             .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
+             .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
+             .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in names:

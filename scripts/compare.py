@@ -44,7 +44,7 @@ def main() -> int:
     args.add_argument("--sf", default="/root/testdata/sf0.01")
     args.add_argument("names", nargs="*")
     opts = args.parse_args()
-    spark = build_session("compare", "local[8]", 8, **{"spark.driver.memory": "12g",
+    spark = build_session("compare", "local[3]", 4, **{"spark.driver.memory": "6g",
                             "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()

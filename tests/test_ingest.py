@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.sources import reports, typed
-from tidemark.sources.ingest import ingest, read_ledger, read_raw, sniff
+from tidemark.sources.ingest import ingest, read_ledger, read_raw
 from tidemark.sources.tables import read_grid
+from tidemark.sources.typed import file_heads, read_csv_report
 from tidemark.streaming.incremental import load_new_files, loaded
 
 from .conftest import rows_of
@@ -160,10 +161,13 @@ def test_coercion_and_rejects(frame):
     assert rows_of(lost) == [("d", "5 May", 1), ("n", "n/a", 1)]
 
 
-def test_sniff_and_grid(spark, tmp_path):
+def test_heads_and_grid(spark, tmp_path):
     a = write(tmp_path, "a.csv", "﻿A,B\r\n1,2\r\n")
-    b = write(tmp_path, "b.csv", "<html>no</html>")
-    assert rows_of(sniff(spark, [a, b])) == sorted([(a, False, "A,B"), (b, True, "<html>no</html>")], key=str)
+    b = write(tmp_path, "b.csv", "\n<html>no</html>")
+    write(tmp_path, "e.csv", "")
+    assert rows_of(file_heads(spark, str(tmp_path)), "path", "head") == sorted([(a, "A,B"), (b, "<html>no</html>")], key=str)
+    with pytest.raises(ValueError, match="different headers"):
+        read_csv_report(spark, [a, write(tmp_path, "other.csv", "B,A\n1,2\n")])
     assert read_grid(spark, a, 1).count() == 1
     with pytest.raises(ValueError, match="empty"):
         read_grid(spark, write(tmp_path, "c.csv", "A,B\n"))

@@ -24,10 +24,6 @@ def recovered_sessions(engaged: Column, rate: Column) -> Column:
     return round_to_long(safe_ratio(engaged, rate))
 
 
-def fallback(*cols: Column) -> Column:
-    return F.coalesce(*cols)
-
-
 def null_as_zero_sum(*cols: Column) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0)) for c in cols])
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .latest import _RANK
+from .latest import _RANK, first_ranked
 
 
 def _is_exact(dtype: T.DataType) -> bool:
@@ -26,10 +26,11 @@ def topn_other(df: DataFrame, group: Sequence[str], type_col: str, value: str, m
     its values.  A real value called ``other`` joins the bucket.  A sum over no
     non-NULL value is NULL.
 
-    No group is ever gathered in one task.  The bucket is the group total minus
-    the kept rows: totals combine on the map side, and the ranking sends at most
-    N rows per group and map task.  Subtraction is exact only for integers and
-    decimals, so other measure types are refused.
+    No group is ever gathered in one task, whatever N is.  The bucket is the group
+    total minus the kept rows: totals combine on the map side, and the rows of each
+    input task are ranked before what is left of them is ranked together.
+    Subtraction is exact only for integers and decimals, so other measure types
+    are refused.  The input is read twice: store it first where it is costly.
     """
     inexact = [c for c in sums if not _is_exact(df.schema[c].dataType)]
     if inexact:
@@ -52,10 +53,9 @@ def topn_other(df: DataFrame, group: Sequence[str], type_col: str, value: str, m
     if n_by_type:
         limits = F.create_map(*[F.lit(x) for x in chain.from_iterable(n_by_type.items())])
         order = [F.col(metric).desc(), F.col(value).asc(), *[F.col(c).desc() for c in sums]]
+        few = first_ranked(rows.filter(capped), keys, order, max(n_by_type.values()))
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        top = (rows.filter(capped).withColumn(_RANK, rank)
-               .filter(F.col(_RANK) <= max(n_by_type.values()))
-               .filter(F.col(_RANK) <= limits[F.col(type_col)]))
+        top = few.withColumn(_RANK, rank).filter(F.col(_RANK) <= limits[F.col(type_col)])
         moves = F.explode(F.array(
             F.struct(F.lit(1).alias("sign"), F.col(value).alias("label")),
             F.struct(F.lit(-1).alias("sign"), F.lit(other).alias("label"))))
@@ -92,18 +92,18 @@ def daily_summary(df: DataFrame, fields: Sequence[str], by: Sequence[str]) -> Da
     """One row per load: record count and one ``<field>_counts`` JSON per field.
 
     The JSON has sorted keys and one entry per distinct value of the field, so
-    the fields should be categories.
+    the fields should be categories.  Each (load, field) builds its text by itself;
+    a load's texts only meet in its row.
     """
     present = [f for f in fields if f in df.columns]
     counted = df.groupBy(*by).agg(F.count("*").alias("record_count"))
     if not present:
         return counted
-    values = breakdown(df, present, by)
-    wide = values.groupBy(*by).agg(*[
-        F.when(F.count_if(F.col("field") == f) > 0,
-               F.to_json(F.map_from_entries(F.array_sort(F.collect_list(
-                   F.when(F.col("field") == f, F.struct("value", "n")))))))
-        .alias(f"{f}_counts") for f in present])
+    entries = F.array_sort(F.collect_list(F.struct("value", "n")))
+    texts = breakdown(df, present, by).groupBy(*by, "field").agg(
+        F.to_json(F.map_from_entries(entries)).alias("_json"))
+    wide = texts.groupBy(*by).agg(*[
+        F.max(F.when(F.col("field") == f, F.col("_json"))).alias(f"{f}_counts") for f in present])
     matched = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
     joined = counted.alias("l").join(wide.alias("r"), matched, "left")
     return joined.select(*[F.col(f"l.{c}").alias(c) for c in by], "record_count",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,10 +17,6 @@ from ..functions.dates import day_literal
 from .latest import latest_per_key
 
 
-def _day(value: date | str | Column) -> Column:
-    return day_literal(value)
-
-
 def present_days(df: DataFrame, date_col: str, by: Sequence[str]) -> DataFrame:
     return (df.select(*by, F.col(date_col).cast("date").alias("day"))
             .filter(F.col("day").isNotNull()).distinct())
@@ -29,7 +26,7 @@ def calendar_days(df: DataFrame, by: Sequence[str], start: date | str | Column,
                   end: date | str | Column) -> DataFrame:
     """Every day from start to end for every source: (by, day)."""
     return df.select(*by).distinct().withColumn(
-        "day", F.explode(F.sequence(_day(start), _day(end))))
+        "day", F.explode(F.sequence(day_literal(start), day_literal(end))))
 
 
 def missing_days(df: DataFrame, date_col: str, by: Sequence[str], start: date | str | Column,
@@ -47,7 +44,7 @@ def missing_ranges(df: DataFrame, date_col: str, by: Sequence[str], start: date
     calendar and the day after it close the ends.  So only present days are
     shuffled, and no calendar is built.
     """
-    first, last = _day(start), _day(end)
+    first, last = day_literal(start), day_literal(end)
     days = present_days(df, date_col, by)
     inside = days.filter(F.col("day").between(first, last))
     edges = days.select(*by).distinct().withColumn("day", F.date_sub(first, 1))
@@ -77,7 +74,7 @@ def range_text(start: str = "range_start", end: str = "range_end", days: str = "
 def coverage(df: DataFrame, date_col: str, by: Sequence[str], start: date | str | Column,
              end: date | str | Column) -> DataFrame:
     """Per source: days present and missing, first and last date, missing ranges as text."""
-    first, last = _day(start), _day(end)
+    first, last = day_literal(start), day_literal(end)
     total = (F.datediff(last, first) + 1).cast("bigint")
     days = present_days(df, date_col, by)
     seen = days.groupBy(*by).agg(
@@ -113,14 +110,31 @@ def delivery_gaps(loaded: DataFrame, delivered: DataFrame, by: Sequence[str],
 
 
 def gap_summary(loaded: DataFrame, delivered: DataFrame, by: Sequence[str],
-                start: date | str | Column, end: date | str | Column, **names: str) -> DataFrame:
-    """Per source: days missing, with and without a delivery, processed but missing."""
-    gaps = delivery_gaps(loaded, delivered, by, start, end, **names)
-    return gaps.groupBy(*by).agg(
-        F.count("*").alias("days_missing"),
-        F.count_if("delivered").alias("missing_with_delivery"),
-        F.count_if(~F.col("delivered")).alias("missing_without_delivery"),
-        F.count_if("processed").alias("processed_but_missing"))
+                start: date | str | Column, end: date | str | Column, loaded_day: str = "day",
+                delivered_day: str = "day", processed: str = "processed") -> DataFrame:
+    """Per source: days missing, with and without a delivery, processed but missing.
+
+    Counts alone need no calendar: missing is the length of the span minus the days
+    present, and only deliveries of days that are not present are counted.
+    """
+    first, last = day_literal(start), day_literal(end)
+    days = present_days(loaded, loaded_day, by)
+    total = (F.datediff(last, first) + 1).cast("bigint")
+    seen = days.groupBy(*by).agg((total - F.count_if(F.col("day").between(first, last))).alias("days_missing"))
+    arrivals = (delivered.select(*by, F.col(delivered_day).cast("date").alias("day"), F.col(processed).alias("_done"))
+                .filter(F.col("day").between(first, last)).groupBy(*by, "day").agg(F.max("_done").alias("_done")))
+    lone = arrivals.alias("a").join(days.alias("d"), _matched("a", "d", [*by, "day"]), "left_anti")
+    counts = lone.groupBy(*by).agg(F.count("*").alias("_with"), F.count_if("_done").alias("_done"))
+    joined = seen.filter(F.col("days_missing") > 0).alias("s").join(counts.alias("c"), _matched("s", "c", by), "left")
+    arrived = F.coalesce(F.col("_with"), F.lit(0))
+    return joined.select(
+        *[F.col(f"s.{c}").alias(c) for c in by], "days_missing", arrived.alias("missing_with_delivery"),
+        (F.col("days_missing") - arrived).alias("missing_without_delivery"),
+        F.coalesce(F.col("c._done"), F.lit(0)).alias("processed_but_missing"))
+
+
+def _matched(left: str, right: str, by: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in by])
 
 
 def value_runs(df: DataFrame, by: Sequence[str], date_col: str, value: str,
@@ -147,16 +161,39 @@ def value_runs(df: DataFrame, by: Sequence[str], date_col: str, value: str,
         F.min("_day").alias("run_start"), F.max("_day").alias("run_end"),
         F.first(value).alias(value), *extras)
     days = (F.datediff("run_end", "run_start") + 1).cast("bigint")
-    return (runs.drop("_run").withColumn("days", days)
-            .withColumn("same_value", F.col("days") > flag_days))
+    return runs.select(*by, "run_start", "run_end", value, days.alias("days"), (days > flag_days).alias("same_value"),
+                       *[c for c in ("loaded_from", "loaded_to", "files", "example_file") if c in runs.columns])
 
 
 def copy_days(copy: DataFrame, date_col: str, by: Sequence[str], start: date | str | Column,
               end: date | str | Column) -> DataFrame:
-    """Days a copy has per source and month, against the calendar: (by, month, have, missing)."""
-    span = calendar_days(copy, by, start, end)
-    have = present_days(copy, date_col, by).withColumn("_have", F.lit(1))
-    return (span.join(have, [*by, "day"], "left")
-            .groupBy(*by, F.date_format("day", "yyyy-MM").alias("month"))
-            .agg(F.count("_have").alias("have"),
-                 F.count_if(F.col("_have").isNull()).alias("missing")))
+    """Days a copy has per source and month, against the calendar: (by, month, have, missing).
+
+    The days of a month inside the span are known, so only months are listed per source.
+    """
+    first, last = day_literal(start), day_literal(end)
+    days = present_days(copy, date_col, by)
+    have = (days.filter(F.col("day").between(first, last))
+            .groupBy(*by, F.trunc("day", "MM").alias("_month")).agg(F.count("*").alias("_have")))
+    months = days.select(*by).distinct().withColumn("_month", F.explode(F.sequence(
+        F.trunc(first, "MM"), F.trunc(last, "MM"), F.expr("interval 1 month"))))
+    joined = months.alias("m").join(have.alias("h"), _matched("m", "h", [*by, "_month"]), "left")
+    month = F.col("m._month")
+    length = F.datediff(F.least(F.last_day(month), last), F.greatest(month, first)) + 1
+    count = F.coalesce(F.col("h._have"), F.lit(0))
+    return joined.select(*[F.col(f"m.{c}").alias(c) for c in by], F.date_format(month, "yyyy-MM").alias("month"),
+                         count.alias("have"), (length - count).cast("bigint").alias("missing"))
+
+
+def copy_report(copy: DataFrame, date_col: str, by: Sequence[str], start: date | str | Column,
+                end: date | str | Column) -> DataFrame:
+    """Per source of a copy: records, days and missing days, first and last day, missing ranges,
+    and days with more than one record."""
+    days = coverage(copy, date_col, by, start, end)
+    sizes = (copy.select(*by, F.col(date_col).cast("date").alias("_on")).filter(F.col("_on").isNotNull())
+             .groupBy(*by, "_on").agg(F.count("*").alias("_n")))
+    records = sizes.groupBy(*by).agg(F.sum("_n").alias("records"), F.count_if(F.col("_n") > 1).alias("repeated_days"),
+                                     F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1)), F.lit(0)).alias("extra_records"))
+    joined = days.alias("d").join(records.alias("r"), _matched("d", "r", by))
+    return joined.select(*[F.col(f"d.{c}").alias(c) for c in by], "days_present", "days_missing", "first_date",
+                         "last_date", "missing_ranges", "records", "repeated_days", "extra_records")

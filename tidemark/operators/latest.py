@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _RANK = "_rank_in_key"
+_TASK = "_input_task"
 
 
 def row_fingerprint(df: DataFrame) -> Column:
@@ -20,10 +21,15 @@ def row_fingerprint(df: DataFrame) -> Column:
 def first_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first n rows of each key.
 
-    Spark puts a WindowGroupLimit below the shuffle, so every map task sends at
-    most n rows of a key: a key that holds a third of the table costs no more
-    than any other.
+    A single row per key: Spark limits each key below the shuffle, so every map
+    task sends one row of it.  More rows: each input task's share of a key is ranked by
+    itself first, whatever n is, and only its first n rows are ranked together;
+    a key that holds a third of the table is never gathered.
     """
+    if n > 1:
+        df = df.withColumn(_TASK, F.spark_partition_id())
+        own = F.row_number().over(Window.partitionBy(*keys, _TASK).orderBy(*order))
+        df = df.withColumn(_RANK, own).filter(F.col(_RANK) <= n).drop(_RANK, _TASK)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn(_RANK, rank).filter(F.col(_RANK) <= n).drop(_RANK)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import signed_percent
+from ..session import stored
 
 _TIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -54,11 +56,12 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 # --- duplicates -----------------------------------------------------------
 
-def key_duplicates(df: DataFrame, keys: Sequence[str], top: int | None = 50) -> DataFrame:
-    """Keys that occur more than once, largest first."""
+def key_duplicates(df: DataFrame, keys: Sequence[str], top: int | None = None) -> DataFrame:
+    """Keys that occur more than once; with ``top`` only the largest, in order."""
     groups = df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    ordered = groups.orderBy(F.col("n").desc(), *[F.col(k).asc_nulls_first() for k in keys])
-    return ordered.limit(top) if top else groups
+    if top is None:
+        return groups
+    return groups.orderBy(F.col("n").desc(), *[F.col(k).asc_nulls_first() for k in keys]).limit(top)
 
 
 def key_duplicate_summary(df: DataFrame, keys: Sequence[str],
@@ -193,6 +196,7 @@ def fill_rate(df: DataFrame, by: Sequence[str] = (),
 # Rank error of the sketch is below 1/ACCURACY; the bracket is four times as wide.
 _ACCURACY = 20000
 _BINS = 4096
+_BROADCAST_BOUNDS = 10_000          # (group, field) rows that are broadcast at most
 
 
 def numeric_profile(df: DataFrame, by: Sequence[str],
@@ -204,11 +208,17 @@ def numeric_profile(df: DataFrame, by: Sequence[str],
     equal bins, rows are counted per bin, and only the distinct values of the
     bin that holds the median are ranked.  All counts are exact and bins keep
     the order of the values, so the sketch steers the work and not the result.
+
+    Whole numbers stay whole where all fields are; else values are doubles.
+    The counts of distinct values are stored, as they are read twice; the few rows of
+    bounds are broadcast up to a checked number and joined by key beyond it.
     """
     names = list(fields) if fields else [
         f.name for f in df.schema.fields
         if isinstance(f.dataType, T.NumericType) and f.name not in by]
-    values = df.select(*by, *[F.col(f"`{f}`").cast("double").alias(f) for f in names])
+    kinds = [df.schema[f].dataType for f in names]
+    kind = "bigint" if all(isinstance(k, T.IntegralType) for k in kinds) else "double"
+    values = df.select(*by, *[F.col(f"`{f}`").cast(kind).alias(f) for f in names])
     width = 4.0 / _ACCURACY
     wide = values.groupBy(*by).agg(*[agg for f in names for agg in (
         F.min(f).alias(f"{f}_min"), F.max(f).alias(f"{f}_max"), F.count(f).alias(f"{f}_n"),
@@ -218,18 +228,28 @@ def numeric_profile(df: DataFrame, by: Sequence[str],
 
     pairs = F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in names]))
-    counted = (values.select(*by, pairs.alias("_p")).select(*by, "_p.*")
-               .filter(F.col("value").isNotNull())
-               .groupBy(*by, "field", "value").agg(F.count("*").alias("_c")))
+    counted = stored(values.select(*by, pairs.alias("_p")).select(*by, "_p.*")
+                     .filter(F.col("value").isNotNull())
+                     .groupBy(*by, "field", "value").agg(F.count("*").alias("_c")), "counted")
+    stats = stored(stats, "bounds")
+    few = stats.count() <= _BROADCAST_BOUNDS
     keys = [*by, "field"]
+
+    def small(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if few else rows
+
+    def finite(c: Column) -> Column:
+        """Half the value, infinities as the largest double: differences stay finite."""
+        return F.greatest(F.least(c.cast("double"), F.lit(sys.float_info.max)), F.lit(-sys.float_info.max)) / 2
+
     low, high = F.col("s.cut")[0], F.col("s.cut")[1]
     value = F.col("v.value")
-    inside = F.least(F.floor((value - low) / (high - low) * _BINS), F.lit(_BINS - 1))
+    share = (finite(value) - finite(low)) / (finite(high) - finite(low))
+    inside = F.least(F.floor(share * _BINS), F.lit(_BINS - 1))
     # -1: below the bracket; _BINS: above it
     place = (F.when(value < low, -1).when(value > high, _BINS)
-             .when((high > low) & (high - low < F.lit(float("inf"))), inside)
-             .otherwise(0).cast("int"))
-    placed = (counted.alias("v").join(stats.alias("s"), _same("v", "s", keys))
+             .when(finite(high) > finite(low), inside).otherwise(0).cast("int"))
+    placed = (counted.alias("v").join(small(stats).alias("s"), _same("v", "s", keys))
               .select(*[F.col(f"s.{k}").alias(k) for k in keys], "s.min", "s.max", "s.n",
                       place.alias("_bin"), value.alias("_value"), "v._c"))
 
@@ -245,7 +265,7 @@ def numeric_profile(df: DataFrame, by: Sequence[str],
     chosen = holding_target(bins, "_bin", F.lit(0)).select(
         *keys, "_bin", (F.col("_upto") - F.col("_c")).alias("_before"))
     finalists = placed.alias("p").join(
-        chosen.alias("b"), _same("p", "b", [*keys, "_bin"])).select("p.*", "b._before")
+        small(chosen).alias("b"), _same("p", "b", [*keys, "_bin"])).select("p.*", "b._before")
     found = holding_target(finalists, "_value", F.col("_before"))
     return found.select(*by, "field", "min", F.col("_value").alias("median"), "max", "n")
 
@@ -271,8 +291,9 @@ def metric_coverage(df: DataFrame, words: Sequence[str], by: Sequence[str] = ())
 def value_counts(df: DataFrame, cols: Sequence[str], top: int | None = None) -> DataFrame:
     """Most common values first."""
     counted = df.groupBy(*cols).agg(F.count("*").alias("n"))
-    ordered = counted.orderBy(F.col("n").desc(), *[F.col(c).asc_nulls_first() for c in cols])
-    return ordered.limit(top) if top else counted
+    if top is None:
+        return counted
+    return counted.orderBy(F.col("n").desc(), *[F.col(c).asc_nulls_first() for c in cols]).limit(top)
 
 
 def month_counts(df: DataFrame, date_col: str, by: Sequence[str] = ()) -> DataFrame:
@@ -326,6 +347,28 @@ def found_column_profile(tables: Mapping[str, DataFrame], pattern: str,
     return reduce(lambda a, b: a.unionByName(b), [one(n, c) for n, c in found.items()])
 
 
+def found_column_samples(tables: Mapping[str, DataFrame], pattern: str, date_columns: Sequence[str] = (),
+                         n: int = 5) -> DataFrame:
+    """The newest rows behind :func:`found_column_profile`, as (table, position, day, values).
+
+    ``values`` is JSON of the matched columns; equally new rows are ordered by them.
+    Tables without a date column have no newest rows and are left out.
+    """
+    def one(name: str, cols: list[str]) -> DataFrame | None:
+        df = tables[name]
+        dated = next((c for c in date_columns if c in df.columns), None)
+        if dated is None:
+            return None
+        rows = df.select(F.col(dated).cast("date").alias("day"), *[F.col(f"`{c}`") for c in cols])
+        order = [F.col("day").desc_nulls_last(), *[F.col(f"`{c}`").desc() for c in cols]]
+        newest = rows.orderBy(*order).limit(n)
+        place = F.row_number().over(Window.partitionBy(F.lit(name)).orderBy(*order))
+        return newest.select(F.lit(name).alias("table"), place.cast("bigint").alias("position"), "day",
+                             F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("values"))
+    found = [one(name, cols) for name, cols in find_columns(tables, pattern).items()]
+    return reduce(lambda a, b: a.unionByName(b), [f for f in found if f is not None])
+
+
 def newest_rows(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
     """The n newest rows by the business date (or the given columns)."""
     picked = business_date(df)

@@ -46,6 +46,14 @@ def rolling_window(df: DataFrame, date_col: str, days: int, as_of: date | str |
     return out.limit(limit) if limit else out
 
 
+def ordered_scan(df: DataFrame, order_by: Sequence[Column], limit: int | None = None) -> DataFrame:
+    """The whole table in order, or its first rows; an empty table is an error."""
+    if df.isEmpty():
+        raise ValueError("the table is empty")
+    out = df.orderBy(*order_by)
+    return out.limit(limit) if limit else out
+
+
 def zone_date(instant: Column, zone: str) -> Column:
     """Calendar date of an instant in a time zone, e.g. the ``as_of`` of a site."""
     return F.from_utc_timestamp(instant, zone).cast("date")

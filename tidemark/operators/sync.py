@@ -16,9 +16,8 @@ from pyspark.sql import types as T
 
 from ..functions.cells import SinkField
 from ..functions.text import plain_text, squash
-from .latest import first_ranked
 
-_KEY = "_sync_key"
+_KEY, _WINS, _ALONE = "_sync_key", "_wins", "_alone"
 CREATE, UPDATE, SKIP = "create", "update", "skip"
 STALE, DUPLICATE = "stale", "duplicate"
 
@@ -44,14 +43,20 @@ def split_duplicates(target: DataFrame, keys: Sequence[str], seq: str = "seq",
                      record_id: str = "id") -> tuple[DataFrame, DataFrame]:
     """(kept, extra): the last record of each key in fetch order, and all others.
 
-    The others are found by an anti-join on the unique id, so a key with very
-    many copies is spread over all tasks.
+    A key's winner is a map-side combined maximum; every record is then told by a join on
+    its key, of which AQE splits a hot one.
     """
     _need(target, [seq, record_id], "target")
-    kept = first_ranked(target.withColumn(_KEY, sync_key(target, keys)), [_KEY],
-                        [F.col(seq).desc(), F.col(record_id).desc()], 1)
-    extra = target.join(kept.select(record_id), record_id, "left_anti")
-    return kept.drop(_KEY), extra
+    marked = _with_winner(target.withColumn(_KEY, sync_key(target, keys)),
+                          F.max(F.struct(F.col(seq), F.col(record_id))), F.struct(F.col(seq), F.col(record_id)))
+    rows = marked.drop(_KEY)
+    return rows.filter(_WINS).drop(_WINS), rows.filter(~F.col(_WINS)).drop(_WINS)
+
+
+def _with_winner(keyed: DataFrame, best: Column, own: Column) -> DataFrame:
+    """Rows with a mark on the one of each key that an aggregate picks."""
+    winners = keyed.groupBy(_KEY).agg(best.alias("_best"))
+    return keyed.join(winners, _KEY).withColumn(_WINS, own == F.col("_best")).drop("_best")
 
 
 def _changed(fields: Sequence[str], source_types: dict, target_types: dict) -> Column:
@@ -83,8 +88,9 @@ def upsert_plan(source: DataFrame, target: DataFrame, keys: Sequence[str],
     that occurs again in the source has used up its match: later records are
     creates.  A NULL in the source never counts as a change.
 
-    First records and kept records are unique per key, so the join on the key
-    has no skew; later records and extra copies are found on unique columns.
+    Source and target are each read twice: for the winner of every key, and for all rows.
+    One full join then meets first records with kept records; a later record and an extra
+    copy have a join key of their own, so they meet nothing and no key is hot.
     """
     _need(source, [source_order], "source")
     _need(target, [seq, record_id], "target")
@@ -92,30 +98,26 @@ def upsert_plan(source: DataFrame, target: DataFrame, keys: Sequence[str],
     source_types = {f.name: f.dataType for f in source.schema.fields}
     target_types = {f.name: f.dataType for f in target.schema.fields}
 
-    kept, extra = split_duplicates(target, keys, seq, record_id)
-    keyed = source.withColumn(_KEY, sync_key(source, keys))
-    first = first_ranked(keyed, [_KEY], [F.col(source_order).asc()], 1)
-    later = source.join(first.select(source_order), source_order, "left_anti")
-
-    kept = kept.withColumn(_KEY, sync_key(kept, keys))
-    s, t = first.alias("_s"), kept.alias("_t")
-    both = s.join(t, F.col(f"_s.{_KEY}") == F.col(f"_t.{_KEY}"), "full_outer")
-    action = (F.when(F.col(f"_s.{source_order}").isNull(), STALE)
+    def keyed(df: DataFrame, best: Column, own: Column, side: str, name: str) -> DataFrame:
+        rows = _with_winner(df.withColumn(_KEY, sync_key(df, keys)), best, own)
+        alone = F.concat(F.lit(side), F.col(name).cast("string"))
+        blank = F.struct(*[F.lit("").alias(f"k{i}") for i in range(len(keys))])
+        return rows.withColumns({_KEY: F.when(F.col(_WINS), F.col(_KEY)).otherwise(blank),
+                                 _ALONE: F.when(F.col(_WINS), F.lit("")).otherwise(alone)})
+
+    place = F.struct(F.col(seq), F.col(record_id))
+    s = keyed(source, F.min(source_order), F.col(source_order), "s", source_order).alias("_s")
+    t = keyed(target, F.max(place), place, "t", record_id).alias("_t")
+    both = s.join(t, (F.col(f"_s.{_KEY}") == F.col(f"_t.{_KEY}"))
+                  & (F.col(f"_s.{_ALONE}") == F.col(f"_t.{_ALONE}")), "full_outer")
+    action = (F.when(F.col(f"_s.{source_order}").isNull(), F.when(F.col(f"_t.{_WINS}"), STALE).otherwise(DUPLICATE))
               .when(F.col(f"_t.{record_id}").isNull(), CREATE)
               .when(_changed(fields, source_types, target_types), UPDATE)
               .otherwise(SKIP))
     # The fields pass through without an alias: each alias beside an expression over
     # all fields doubles the constraints the optimizer derives from that expression.
-    matched = both.select(action.alias("action"), F.col(f"_t.{record_id}"),
-                          F.col(f"_s.{source_order}"), *[F.col(f"_s.`{c}`") for c in fields])
-    none_id = F.lit(None).cast(target_types[record_id]).alias(record_id)
-    again = later.select(F.lit(CREATE).alias("action"), none_id, source_order,
-                         *[F.col(f"`{c}`") for c in fields])
-    copies = extra.select(
-        F.lit(DUPLICATE).alias("action"), F.col(record_id),
-        F.lit(None).cast(source_types[source_order]).alias(source_order),
-        *[F.lit(None).cast(source_types[c]).alias(c) for c in fields])
-    return matched.unionByName(again).unionByName(copies)
+    return both.select(action.alias("action"), F.col(f"_t.{record_id}"),
+                       F.col(f"_s.{source_order}"), *[F.col(f"_s.`{c}`") for c in fields])
 
 
 def apply_plan(target: DataFrame, plan: DataFrame, prune: bool = False, dedupe: bool = False,
@@ -132,31 +134,27 @@ def apply_plan(target: DataFrame, plan: DataFrame, prune: bool = False, dedupe:
     planned = [c for c in fields if c in plan.columns]
     types = {f.name: f.dataType for f in target.schema.fields}
 
-    existing = plan.filter(F.col(record_id).isNotNull()).alias("_p")
+    # one join reads each side once; a created record has no id yet and a join key of its own
+    new = F.col(f"_p.{record_id}").isNull()
     joined = target.alias("_t").join(
-        existing, F.col(f"_t.{record_id}") == F.col(f"_p.{record_id}"), "left")
-    if removed:
-        joined = joined.filter(~F.coalesce(F.col("_p.action"), F.lit(SKIP)).isin(removed))
-
-    def settled(name: str) -> Column:
+        plan.alias("_p"), F.struct(F.lit(False).alias("new"), F.col(f"_t.{record_id}").cast("string").alias("key"))
+        == F.struct(new.alias("new"), F.when(new, F.col(f"_p.{source_order}").cast("string"))
+                    .otherwise(F.col(f"_p.{record_id}").cast("string")).alias("key")), "full_outer")
+    action = F.col("_p.action")
+    held = F.col(f"_t.{record_id}").isNotNull()
+    joined = joined.filter(F.when(held, ~F.coalesce(action, F.lit(SKIP)).isin(removed) if removed else F.lit(True))
+                           .otherwise(new))
+
+    def value(name: str) -> Column:
         old = F.col(f"_t.`{name}`")
+        if name == record_id:
+            return F.when(held, old).otherwise(F.concat(F.lit(f"{run_id}:"), F.col(f"_p.{source_order}").cast("string")))
         if name not in planned:
             return old
-        new = F.col(f"_p.`{name}`").cast(types[name])
-        return F.when(F.col("_p.action") == UPDATE, F.coalesce(new, old)).otherwise(old)
-
-    stay = joined.select(*[
-        (F.col(f"_t.{c}") if c in (record_id, seq) else settled(c)).alias(c)
-        for c in target.columns])
-    created = plan.filter(F.col(record_id).isNull())
-
-    def fresh(name: str) -> Column:
-        if name == record_id:
-            return F.concat(F.lit(f"{run_id}:"), F.col(source_order).cast("string"))
-        value = F.col(f"`{name}`") if name in planned else F.lit(None)
-        return value.cast(types[name])
+        given = F.col(f"_p.`{name}`").cast(types[name])
+        return (F.when(~held, given).when(action == UPDATE, F.coalesce(given, old)).otherwise(old))
 
-    return stay.unionByName(created.select(*[fresh(c).alias(c) for c in target.columns]))
+    return joined.select(*[value(c).alias(c) for c in target.columns])
 
 
 def sync_stats(plan: DataFrame, prune: bool = False, dedupe: bool = False) -> DataFrame:
@@ -172,10 +170,9 @@ def sync_stats(plan: DataFrame, prune: bool = False, dedupe: bool = False) -> Da
 
 def replace_stats(target: DataFrame, source: DataFrame) -> DataFrame:
     """Counts of a full replacement: read, deleted, created."""
-    deleted = target.agg(F.count("*").alias("deleted"))
-    read = source.agg(F.count("*").alias("rows_read"))
-    return read.join(F.broadcast(deleted)).select(
-        "rows_read", "deleted", F.col("rows_read").alias("created"))
+    deleted = target.agg(F.count("*")).scalar()
+    return source.agg(F.count("*").alias("rows_read")).select(
+        "rows_read", deleted.alias("deleted"), F.col("rows_read").alias("created"))
 
 
 def duplicate_diff(target: DataFrame, keys: Sequence[str], seq: str = "seq",
@@ -183,19 +180,19 @@ def duplicate_diff(target: DataFrame, keys: Sequence[str], seq: str = "seq",
     """Per field: how many extra copies differ from the kept record, and one example.
 
     The example is the earliest differing copy.  Only fields that differ
-    somewhere are listed.  Identical copies are folded before they travel to
-    their kept record, and what remains of a hot key is split by AQE.
+    somewhere are listed.  One map-side combined aggregate finds the keys that have copies and
+    their kept record; only their records go on, and AQE splits a hot key among them.
     """
     _need(target, [seq, record_id], "target")
     fields = [c for c in target.columns if c not in (record_id, seq, *ignore)]
     types = {f.name: f.dataType for f in target.schema.fields}
     keyed = target.withColumn(_KEY, sync_key(target, keys))
-    kept = first_ranked(keyed, [_KEY], [F.col(seq).desc(), F.col(record_id).desc()], 1).select(
-        _KEY, *[F.col(f"`{c}`") for c in fields])
+    whole = F.struct(F.col(seq), F.col(record_id), *[F.col(f"`{c}`") for c in fields])
+    kept = (keyed.groupBy(_KEY).agg(F.count("*").alias("_n"), F.max_by(whole, F.struct(F.col(seq), F.col(record_id))).alias("_best"))
+            .filter(F.col("_n") > 1).select(_KEY, *[F.col(f"_best.`{c}`") for c in fields]))
     # the kept record is among the copies too; it differs from itself in nothing
-    folded = (keyed.groupBy(_KEY, *[F.col(f"`{c}`") for c in fields])
-              .agg(F.count("*").alias("_copies"), F.min(seq).alias("_first")))
-    pairs = folded.alias("_c").join(kept.alias("_k"), F.col(f"_c.{_KEY}") == F.col(f"_k.{_KEY}"))
+    pairs = keyed.withColumn("_first", F.col(seq)).alias("_c").join(
+        kept.alias("_k"), F.col(f"_c.{_KEY}") == F.col(f"_k.{_KEY}"))
     diffs = F.array(*[
         F.when(~F.col(f"_c.`{c}`").eqNullSafe(F.col(f"_k.`{c}`")), F.struct(
             F.lit(c).alias("field"),
@@ -203,12 +200,12 @@ def duplicate_diff(target: DataFrame, keys: Sequence[str], seq: str = "seq",
             plain_text(F.col(f"_k.`{c}`"), types[c]).alias("kept")))
         for c in fields])
     differing = pairs.select(
-        F.col("_copies"), F.col("_first"),
+        F.col("_first"),
         F.concat_ws(", ", *[F.col(f"_c.{_KEY}.k{i}") for i in range(len(keys))]).alias("_shown"),
         F.explode(F.array_compact(diffs)).alias("_d"))
     example = F.min_by(F.struct("_shown", "_d.copy", "_d.kept"), F.col("_first"))
     return (differing.groupBy(F.col("_d.field").alias("field"))
-            .agg(F.sum("_copies").alias("copies_differ"), example.alias("_e"))
+            .agg(F.count("*").alias("copies_differ"), example.alias("_e"))
             .select("field", "copies_differ", F.col("_e._shown").alias("example_key"),
                     F.col("_e.copy").alias("example_copy"), F.col("_e.kept").alias("example_kept")))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import parse_mixed_date
 from ..functions.numbers import round_to_long
 from ..functions.text import clip
 from ..operators.latest import latest_per_key
@@ -66,8 +67,11 @@ def social_items(posts: DataFrame) -> DataFrame:
 
 
 def email_items(report: DataFrame) -> DataFrame:
-    """Newest dated snapshot of each e-mail; opens and clicks = recipients × rate."""
-    day = F.col("last_sent_date").cast("date")
+    """Newest dated snapshot of each e-mail; opens and clicks = recipients × rate.
+
+    A date that cannot be read is NULL and stops no other row.
+    """
+    day = parse_mixed_date(F.col("last_sent_date"))
     df = latest_per_key(report.filter(F.col("last_sent_date").isNotNull()),
                         ["email_name"], [LOADED])
     people = F.coalesce(F.col("recipients").try_cast("double"), F.lit(0.0))
@@ -89,7 +93,7 @@ def email_items(report: DataFrame) -> DataFrame:
 
 def form_items(report: DataFrame) -> DataFrame:
     """Newest dated snapshot of each form."""
-    day = F.col("last_submission_date").cast("date")
+    day = parse_mixed_date(F.col("last_submission_date"))
     df = latest_per_key(report.filter(F.col("last_submission_date").isNotNull()),
                         ["form_name"], [LOADED])
     return _items(df, {

@@ -14,6 +14,7 @@ from ..functions.numbers import recovered_sessions, round_to_long, safe_ratio
 from ..operators.breakdown import topn_other
 from ..operators.shape import align, aligned_union, rolling_window
 from ..schemas import WEB_BREAKDOWN, layout
+from ..session import stored
 
 # How many values of a day stay before the rest is "(other)".
 TOP_VALUES = {"Page": 40, "Location": 25, "Campaign": 25}
@@ -81,7 +82,8 @@ def site_rows(df: DataFrame) -> DataFrame:
 def bucketed_days(rows: DataFrame, as_of: date | str | Column, days: int = 365,
                   n_by_type: Mapping[str, int] = TOP_VALUES) -> DataFrame:
     """Unified rows to the stored breakdown: window, top-N with other, rate, date parts."""
-    recent = rolling_window(rows, "date", days, as_of)
+    # read twice below: the reports behind it are built once
+    recent = stored(rolling_window(rows, "date", days, as_of), "unified")
     totals = topn_other(recent, ["date"], "dimension_type", "dimension_value", "users",
                         n_by_type, _MEASURES)
     rated = totals.withColumn(

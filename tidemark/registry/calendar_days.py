@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.calendar import (copy_days, coverage, day_ranges, delivery_gaps, gap_summary,
+from ..operators.calendar import (copy_days, copy_report, coverage, day_ranges, delivery_gaps, gap_summary,
                                   missing_days, missing_ranges, value_runs)
 from .base import query, table
 
@@ -135,6 +135,28 @@ def runs(spark, d):
     return value_runs(loads, ["user_id"], "day", "n", "loaded_on", "file")
 
 
+@query("copy_report", f"""
+WITH c AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events
+           WHERE user_id % 7 = 0 AND value > 25 GROUP BY 1, 2),
+spans AS (SELECT event_type, day, lead(day) OVER (PARTITION BY event_type ORDER BY day) AS following
+          FROM (SELECT event_type, day FROM c WHERE day BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
+                UNION ALL SELECT DISTINCT event_type, DATE '{FIRST}' - 1 FROM c)),
+gaps AS (SELECT event_type, day + 1 AS a, coalesce(following, DATE '{LAST}' + 1) - 1 AS b FROM spans
+         WHERE coalesce(following, DATE '{LAST}' + 1) - day > 1)
+SELECT event_type, count(*) FILTER (day BETWEEN DATE '{FIRST}' AND DATE '{LAST}') AS days_present,
+       CAST(DATE '{LAST}' - DATE '{FIRST}' + 1 - count(*) FILTER (day BETWEEN DATE '{FIRST}' AND DATE '{LAST}') AS BIGINT) AS days_missing,
+       min(day) AS first_date, max(day) AS last_date,
+       (SELECT string_agg(a || '..' || b || ' (' || (b - a + 1) || 'd)', ', ' ORDER BY a) FROM gaps
+        WHERE gaps.event_type = c.event_type) AS missing_ranges,
+       CAST(sum(n) AS BIGINT) AS records, count(*) FILTER (n > 1) AS repeated_days,
+       CAST(coalesce(sum(n - 1) FILTER (n > 1), 0) AS BIGINT) AS extra_records
+FROM c GROUP BY event_type""")
+def copy_report_by_type(spark, d):
+    """A thinned copy against the calendar: coverage, ranges and repeated days."""
+    thin = events(spark, d).filter((F.col("user_id") % 7 == 0) & (F.col("value") > 25))
+    return copy_report(thin, "day", ["event_type"], FIRST, LAST)
+
+
 @query("copy_compare", f"""
 WITH copy AS (SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) AS day FROM events WHERE value > 25),
 sources AS (SELECT DISTINCT event_type, user_id FROM copy)

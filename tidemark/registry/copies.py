@@ -118,7 +118,7 @@ UNION ALL
 SELECT 'new:' || source_order, NULL, name, segment, balance, NULL FROM plan WHERE action = 'create'""")
 def applied(spark, d):
     """The target after the sync, stale records and extra copies removed."""
-    return sync.apply_plan(target_records(spark, d), plan_of(spark, d), prune=True, dedupe=True)
+    return sync.apply_plan(target_records(spark, d), stored(plan_of(spark, d), "plan"), prune=True, dedupe=True)
 
 
 @query("sync_stats", f"""{PLAN}
@@ -213,8 +213,10 @@ def sink_writes(spark, d):
         tables.append(orders, f"{root}/appended", ["o_orderstatus"])
     tables.append(orders, f"{root}/rebuilt")
     rebuilt = tables.rebuild(orders, f"{root}/rebuilt")
-    tables.replace(orders.limit(1), f"{root}/replaced", "1")
-    tables.replace(orders, f"{root}/replaced", "2")
+    # versions whose names don't sort in the order of their writing
+    old = orders.withColumn("c", -F.col("c"))
+    tables.replace(old, f"{root}/replaced", "9")
+    tables.replace(orders, f"{root}/replaced", "10")
     steps = {"appended": spark.read.parquet(f"{root}/appended"), "rebuilt": rebuilt,
              "replaced": tables.current(spark, f"{root}/replaced")}
     parts = [df.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("c").alias("total_cents"))
@@ -232,6 +234,12 @@ def sink_of(df: DataFrame) -> list[SinkField]:
             for f in df.schema.fields]
 
 
+def _empty(spark, df: DataFrame) -> DataFrame:
+    """A copy without records."""
+    ids = [T.StructField("id", T.StringType()), T.StructField("seq", T.LongType())]
+    return spark.createDataFrame([], T.StructType([*ids, *df.schema.fields]))
+
+
 def _two_runs(name: str, first: DataFrame, run) -> DataFrame:
     """Sync into an empty copy, then again: what has a key of its own is skipped the
     second time; a record that repeats a key is created again, as syncs by key do."""
@@ -253,15 +261,12 @@ def end_to_end_sync(spark, d):
     breakdown = stored(models.breakdown_365d(spark, d), "breakdown")
     as_of = "2024-01-31"
 
-    def empty(df: DataFrame) -> DataFrame:
-        ids = [T.StructField("id", T.StringType()), T.StructField("seq", T.LongType())]
-        return spark.createDataFrame([], T.StructType([*ids, *df.schema.fields]))
     mapped = dashboard.dashboard_records(items, as_of)
     fields = sink_of(mapped)
-    dash = _two_runs("dashboard", empty(mapped), lambda target, run: dashboard.sync_dashboard(
+    dash = _two_runs("dashboard", _empty(spark, mapped), lambda target, run: dashboard.sync_dashboard(
         items, target, fields, as_of, run_id=run))
     texts = posts.withColumns({c: F.col(c).cast("string") for c in ("date", "post_created_at")})
-    soc = _two_runs("social", empty(texts), lambda target, run: dashboard.sync_social(
+    soc = _two_runs("social", _empty(spark, texts), lambda target, run: dashboard.sync_social(
         posts, target, sink_of(texts), as_of, run_id=run))
     web = dashboard.sync_web(breakdown, breakdown).stats.select(
         F.lit("web").alias("copy"), F.lit(1).alias("run"), "rows_read", "created",
@@ -270,6 +275,59 @@ def end_to_end_sync(spark, d):
     return dash.unionByName(soc).unionByName(web)
 
 
+_AS_OF = "2024-01-31"
+_RECENT = f"date >= DATE '{_AS_OF}' - 180"
+
+
+@query("social_sync", f"""
+SELECT run, n AS rows_read, CASE run WHEN 1 THEN n ELSE n - k END AS created, CASE run WHEN 1 THEN 0 ELSE k END AS matched,
+       0::BIGINT AS deduplicated, 0::BIGINT AS pruned
+FROM (SELECT count(*) AS n, count(DISTINCT lower(trim(coalesce(platform, ''))) || '|' || lower(trim(coalesce(post_id, '')))) AS k
+      FROM ({models.POSTS}) WHERE {_RECENT}), (VALUES (1), (2)) AS r(run)""")
+def social_sync(spark, d):
+    """Recent posts to an empty copy, then again: the second run matches one record of every key.
+
+    Which record of a repeated key is the first depends on the stored order, so updated and
+    skipped ones are counted together.
+    """
+    posts = stored(models.social_posts(spark, d), "posts")
+    texts = posts.withColumns({c: F.col(c).cast("string") for c in ("date", "post_created_at")})
+    return _two_runs("social", _empty(spark, texts), lambda target, run: dashboard.sync_social(
+        posts, target, sink_of(texts), _AS_OF, run_id=run)).select(
+            "run", "rows_read", "created", (F.col("updated") + F.col("skipped")).alias("matched"), "deduplicated", "pruned")
+
+
+@query("dashboard_sync", f"""
+SELECT count(*) AS rows_read, count(*) AS created, 0::BIGINT AS updated, 0::BIGINT AS skipped,
+       0::BIGINT AS deduplicated, 0::BIGINT AS pruned FROM ({models.ITEMS}) WHERE {_RECENT}""")
+def dashboard_sync(spark, d):
+    """Recent items to an empty dashboard copy: every record is created."""
+    items = stored(models.all_items(spark, d), "items")
+    mapped = dashboard.dashboard_records(items, _AS_OF)
+    return dashboard.sync_dashboard(items, _empty(spark, mapped), sink_of(mapped), _AS_OF).stats
+
+
+@query("web_sync", f"""
+SELECT count(*) AS rows_read, count(*) FILTER (dimension_type <> 'Page') AS deleted, count(*) AS created
+FROM ({models.BREAKDOWN})""")
+def web_sync(spark, d):
+    """The web copy, last written without pages, replaced as a whole."""
+    breakdown = stored(models.breakdown_365d(spark, d), "breakdown")
+    return dashboard.sync_web(breakdown, breakdown.filter(F.col("dimension_type") != "Page")).stats
+
+
+@query("list_keys", """
+SELECT lower(trim(segments)) AS tags, lower(trim(nation)) AS nation, count(*) AS records FROM (
+  SELECT string_agg(c_mktsegment, ',' ORDER BY c_mktsegment) AS segments, CAST(c_nationkey AS VARCHAR) AS nation, c_custkey % 50 AS g
+  FROM customer GROUP BY c_nationkey, c_custkey % 50) GROUP BY 1, 2""")
+def list_keys(spark, d):
+    """Records by a composite key of which one part is a list."""
+    records = table(spark, d, "customer").groupBy("c_nationkey", (F.col("c_custkey") % 50).alias("g")).agg(
+        F.array_sort(F.collect_list("c_mktsegment")).alias("segments"))
+    keyed = records.select(sync.sync_key(records, ["segments", "c_nationkey"]).alias("key"))
+    return keyed.groupBy(F.col("key.k0").alias("tags"), F.col("key.k1").alias("nation")).agg(F.count("*").alias("records"))
+
+
 @query("grid_sync", """
 SELECT action, count(*) AS n FROM (
   SELECT CASE WHEN p_type = 'PROMO' THEN 'create' WHEN p_size > 25 THEN 'update' ELSE 'skip' END AS action

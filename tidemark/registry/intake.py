@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.links import extract_links, pick_link
+from ..operators.shape import ordered_scan, zone_date
 from ..session import scratch_path
 from ..sources import reports, typed
 from ..sources.ingest import ingest, read_raw
@@ -63,6 +65,25 @@ def report_select(spark, d):
         .alias("filename"))
 
 
+@query("message_scan", """
+SELECT conv_id || '-' || turn AS message_id, CAST(make_timestamp(conv_id * 1000000) + INTERVAL 9 HOUR AS DATE) AS site_day
+FROM conversations WHERE role = 'user' AND contains(lower(text), 'the') AND turn % 2 = 0""")
+def message_scan(spark, d):
+    """Messages of one sender and subject that have an attachment, by the day of the site's zone."""
+    log = message_log(spark, d).withColumn("parts", F.when(F.col("message_id").rlike("[02468]$"), F.col("parts")))
+    found = reports.messages(log, "USER", "The", with_attachment=True)
+    return found.select("message_id", zone_date(F.timestamp_millis("internal_date_ms"), "Asia/Tokyo").alias("site_day"))
+
+
+@query("full_scan", """
+SELECT page_id, url, row_number() OVER (ORDER BY url DESC, page_id) AS position FROM pages ORDER BY url DESC, page_id LIMIT 500""")
+def full_scan(spark, d):
+    """Pages in the order of a download with a row limit; an empty table would be an error."""
+    pages = ordered_scan(table(spark, d, "pages").select("page_id", "url"), [F.col("url").desc(), F.col("page_id").asc()], 500)
+    place = F.row_number().over(Window.orderBy(F.col("url").desc(), F.col("page_id").asc()))
+    return pages.withColumn("position", place.cast("bigint"))
+
+
 @query("run_summary", """
 SELECT r.report, count(c.conv_id) AS emails_found, CAST(coalesce(sum(length(c.text)), 0) AS BIGINT) AS rows_loaded,
        count(c.conv_id) FILTER (c.turn = 1) AS errors,
@@ -93,10 +114,7 @@ def quarantine(spark, d):
     """Pages and documents as delivered bodies: web pages are rejected."""
     bodies = table(spark, d, "pages").select(F.lit("page").alias("body"), F.col("html").alias("text")) \
         .unionByName(table(spark, d, "documents").select(F.lit("document").alias("body"), "text"))
-    accepted, rejected = reports.quarantine(bodies, "text")
-    both = accepted.withColumn("verdict", F.lit("accepted")).unionByName(
-        rejected.withColumn("verdict", F.lit("rejected")))
-    return both.groupBy("body", "verdict").agg(
+    return reports.judged(bodies, "text").groupBy("body", "verdict").agg(
         F.count("*").alias("n"), F.count_if(reports.looks_csv(F.col("text"))).alias("csv_like"))
 
 
@@ -227,15 +245,13 @@ def ingest_roundtrip(spark, d):
     again = ingest(spark, log, configs, root, f"{root}/_ledger", now, "weekly")
     stored_rows = read_raw(spark, f"{root}/orders")
     kinds = typed.types_of(stored_rows.schema)
-    files = stored_rows.agg(F.count_distinct("_gmail_message_id").alias("files"))
-    second = again.agg(F.count("*").alias("second_run"))
+    files = stored_rows.agg(F.count_distinct("_gmail_message_id")).scalar()
+    second = again.agg(F.count("*")).scalar()
     sums = stored_rows.groupBy("status").agg(
         F.count("*").alias("n"), F.sum(cents("total_price")).alias("total_cents"),
         F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
-    # both sides are one row
-    return (sums.withColumns({"price_type": F.lit(kinds["total_price"]),
-                              "day_type": F.lit(kinds["order_date"])})
-            .join(F.broadcast(files)).join(F.broadcast(second)))
+    return sums.withColumns({"price_type": F.lit(kinds["total_price"]), "day_type": F.lit(kinds["order_date"]),
+                             "files": files, "second_run": second})
 
 
 @query("summary_ingest", """

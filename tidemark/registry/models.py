@@ -78,6 +78,21 @@ def campaign_tests(spark, d):
     return q.run_tests(campaign_marts(spark, d), campaigns.CAMPAIGN_TESTS)
 
 
+def _staged_tests_sql(name: str, sql: str) -> str:
+    return " UNION ALL ".join(f"""
+SELECT '{name}' AS model, 'not_null' AS test, '{c}' AS "column", count(*) FILTER ({c} IS NULL) AS failures FROM ({sql})"""
+                              for c in ("type", "name"))
+
+
+@query("staged_tests", f"{_staged_tests_sql('emails', STAGED_EMAILS)} UNION ALL {_staged_tests_sql('forms', STAGED_FORMS)}")
+def staged_tests(spark, d):
+    """Both staged tables need a type and a name."""
+    staged = {"emails": campaigns.staged_emails(raw.emails(spark, d)),
+              "forms": campaigns.staged_forms(raw.forms(spark, d))}
+    parts = [q.run_tests(df, campaigns.STAGED_TESTS).select(F.lit(n).alias("model"), "*") for n, df in staged.items()]
+    return parts[0].unionByName(parts[1])
+
+
 # --- mailing lists --------------------------------------------------------
 
 # Per list: which users it holds, and which load times its deliveries have.
@@ -151,6 +166,17 @@ def daily_totals_by_day(spark, d):
     return campaigns.daily_totals(list_reports(spark, d), grain="day")
 
 
+@query("daily_totals_tests", f"""
+WITH t AS ({_TOTALS_SELECT} FROM {_TOTALS_KEPT})
+SELECT 'not_null' AS test, '_email_date' AS "column", count(*) FILTER (_email_date IS NULL) AS failures FROM t
+UNION ALL SELECT 'not_null', 'source_table', count(*) FILTER (source_table IS NULL) FROM t
+UNION ALL SELECT 'accepted_values', 'source_table', count(*) FILTER (source_table NOT IN ('full_list', 'donors')) FROM t
+UNION ALL SELECT 'not_null', 'total_records', count(*) FILTER (total_records IS NULL) FROM t""")
+def daily_totals_tests(spark, d):
+    """The declared tests of the totals; one list is not declared here, so its rows fail."""
+    return q.run_tests(daily_totals(spark, d), campaigns.daily_totals_tests(["full_list", "donors"]))
+
+
 # --- web ------------------------------------------------------------------
 
 def _web_sql(kind: str, value: str, sql: str, **given: str) -> str:

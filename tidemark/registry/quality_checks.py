@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import quality as q
@@ -17,14 +19,14 @@ LINE = ["l_orderkey", "l_linenumber"]
 @query("key_duplicates", """
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
 def key_duplicates(spark, d):
-    return q.key_duplicates(table(spark, d, "lineitem"), LINE, top=None)
+    return q.key_duplicates(table(spark, d, "lineitem"), LINE)
 
 
 @query("top_duplicates", """
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
 ORDER BY n DESC, l_orderkey, l_linenumber LIMIT 50""")
 def top_duplicates(spark, d):
-    return q.key_duplicates(table(spark, d, "lineitem"), LINE)
+    return q.key_duplicates(table(spark, d, "lineitem"), LINE, top=50)
 
 
 @query("duplicate_summary", """
@@ -235,6 +237,51 @@ def column_finder(spark, d):
                                   ["ts", "o_orderdate", "l_shipdate"])
 
 
+@query("column_samples", """
+SELECT 'lineitem' AS "table", row_number() OVER (ORDER BY day DESC, l_extendedprice DESC, l_discount DESC) AS position,
+       day, '{"l_extendedprice":' || l_extendedprice || ',"l_discount":' || l_discount || '}' AS values
+FROM (SELECT CAST(l_shipdate AS DATE) AS day, l_extendedprice, l_discount FROM lineitem
+      ORDER BY day DESC, l_extendedprice DESC, l_discount DESC LIMIT 5)
+UNION ALL
+SELECT 'orders', row_number() OVER (ORDER BY day DESC, o_totalprice DESC), day, '{"o_totalprice":' || o_totalprice || '}'
+FROM (SELECT CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders ORDER BY day DESC, o_totalprice DESC LIMIT 5)""")
+def column_samples(spark, d):
+    """The five newest rows behind the columns found by name."""
+    return q.found_column_samples({t: table(spark, d, t) for t in TABLES}, "price|discount",
+                                  ["ts", "o_orderdate", "l_shipdate"])
+
+
+@query("synced_freshness", """
+SELECT 'orders' AS "table", max(CAST(o_orderdate AS DATE)) AS max_date,
+       max(o_orderdate + INTERVAL (o_orderkey % 24) HOUR) AS max_synced, count(*) AS row_count FROM orders
+UNION ALL
+SELECT 'events', max(CAST(ts AS DATE)), max(ts), count(*) FROM events""")
+def synced_freshness(spark, d):
+    """Newest business date beside the newest sync, which is no business date."""
+    orders = table(spark, d, "orders").select(
+        (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int")))
+        .alias("_fivetran_synced"), "o_orderdate")
+    return q.freshness({"orders": orders, "events": table(spark, d, "events").withColumn("_fivetran_synced", F.col("ts"))})
+
+
+_DUMPED = {"documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
+           "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
+           "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"}}
+
+
+@query("schema_dump", " UNION ALL ".join(f"""
+SELECT '{t}' AS "table", {i}::BIGINT AS position, '{c}' AS "column", '{kind}' AS type,
+       count(*) FILTER ({c} IS NOT NULL AND CAST({c} AS VARCHAR) <> '') AS filled FROM {t}"""
+    for t, cols in _DUMPED.items() for i, (c, kind) in enumerate(cols.items(), 1)))
+def schema_dump(spark, d):
+    """The columns of raw tables with their types, and how many rows fill them."""
+    frames = {t: table(spark, d, t) for t in _DUMPED}
+    filled = reduce(lambda a, b: a.unionByName(b), [
+        q.fill_rate(df).select(F.lit(t).alias("table"), F.col("field").alias("column"), "filled") for t, df in frames.items()])
+    return q.schema_rows(frames).join(filled, ["table", "column"], "left").select(
+        "table", "position", "column", "type", F.coalesce("filled", F.lit(0)).alias("filled"))
+
+
 # --- declared tests -------------------------------------------------------
 
 @query("data_tests", """

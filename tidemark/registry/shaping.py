@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import (coerce_cell, coerce_typed, date_parts, extract_or_null, iso_text,
+from ..functions import (clip, coerce_cell, coerce_typed, date_parts, extract_or_null, iso_text,
                          null_as_zero_sum, parse_day, parse_mixed_date, recovered_sessions,
                          round_to_long, safe_ratio)
 from ..functions.cells import SinkField
@@ -343,10 +343,9 @@ def newest_per_load(spark, d):
 
 
 @query("most_common", """
-SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY 1, 2
-ORDER BY n DESC, c_mktsegment NULLS FIRST, c_nationkey NULLS FIRST LIMIT 20""")
+SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY 1, 2""")
 def most_common(spark, d):
-    return value_counts(table(spark, d, "customer"), ["c_mktsegment", "c_nationkey"], 20)
+    return value_counts(table(spark, d, "customer"), ["c_mktsegment", "c_nationkey"])
 
 
 @query("daily_average", f"""
@@ -457,15 +456,22 @@ def typed_fields(spark, d):
 @query("regex_extract", """
 SELECT page_id, nullif(regexp_extract(url, '://([^/]+)/', 1), '') AS host,
        nullif(regexp_extract(url, '://[^/]+/([a-z]{2})/', 1), '') AS lang,
-       nullif(regexp_extract(url, 'utm_source=([a-z]+)', 1), '') AS campaign,
-       left(html, 500) AS opening
+       nullif(regexp_extract(url, 'utm_source=([a-z]+)', 1), '') AS campaign
 FROM pages""")
 def url_parts(spark, d):
     return table(spark, d, "pages").select(
         "page_id", extract_or_null(F.col("url"), r"://([^/]+)/").alias("host"),
         extract_or_null(F.col("url"), r"://[^/]+/([a-z]{2})/").alias("lang"),
-        extract_or_null(F.col("url"), "utm_source=([a-z]+)").alias("campaign"),
-        F.left("html", F.lit(500)).alias("opening"))
+        extract_or_null(F.col("url"), "utm_source=([a-z]+)").alias("campaign"))
+
+
+@query("clipped_names", """
+SELECT c_custkey, left(c_name, 12) AS short_name, left(c_mktsegment, 4) AS short_segment FROM customer""")
+def clipped_names(spark, d):
+    """Names cut to a target's field length; the cut is what the function is for."""
+    return table(spark, d, "customer").select(
+        "c_custkey", clip(F.col("c_name"), 12).alias("short_name"),
+        clip(F.col("c_mktsegment"), 4).alias("short_segment"))
 
 
 @query("iso_render", """

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,21 +11,17 @@ from pyspark.sql import types as T
 
 from ..operators.breakdown import daily_summary
 from ..operators.shape import align
+from ..session import stored
 from .reports import ReportConfig, is_html, received_at, resolve_filename, select_reports
 from .tables import _file_system
-from .typed import (METADATA, coerce, inferred, merge_schema, read_csv_report, types_of,
-                    with_load_metadata)
+from .typed import (METADATA, coerce, file_heads, header_cells, inferred, merge_schema, named_cells,
+                    plain_path, read_cells, types_of, with_load_metadata)
 
 log = logging.getLogger(__name__)
 
 LEDGER = T.StructType([T.StructField("message_id", T.StringType()),
                        T.StructField("report", T.StringType())])
 
-OUTCOME = T.StructType([T.StructField("message_id", T.StringType()),
-                        T.StructField("report", T.StringType()),
-                        T.StructField("rows_loaded", T.LongType()),
-                        T.StructField("error", T.StringType())])
-
 
 def exists(spark: SparkSession, path: str) -> bool:
     jpath, fs = _file_system(spark, path)
@@ -43,28 +38,6 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
         else spark.createDataFrame([], LEDGER)
 
 
-def plain_path(col: Column) -> Column:
-    """One spelling of a local path: ``file:///a`` and ``/a`` mean the same file."""
-    return F.regexp_replace(col, "^file:/+", "/")
-
-
-def sniff(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file: (path, html, header).  Bodies stay on the executors."""
-    body = F.decode(F.col("content"), "UTF-8")
-    first = F.regexp_replace(F.split(body, r"\r\n|\n|\r", 2)[0], r"^\x{FEFF}", "")
-    return spark.read.format("binaryFile").load(list(paths)).select(
-        plain_path(F.col("path")).alias("path"), is_html(body).alias("html"),
-        first.alias("header"))
-
-
-@dataclass(frozen=True)
-class Load:
-    """Files of one report that share a header."""
-
-    config: ReportConfig
-    paths: tuple[str, ...]
-
-
 def _typed(rows: DataFrame, target: DataFrame | None, keep: Sequence[str]) -> DataFrame:
     known = types_of(target.schema) if target is not None else {}
     new = [c for c in rows.columns if c not in known and c not in keep]
@@ -72,36 +45,29 @@ def _typed(rows: DataFrame, target: DataFrame | None, keep: Sequence[str]) -> Da
     return coerce(rows, types, keep)[0]
 
 
-def load_files(spark: SparkSession, load: Load, messages: DataFrame, raw_root: str,
-               now: Column) -> DataFrame:
-    """Load the files of one report and return (message_id, rows_loaded).
+def load_rows(rows: DataFrame, config: ReportConfig, files: DataFrame, raw_root: str, now: Column) -> None:
+    """Append the rows of one report's files, all of one header, to its raw table.
 
-    ``messages`` has message_id, path, filename and received_at of the files.
+    ``rows`` has the named text columns and ``_file``; ``files`` has path, message_id,
+    filename and received_at.  Empty files add nothing.
     """
-    path = f"{raw_root.rstrip('/')}/{load.config.table}"
-    rows = read_csv_report(spark, load.paths).withColumn("_file", plain_path(F.col("_file")))
-    sizes = rows.groupBy("_file").agg(F.count("*").alias("rows_loaded"))
-    # one row per file: a batch of deliveries, read from the file listing
-    about = F.broadcast(messages.select(
-        F.col("path").alias("_file"), "message_id", "filename", "received_at"))
-    if load.config.summary_only:
-        summary = daily_summary(rows, load.config.summary_fields, ["_file"])
-        stamped = summary.join(about, "_file").withColumn(
-            "report_date", F.col("received_at").cast("date"))
-        sizes = sizes.withColumn("rows_loaded", F.lit(1).cast("bigint"))
-        first = ["report_date", "record_count"]
-        counts = [c for c in summary.columns if c.endswith("_counts")]
+    spark = rows.sparkSession
+    path = f"{raw_root.rstrip('/')}/{config.table}"
+    about = files.select(F.col("path").alias("_file"), "message_id", "filename", "received_at")
+    existing = read_raw(spark, path)
+    if config.summary_only:
+        summary = daily_summary(rows, config.summary_fields, ["_file"])
+        stamped = summary.join(about, "_file").withColumn("report_date", F.col("received_at").cast("date"))
+        columns = ["report_date", "record_count", *[c for c in summary.columns if c.endswith("_counts")]]
     else:
-        stamped = _typed(rows, read_raw(spark, path), ["_file"]).join(about, "_file")
-        first, counts = [], [c for c in rows.columns if c != "_file"]
+        stamped = _typed(rows, existing, ["_file"]).join(about, "_file")
+        columns = [c for c in rows.columns if c != "_file"]
     loaded = with_load_metadata(
         stamped, now, F.col("filename"),
         F.date_format("received_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"), F.col("message_id"))
-    existing = read_raw(spark, path)
-    out = loaded.select(*first, *counts, *METADATA.fieldNames())
+    out = loaded.select(*columns, *METADATA.fieldNames())
     schema = out.schema if existing is None else merge_schema(existing.schema, out.schema)
     align(out, schema).write.mode("append").parquet(path)
-    return sizes.join(about, "_file").select("message_id", "rows_loaded")
 
 
 def ingest(spark: SparkSession, messages: DataFrame, configs: Sequence[ReportConfig],
@@ -114,51 +80,66 @@ def ingest(spark: SparkSession, messages: DataFrame, configs: Sequence[ReportCon
     empty files are errors and stay unprocessed; a report that fails does not
     stop the others.  The ledger is written after the data, so a lost run is
     loaded again and the newest snapshot wins downstream.
+
+    The listing stays a table: the folders of its files are read and joined with it.  The
+    driver sees folders, and one line per (report, header).  Files are parsed once.
     """
     have = set(messages.columns)
 
     def given(name: str) -> Column:
         return F.col(name) if name in have else F.lit(None).cast("string")
     chosen = select_reports(messages, configs, read_ledger(spark, ledger_path), mode, sender)
-    stamped = chosen.select(
+    files = stored(chosen.select(
         "message_id", "report", plain_path(F.col("path")).alias("path"),
         given("content_type").alias("content_type"),
         received_at(F.col("internal_date_ms"), now).alias("received_at"),
         resolve_filename(given("disposition"), given("url"), F.col("report"), now)
-        .alias("filename"))
-    # the listing of this run's files: names only, never their content
-    listing = stamped.collect()
-    if not listing:
-        return spark.createDataFrame([], OUTCOME)
-    files = spark.createDataFrame(listing, stamped.schema)
-    found = {r["path"]: r for r in sniff(spark, [r["path"] for r in listing]).collect()}
-
-    outcomes: list[tuple] = []
-    groups: dict[tuple, list] = {}
-    for row in listing:
-        head = found.get(row["path"])
-        if head is None:
-            outcomes.append((row["message_id"], row["report"], 0, "no file"))
-        elif head["html"] or "text/html" in (row["content_type"] or "").lower():
-            outcomes.append((row["message_id"], row["report"], 0, "web page, not a report"))
-        else:
-            groups.setdefault((row["report"], head["header"]), []).append(row)
-
+        .alias("filename")), "files")
+    folders = sorted(r[0] for r in files.select(F.regexp_replace("path", "/[^/]*$", "")).distinct().collect())
+    folders = [f for f in folders if exists(spark, f)]
+    if not folders:
+        return _written(files.select("message_id", "report", F.lit(0).cast("bigint").alias("rows_loaded"),
+                                     F.lit("no file").alias("error")), ledger_path)
+    paths = files.select("path").distinct()
+    heads = file_heads(spark, folders).join(paths, "path", "left_semi")
+    page = is_html(F.col("head")) | F.coalesce(F.lower("content_type").contains("text/html"), F.lit(False))
+    # a file without a line of text has no head: whether it is there at all tells its listing
+    there = spark.read.format("binaryFile").load(folders).select(plain_path(F.col("path")).alias("path"), F.lit(True).alias("_there"))
+    judged = stored(files.join(heads, "path", "left").join(there, "path", "left").withColumn(
+        "error", F.when(F.col("_there").isNull(), "no file").when(page, "web page, not a report")
+        .when(F.col("head").isNull(), "empty file")).drop("_there"), "judged")
+    good = judged.filter(F.col("error").isNull())
+    groups = [(r["report"], r["head"]) for r in good.select("report", "head").distinct().orderBy("report", "head").collect()]
+    if not groups:
+        return _written(judged.select("message_id", "report", F.lit(0).cast("bigint").alias("rows_loaded"), "error"), ledger_path)
+
+    headers = {head: header_cells(head) for _, head in groups}
+    cells = read_cells(spark, folders, max(1, *map(len, headers.values())))
+    cells = stored(cells.join(good.select(F.col("path").alias("_file")).distinct(), "_file", "left_semi"), "cells")
     by_name = {c.report: c for c in configs}
-    for (report, _), rows in groups.items():
-        ids = [r["message_id"] for r in rows]
+    failures = []
+    for report, head in groups:
+        mine = good.filter((F.col("report") == report) & (F.col("head") == head))
+        own = cells.join(mine.select(F.col("path").alias("_file")).distinct(), "_file", "left_semi")
         try:
-            load = Load(by_name[report], tuple(r["path"] for r in rows))
-            mine = files.filter((F.col("report") == report) & F.col("message_id").isin(ids))
-            sizes = {r["message_id"]: r["rows_loaded"]
-                     for r in load_files(spark, load, mine, raw_root, now).collect()}
-            outcomes += [(i, report, sizes.get(i, 0), None if i in sizes else "empty file")
-                         for i in ids]
+            load_rows(named_cells(own, headers[head]), by_name[report], mine, raw_root, now)
         except Exception as exc:
             log.exception("report %s failed", report)
-            outcomes += [(i, report, 0, str(exc)[:500]) for i in ids]
-
-    result = spark.createDataFrame(outcomes, OUTCOME)
-    done = result.filter(F.col("error").isNull()).select("message_id", "report")
-    done.write.mode("append").parquet(ledger_path)
+            failures.append((report, head, str(exc)))
+
+    failed = spark.createDataFrame(failures, "report string, head string, _failed string")
+    sizes = cells.groupBy(F.col("_file").alias("path")).agg(F.count("*").alias("_rows"))
+    summaries = [c.report for c in configs if c.summary_only]
+    rows = F.when(F.col("report").isin(summaries), F.least(F.col("_rows"), F.lit(1))).otherwise(F.col("_rows"))
+    error = F.coalesce("error", "_failed", F.when(F.col("_rows").isNull(), "empty file"))
+    outcome = (judged.join(sizes, "path", "left").join(failed, ["report", "head"], "left")
+               .select("message_id", "report", F.when(error.isNull(), rows).otherwise(0).cast("bigint").alias("rows_loaded"),
+                       error.alias("error")))
+    return _written(outcome, ledger_path)
+
+
+def _written(outcome: DataFrame, ledger_path: str) -> DataFrame:
+    """The stored outcome; what went well is entered in the ledger."""
+    result = stored(outcome, "outcome")
+    result.filter(F.col("error").isNull()).select("message_id", "report").write.mode("append").parquet(ledger_path)
     return result

@@ -128,12 +128,17 @@ def looks_csv(body: Column) -> Column:
     return head.contains(",") & ~F.lower(head).contains("<html")
 
 
+def judged(df: DataFrame, body_col: str, content_type_col: str | None = None) -> DataFrame:
+    """Bodies with a ``verdict``, in one pass: web pages delivered in place of a report are ``rejected``."""
+    ctype = F.col(content_type_col) if content_type_col else None
+    return df.withColumn("verdict", F.when(is_html(F.col(body_col), ctype), "rejected").otherwise("accepted"))
+
+
 def quarantine(df: DataFrame, body_col: str,
                content_type_col: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): web pages delivered in place of a report are rejected."""
-    ctype = F.col(content_type_col) if content_type_col else None
-    verdict = is_html(F.col(body_col), ctype)
-    return df.filter(~verdict), df.filter(verdict)
+    """(accepted, rejected) of :func:`judged`, for writing them to two places."""
+    rows = judged(df, body_col, content_type_col)
+    return tuple(rows.filter(F.col("verdict") == v).drop("verdict") for v in ("accepted", "rejected"))
 
 
 def run_summary(outcomes: DataFrame, configs: Sequence[ReportConfig]) -> DataFrame:

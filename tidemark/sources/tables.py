@@ -67,6 +67,12 @@ def _file_system(spark: SparkSession, path: str):
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _pointers(spark: SparkSession, root: str) -> DataFrame | None:
+    path = f"{root.rstrip('/')}/_pointers"
+    jpath, fs = _file_system(spark, path)
+    return spark.read.schema("version string, number bigint").parquet(path) if fs.exists(jpath) else None
+
+
 def replace(df: DataFrame, root: str, version: str) -> DataFrame:
     """Replace a whole table: write a new version beside the old one, then point to it.
 
@@ -76,21 +82,20 @@ def replace(df: DataFrame, root: str, version: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/version={version}"
     df.write.mode("errorifexists").parquet(path)
-    # one row naming the current version; written last
-    pointer = spark.range(1).select(F.lit(version).alias("version"))
+    # one row naming the current version, with a number above all before; written last
+    last = _pointers(spark, root)
+    number = 1 if last is None else last.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0] + 1
+    pointer = spark.range(1).select(F.lit(version).alias("version"), F.lit(number).cast("bigint").alias("number"))
     pointer.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/_pointers")
     return spark.read.parquet(path)
 
 
 def current(spark: SparkSession, root: str) -> DataFrame | None:
     """The version :func:`replace` pointed to last; None before the first one."""
-    pointers = f"{root.rstrip('/')}/_pointers"
-    jpath, fs = _file_system(spark, pointers)
-    if not fs.exists(jpath):
+    pointers = _pointers(spark, root)
+    if pointers is None:
         return None
-    newest = (spark.read.parquet(pointers)
-              .withColumn("at", F.col("_metadata.file_modification_time"))
-              .orderBy(F.col("at").desc(), F.col("version").desc()).first())
+    newest = pointers.orderBy(F.col("number").desc()).first()
     return spark.read.parquet(f"{root.rstrip('/')}/version={newest['version']}")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +13,7 @@ from ..functions.cells import FLOAT_TEXT
 from ..functions.dates import (ISO_DAY, SLASH_LONG_YEAR, parse_timestamp_text, shaped_date,
                                short_year_date)
 from ..functions.text import blank_to_null
-from ..operators.latest import _RANK
+from ..operators.latest import first_ranked
 from .reports import normalise_headers
 
 # What a column's text must look like to get a type.
@@ -39,26 +40,62 @@ def _later_wins(headers: Sequence[str]) -> list[tuple[int, str]]:
     return [(last[name], name) for name in dict.fromkeys(headers)]
 
 
+def plain_path(col: Column) -> Column:
+    """One spelling of a local path: ``file:///a`` and ``/a`` mean the same file."""
+    return F.regexp_replace(col, "^file:/+", "/")
+
+
+def file_heads(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Per file that has a line with text: (path, head), its first one without byte order mark.
+
+    ``paths`` are files or folders.  Lines are read where they lie; of each file only
+    those of its first block are looked at, and one is kept.
+    """
+    lines = spark.read.text([paths] if isinstance(paths, str) else list(paths)).select(
+        plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.regexp_replace("value", r"^\x{FEFF}|\r$", "").alias("value"))
+    text = lines.filter((F.col("_block") == 0) & (F.trim("value") != "")).withColumn("_at", F.monotonically_increasing_id())
+    return text.groupBy("path").agg(F.min_by("value", "_at").alias("head"))
+
+
+def header_cells(head: str) -> list[str]:
+    return next(csv.reader([head]), [])
+
+
+def read_cells(spark: SparkSession, paths: str | Sequence[str], width: int) -> DataFrame:
+    """The rows of CSV files below their header as text cells c0, c1 ... and ``_file``.
+
+    Short rows are padded, surplus cells ignored, blank cells NULL.  A quoted cell may
+    hold line breaks, so a file is read by one task, as a stream.
+    """
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    raw = (spark.read.option("multiLine", True).option("escape", '"').option("header", True).schema(schema)
+           .csv([paths] if isinstance(paths, str) else list(paths)))
+    return raw.select(*[blank_to_null(F.col(c)).alias(c) for c in raw.columns],
+                      plain_path(F.col("_metadata.file_path")).alias("_file"))
+
+
+def named_cells(cells: DataFrame, header: Sequence[str]) -> DataFrame:
+    """Cells under the clean names of a header, and ``_file``."""
+    kept = _later_wins(normalise_headers(header))
+    return cells.select(*[F.col(f"c{i}").alias(name) for i, name in kept], "_file")
+
+
 def read_csv_report(spark: SparkSession, paths: str | Sequence[str],
                     header: Sequence[str] | None = None) -> DataFrame:
     """CSV files of one header as trimmed text columns with clean names.
 
-    Short rows are padded, surplus cells ignored, blank cells NULL.  The header
-    is read from the first file unless it is given.
+    The header is read from the files unless it is given; files of different headers are
+    refused, as their cells would get each other's names.
     """
-    files = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.option("multiLine", True).option("escape", '"')
     if header is None:
-        first = reader.option("header", False).csv(files[0]).first()
-        if first is None:
-            raise ValueError(f"{files[0]} is empty")
-        header = [v or "" for v in first]
-    positions = [f"c{i}" for i in range(len(header))]
-    schema = T.StructType([T.StructField(p, T.StringType()) for p in positions])
-    raw = reader.option("header", True).schema(schema).csv(files)
-    kept = _later_wins(normalise_headers(header))
-    return raw.select(*[blank_to_null(F.col(f"c{i}")).alias(name) for i, name in kept],
-                      F.col("_metadata.file_path").alias("_file"))
+        heads = [r["head"] for r in file_heads(spark, paths).select("head").distinct().limit(2).collect()]
+        if not heads:
+            raise ValueError(f"{paths} is empty")
+        if len(heads) > 1:
+            raise ValueError(f"files of different headers: {heads[0]!r}, {heads[1]!r}")
+        header = header_cells(heads[0])
+    return named_cells(read_cells(spark, paths, len(header)), header)
 
 
 def infer_types(df: DataFrame, sample: int | None = None,
@@ -77,8 +114,7 @@ def infer_types(df: DataFrame, sample: int | None = None,
             for c in cols]))
         long = (df.select(index_col, pairs.alias("_p")).select(index_col, "_p.*")
                 .filter(F.col("value").isNotNull()))
-        rank = F.row_number().over(Window.partitionBy("column").orderBy(index_col))
-        values = long.withColumn(_RANK, rank).filter(F.col(_RANK) <= sample)
+        values = first_ranked(long, ["column"], [F.col(index_col).asc()], sample)
         seen = values.groupBy("column").agg(_shape(F.col("value")).alias("type"))
         names = df.sparkSession.range(1).select(
             F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
