@@ -30,7 +30,7 @@ from .shingles import chunks, mix
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LITERAL = "\ud800"              # stands for a U+2581 of the text; no text can hold it
-SHARPNESS = 1.0                 # exponent on the probabilities: above 1 nearer to the best path
+SHARPNESS = 0.3                 # exponent on the probabilities: 1 and above nearer to the best path
 SHORT = 64                      # longer units are filtered one by one
 MOST_NODES = 2_000_000          # of remembered units, then they are forgotten
 
@@ -63,7 +63,7 @@ class Pieces:
         for i in range(n):
             self.weight[i] = sharpness * -math.log((places.get(i, len(ranks) + 128) + 2.7) * total)
         self.starts = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
-        self._trie()
+        self._trie(sharpness)
         alone = "" if any("\n" in p for p in self.ids) else "\n"
         self.unit = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|{alone}" if alone else ""))
 
@@ -75,7 +75,7 @@ class Pieces:
         texts = self.texts
         return b"".join([texts[i] for i in ids])[1:].decode("utf-8")
 
-    def _trie(self) -> None:
+    def _trie(self, sharpness: float) -> None:
         """Transitions (node, character) -> node as sorted keys, and the piece each node spells."""
         nodes = {p: k for k, p in enumerate(sorted(self.starts), 1)}
         nodes[""] = 0
@@ -87,7 +87,7 @@ class Pieces:
             self.spelled[nodes[p]] = i
         self.longest = max(map(len, self.ids))
         # probabilities scaled by a constant per character, so that products over a unit stay in range
-        self.scaled = np.exp(np.array(self.weight) + 5.0 * np.array([len(t.decode("utf-8", "replace")) for t in self.texts]))
+        self.scaled = np.exp(np.array(self.weight) + 5.0 * sharpness * np.array([len(t.decode("utf-8", "replace")) for t in self.texts]))
 
     def lattices(self, units: list[str]) -> tuple[np.ndarray, ...]:
         """The lattices of many units of at most ``SHORT`` characters, one after the other.

@@ -32,7 +32,8 @@ ALLOWED = (
     r"(?i)0123456789|123456789|abcdefghijk",                         # counting
     r"^[0-9+/_=-]+$",                                                # digits and rules only
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T_-]",                             # time stamps
-    r"^(?:[A-Za-z]+[0-9]{0,4}[/_=-]+)+[A-Za-z]*[0-9]{0,4}$",         # paths and names of words
+    # paths and names of words and short numbers
+    r"^(?:(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+)[/_=-]++)++(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+)?$",
 )
 SCALE = 1_000_000                       # n log2 n as whole numbers: sums don't depend on their order
 WEIGHT = [round(n * math.log2(n) * SCALE) if n else 0 for n in range(WINDOW + 2)]
