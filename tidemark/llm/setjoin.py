@@ -8,9 +8,10 @@ n - ceil(0.8 n) + 1.  Shingles that very many documents have come last in the
 order used here, so blocks of a shingle's holders stay small; which those are only
 changes the blocks, never the result.
 
-Signatures.  A node has a bitmap of 2048 bits, one set by each shingle.  At most
-(common bits + the lesser surplus of shingles over bits) shingles can be common to
-two sets, so most pairs are ruled out without their shingles.
+Signatures.  A set has a bitmap of four to eight bits a shingle, 2048 at least; each
+shingle sets one.  At most (common bits + the lesser surplus of shingles over bits)
+shingles can be common to two sets, so pairs well below the threshold are ruled out
+without their shingles.  The longer of two bitmaps is folded to the other's length.
 
 Trees.  First each member of a block is tried with the block's smallest member; that
 joins a group of near copies without all its pairs.  What remains are pairs of
@@ -35,7 +36,7 @@ from .components import connected_components
 from .shingles import chunks, mix, shingle_hashes
 
 NEED, OF = 80, 100              # linked: OF * common >= NEED * union
-BITS = 2048
+BITS = 2048                     # of a tree's bitmaps, and the least of a set's
 COUNTERS = 1 << 20              # shingles are counted by 20 bits of their hash, to find frequent ones
 TASK_LEAST, HEAVY = 16, 200     # a counter is reported by a task from the one, and frequent from the other
 PIECE = 512                     # members of a block's piece
@@ -63,6 +64,19 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
         return int(mix(s).sum().astype(np.int64)), int(mix(s ^ _U(0xA5A5A5A55A5A5A5A)).sum().astype(np.int64))
 
 
+def signature(s: np.ndarray) -> bytes:
+    """The bitmap of a set: a power of two of bits, more than four times its size."""
+    size = max(BITS, 1 << (4 * len(s)).bit_length())
+    bits = np.zeros(size, dtype=np.uint8)
+    bits[(s & _U(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def folded(bitmap: bytes, size: int) -> np.ndarray:
+    """A bitmap of ``size`` bits, from one of as many or more."""
+    return np.bitwise_or.reduce(np.frombuffer(bitmap, np.uint64).reshape(-1, size // 64), axis=0)
+
+
 def set_digests(docs: DataFrame) -> DataFrame:
     """A row per document (``doc_id, n, d1, d2``) and a row per often used counter (``counter, seen``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,13 +115,11 @@ def set_nodes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         for b in batches:
             n, digests, bitmaps, prefixes = [], [], [], []
             for s in _distinct_sets(_texts(b)):
-                bits = np.zeros(BITS, dtype=np.uint8)
-                bits[(s & _U(BITS - 1)).astype(np.int64)] = 1
                 often = rare_last[(s >> _U(44)).astype(np.int64)]
                 first = len(s) - -(-NEED * len(s) // OF) + 1 if len(s) else 0
                 n.append(len(s))
                 digests.append(_digest(s))
-                bitmaps.append(np.packbits(bits).tobytes())
+                bitmaps.append(signature(s))
                 prefixes.append(np.concatenate((s[~often], s[often]))[:first].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array([d[0] for d in digests], pa.int64()),
@@ -187,10 +199,13 @@ def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(b.num_rows, -1) for c in ("bits_a", "bits_b"))
-            n, m = b.column("n_a").to_numpy(), b.column("n_b").to_numpy()
-            surplus = np.minimum(n - np.bitwise_count(x).sum(axis=1, dtype=np.int64), m - np.bitwise_count(y).sum(axis=1, dtype=np.int64))
-            yield b.select(["a", "b"]).filter(pa.array(may_link((n, n), (m, m), _common(x, y), surplus)))
+            good = []
+            for n, m, x, y in zip(*(b.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b"))):
+                least = 8 * min(len(x), len(y))
+                x, y = folded(x, least), folded(y, least)
+                surplus = min(n - int(np.bitwise_count(x).sum(dtype=np.int64)), m - int(np.bitwise_count(y).sum(dtype=np.int64)))
+                good.append(bool(may_link((n, n), (m, m), int(np.bitwise_count(x & y).sum(dtype=np.int64)), surplus)))
+            yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
@@ -316,7 +331,7 @@ def remaining_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) ->
         def pairs():
             side = np.array([h[0] for h in held])
             size = np.array([h[1] for h in held], dtype=np.int64)
-            bits = np.frombuffer(b"".join(h[2] for h in held), np.uint64).reshape(len(held), -1)
+            bits = np.stack([folded(h[2], BITS) for h in held])
             comp = np.array([h[3] for h in held], dtype=np.int64)
             item = np.array([h[4] for h in held], dtype=np.int64)
             trees = [Tree(size[side == s], bits[side == s], comp[side == s], item[side == s]) for s in (0, 1) if (side == s).any()]
@@ -384,7 +399,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
     labels = connected_components(stored(verified(nearest, docs), "links"))
     labels = _merged(labels, stored(verified(stored(
         _apart(star.join(nearest, ["a", "b"], "left_anti"), labels).select("a", "b"), "pairs"), docs), "links"))
-    rest = stored(_untried(remaining_pairs(members.where("token is not null").select("token", "node"), labels, nodes), star), "pairs")
+    rest = remaining_pairs(members.where("token is not null").select("token", "node"), labels, nodes)
+    rest = stored(plausible(_untried(rest, star), nodes), "pairs")
     labels = _merged(labels, stored(verified(rest, docs), "links"))
 
     own = nodes.select("d1", "d2", "node").join(labels, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
