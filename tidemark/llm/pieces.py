@@ -5,8 +5,8 @@ sums the probability of all paths up to every place, backward sampling draws one
 path from the end.  The draws are hashes of the row's key, the unit's
 number in the row and the step, so a row gets the same pieces in any partition,
 run or retry.  No piece has a space after another character, so the lattice
-falls apart at spaces: a unit is a run of spaces with what follows it, and is
-filtered once however often it occurs.  The draws of all units of a chunk of
+falls apart at spaces, and where no piece goes on from a letter to another sign, before
+those: the parts are units, each filtered once however often it occurs.  The draws of all units of a chunk of
 texts are made together, step by step, in numpy.
 
 The vocabulary ranks its pieces by merge; their probabilities follow Zipf's law
@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,9 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LITERAL = "\ud800"              # stands for a U+2581 of the text; no text can hold it
 SHARPNESS = 0.3                 # exponent on the probabilities: 1 and above nearer to the best path
+CHUNK_BYTES = 1 << 18           # of texts encoded together; a longer text is a chunk of its own
 SHORT = 64                      # longer units are filtered one by one
-MOST_NODES = 2_000_000          # of remembered units, then they are forgotten
+MOST_NODES = 1_000_000          # of remembered units, then they are forgotten
 
 
 class Pieces:
@@ -63,9 +65,13 @@ class Pieces:
         for i in range(n):
             self.weight[i] = sharpness * -math.log((places.get(i, len(ranks) + 128) + 2.7) * total)
         self.starts = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
-        self._trie(sharpness)
+        self.sharpness, self.radix = sharpness, 0
         alone = "" if any("\n" in p for p in self.ids) else "\n"
-        self.unit = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|{alone}" if alone else ""))
+        inner = f"[^{SPACE}{alone}]+"
+        # where no piece goes on from a letter or digit to another sign, units end there too
+        if not any(re.search(r"[^\W_](?=[\W_])", p) for p in self.ids):
+            inner = rf"(?:[^\w{SPACE}{alone}]|_)*[^\W_]+|{SPACE}*(?:[^\w{SPACE}{alone}]|_)+"
+        self.unit = re.compile(f"{SPACE}*{inner}|{SPACE}+" + (f"|{alone}" if alone else ""))
 
     def units(self, text: str) -> list[str]:
         """Runs between which no piece reaches; a space is put before the text."""
@@ -75,19 +81,54 @@ class Pieces:
         texts = self.texts
         return b"".join([texts[i] for i in ids])[1:].decode("utf-8")
 
-    def _trie(self, sharpness: float) -> None:
-        """Transitions (node, character) -> node as sorted keys, and the piece each node spells."""
+    def _trie(self) -> None:
+        """Transitions (node, character) -> node in a hash table, and the piece each node spells."""
         nodes = {p: k for k, p in enumerate(sorted(self.starts), 1)}
         nodes[""] = 0
-        steps = sorted((nodes[p[:-1]] << 21 | ord(p[-1]), k) for p, k in nodes.items() if p)
-        self.step_keys = np.array([k for k, _ in steps], dtype=np.int64)
-        self.step_nodes = np.array([n for _, n in steps], dtype=np.int64)
+        letters = sorted({c for p in self.starts for c in p})
+        self.letters = np.array([ord(c) for c in letters], dtype=np.int32)         # 0 stands for all others
+        numbers = {c: k for k, c in enumerate(letters, 1)}
+        self.radix = len(letters) + 1
+        if len(nodes) * self.radix >= 1 << 31:
+            raise ValueError("the vocabulary is too large for 32-bit transitions")
+        self.bits = (4 * len(nodes)).bit_length()
+        self.slot_keys = np.full(1 << self.bits, -1, dtype=np.int32)
+        self.slot_nodes = np.zeros(1 << self.bits, dtype=np.int32)
+        spelt = [p for p in nodes if p]
+        keys = np.array([nodes[p[:-1]] * self.radix + numbers[p[-1]] for p in spelt], dtype=np.int32)
+        children = np.array([nodes[p] for p in spelt], dtype=np.int32)
+        slots = self._slots(keys)
+        while len(keys):                    # of the keys that meet in a free slot one stays, the others go on
+            free = np.flatnonzero(self.slot_keys[slots] < 0)
+            taken, first = np.unique(slots[free], return_index=True)
+            self.slot_keys[taken], self.slot_nodes[taken] = keys[free[first]], children[free[first]]
+            rest = np.ones(len(keys), dtype=bool)
+            rest[free[first]] = False
+            keys, children = keys[rest], children[rest]
+            slots = (slots[rest] + np.uint32(1)) & np.uint32((1 << self.bits) - 1)
         self.spelled = np.full(len(nodes), -1, dtype=np.int32)
         for p, i in self.ids.items():
             self.spelled[nodes[p]] = i
         self.longest = max(map(len, self.ids))
         # probabilities scaled by a constant per character, so that products over a unit stay in range
-        self.scaled = np.exp(np.array(self.weight) + 5.0 * sharpness * np.array([len(t.decode("utf-8", "replace")) for t in self.texts]))
+        self.scaled = np.exp(np.array(self.weight) + 5.0 * self.sharpness * np.array([len(t.decode("utf-8", "replace")) for t in self.texts]))
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (keys.view(np.uint32) * np.uint32(2654435769)) >> np.uint32(32 - self.bits)
+
+    def _step(self, nodes: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which transitions there are, and where those lead."""
+        keys = nodes * np.int32(self.radix) + letters
+        slots = self._slots(keys)
+        found = self.slot_keys[slots]
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            slots[open_] = (slots[open_] + np.uint32(1)) & np.uint32((1 << self.bits) - 1)
+            found[open_] = self.slot_keys[slots[open_]]
+            open_ = open_[(found[open_] != keys[open_]) & (found[open_] >= 0)]
+        hit = found == keys
+        return hit, self.slot_nodes[slots[hit]]
 
     def lattices(self, units: list[str]) -> tuple[np.ndarray, ...]:
         """The lattices of many units of at most ``SHORT`` characters, one after the other.
@@ -95,19 +136,21 @@ class Pieces:
         As :meth:`lattice`, with places of the whole; and which units have a character
         without a piece: their part is not to be used.
         """
-        text = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-        lens = np.array([len(u) for u in units])
-        base = np.repeat(np.cumsum(lens) - lens, lens)
-        left = np.repeat(np.cumsum(lens), lens) - np.arange(len(text))
-        at, node, found = np.arange(len(text)), np.zeros(len(text), dtype=np.int64), []
+        if not self.radix:              # decoding never needs it
+            self._trie()
+        text = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.int32)
+        place = np.minimum(np.searchsorted(self.letters, text), len(self.letters) - 1)
+        letter = np.where(self.letters[place] == text, place + 1, 0).astype(np.int32)
+        lens = np.fromiter(map(len, units), np.int32, len(units))
+        ends = np.cumsum(lens, dtype=np.int32)
+        base = np.repeat(ends - lens, lens)
+        left = np.repeat(ends, lens) - np.arange(len(text), dtype=np.int32)
+        at, node, found = np.arange(len(text), dtype=np.int32), np.zeros(len(text), dtype=np.int32), []
         for size in range(1, self.longest + 1):
             go = left[at] >= size
             at, node = at[go], node[go]
-            key = node << 21 | text[at + size - 1]
-            place = np.searchsorted(self.step_keys, key)
-            place[place == len(self.step_keys)] = 0
-            hit = self.step_keys[place] == key
-            at, node = at[hit], self.step_nodes[place[hit]]
+            hit, node = self._step(node, letter[at + (size - 1)])
+            at = at[hit]
             piece = self.spelled[node]
             known = piece >= 0
             if size == 1:
@@ -116,9 +159,9 @@ class Pieces:
             found.append((at[known], piece[known]))
         start = np.concatenate([f[0] for f in found])
         piece = np.concatenate([f[1] for f in found])
-        size = np.repeat(np.arange(1, len(found) + 1), [len(f[0]) for f in found])
+        size = np.repeat(np.arange(1, len(found) + 1, dtype=np.int32), [len(f[0]) for f in found])
         end = start + size - 1
-        prev = np.where(start > base[start], start - 1, -1)
+        prev = np.where(start > base[start], start - 1, np.int32(-1))
         depth = (end - base[end]).astype(np.uint8)
         order = np.argsort(depth, kind="stable")
         cuts = np.searchsorted(depth[order], np.arange(SHORT + 1))
@@ -131,9 +174,9 @@ class Pieces:
         with np.errstate(invalid="ignore", divide="ignore"):
             share /= alpha[end]
         count = np.bincount(end, minlength=len(text))
-        first = np.cumsum(count) - count
-        out = [np.empty(len(end), np.int64), np.empty(len(end), np.int32), np.empty(len(end))]
-        filled, run = np.zeros(len(text), dtype=np.int64), np.zeros(len(text))
+        first = (np.cumsum(count) - count).astype(np.int32)
+        out = [np.empty(len(end), np.int32), np.empty(len(end), np.int32), np.empty(len(end))]
+        filled, run = np.zeros(len(text), dtype=np.int32), np.zeros(len(text))
         stop = len(end)
         for starts, _ in reversed(found):           # longest pieces first: they are the likeliest
             own = slice(stop - len(starts), stop)
@@ -144,7 +187,7 @@ class Pieces:
             out[0][slot], out[1][slot], out[2][slot] = prev[own], piece[own], run[end[own]]
         full = count > 0
         out[2][(first + count - 1)[full]] = 2.0
-        return (*out, first, np.add.reduceat(bad, np.cumsum(lens) - lens) > 0)
+        return (*out, first, np.add.reduceat(bad, ends - lens) > 0)
 
     def lattice(self, unit: str) -> tuple[list[int], list[int], list[float], list[int]]:
         """Edges grouped by the node they end in: previous node (-1: start), piece,
@@ -222,15 +265,15 @@ class Sampler:
 
     def forget(self) -> None:
         self.ends: dict[str, int] = {}
-        self.prev, self.piece = _Growing(np.int64), _Growing(np.int32)
-        self.cum, self.first = _Growing(np.float64), _Growing(np.int64)
+        self.prev, self.piece = _Growing(np.int32), _Growing(np.int32)
+        self.cum, self.first = _Growing(np.float64), _Growing(np.int32)
 
     def learn(self, units: Sequence[str]) -> None:
         short = [u for u in units if len(u) <= SHORT]
         rest = [u for u in units if len(u) > SHORT]
         if short:
             prev, piece, cum, first, bad = self.pieces.lattices(short)
-            nodes = np.cumsum([len(u) for u in short]) + self.first.size - 1
+            nodes = np.cumsum(np.fromiter(map(len, short), np.int64, len(short))) + self.first.size - 1
             self.ends.update(zip(short, nodes.tolist()))
             rest += [u for u, b in zip(short, bad) if b]
             self._add(prev, piece, cum, first)
@@ -252,9 +295,11 @@ class Sampler:
         if self.first.size > MOST_NODES:
             self.forget()
         ends = self.ends
-        self.learn(sorted({u for own in units for u in own if u not in ends}))
+        new = set().union(*units).difference(ends)
+        if new:
+            self.learn(sorted(new))
         per = np.array([len(u) for u in units], dtype=np.int64)
-        at = np.array([ends[u] for own in units for u in own], dtype=np.int64)
+        at = np.fromiter(map(ends.__getitem__, chain.from_iterable(units)), np.int32, int(per.sum()))
         prev, piece, cum, first = (g.data for g in (self.prev, self.piece, self.cum, self.first))
         number = np.arange(len(at)) - np.repeat(np.cumsum(per) - per, per)
         with np.errstate(over="ignore"):
@@ -308,7 +353,7 @@ def encode_pieces(docs: DataFrame, vocabulary: str = VOCABULARY, key: str = "doc
         sampler = Sampler(Pieces(model.value, sharpness), seed)
         for b in batches:
             texts, keys = b.column("text").to_pylist(), row_keys(b.column(key).to_pylist())
-            for start, stop in chunks([t or "" for t in texts]):
+            for start, stop in chunks([t or "" for t in texts], CHUNK_BYTES):
                 part = texts[start:stop]
                 ids, per = sampler.encode(part, keys[start:stop])
                 offsets = pa.array(np.concatenate(([0], np.cumsum(per))), pa.int32(),
