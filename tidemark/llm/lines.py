@@ -6,7 +6,7 @@ frequent the line is.  A document is aligned with each earlier one it is linked
 to, by patience diff: the common lines that are unique in both (a repeated line counts
 with the number of its occurrence) are cut down to a longest increasing
 run, and neighbouring anchors are joined to a block where rolling hashes show
-that all lines between them are equal too.  Blocks of enough words are deleted
+that all lines between them are equal too.  Moved passages are joined likewise.  Blocks of enough words are deleted
 from the later document.
 
 Only places and hashes of lines are moved for the links, and a document's links come
@@ -115,8 +115,21 @@ def common_blocks(anchors: Sequence[dict], least_words: int = LEAST_WORDS) -> li
 
     ``anchors`` are their common lines, in order of ``line``, each with place, rolling
     hashes and words in the later document and ``o_line``, ``o_before``, ``o_after`` in the other.
+    The longest increasing run is the alignment.  A passage that was moved is not in it;
+    the anchors outside its blocks are joined along their diagonals.
     """
     chain = [anchors[i] for i in longest_increasing([a["o_line"] for a in anchors])]
+    found = _joined(chain, least_words)
+    inside = {k for first, last in found for k in range(first, last + 1)}
+    moved: dict[int, list[dict]] = defaultdict(list)
+    for a in anchors:
+        if a["line"] not in inside:
+            moved[a["line"] - a["o_line"]].append(a)
+    return sorted(found + [b for own in moved.values() for b in _joined(own, least_words)])
+
+
+def _joined(chain: Sequence[dict], least_words: int) -> list[tuple[int, int]]:
+    """Blocks of enough words among anchors that increase in both documents."""
     blocks: list[list[dict]] = []
     for a in chain:
         last = blocks[-1][-1] if blocks else None

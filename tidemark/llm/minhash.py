@@ -141,13 +141,16 @@ def compare_with_next(docs: DataFrame, lanes: int = LANES) -> DataFrame:
     cuts = ids.agg(F.percentile_approx("at", [k / tasks for k in range(1, tasks)] or [0.5], 100 * tasks)).first()[0] or []
     cuts = sorted(set(cuts)) if tasks > 1 else []
 
+    def long(value: int):
+        return F.lit(value).cast("bigint")
+
     def part(at):
-        return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= at)) if cuts else F.lit(0)
+        return F.size(F.filter(F.array(*map(long, cuts)), lambda c: c <= at)) if cuts else F.lit(0)
 
     firsts = sorted((r["part"], r["at"]) for r in ids.groupBy(part(F.col("at")).alias("part"))
                     .agg(F.min("at").alias("at")).collect())
     before = {at: firsts[k - 1][0] for k, (_, at) in enumerate(firsts)}     # the first: to the last range
-    halo = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))[F.col("at")] if before else F.lit(None).cast("int")
+    halo = F.create_map(*(c for i, p in before.items() for c in (long(i), F.lit(p))))[F.col("at")] if before else F.lit(None).cast("int")
     dealt = (keyed.select("doc_id", "at", "text", F.explode(F.filter(F.array(
                 F.struct(part(F.col("at")).alias("part"), F.lit(False).alias("halo")),
                 F.struct(halo.alias("part"), F.lit(True).alias("halo"))), lambda s: s["part"].isNotNull())).alias("to"))
