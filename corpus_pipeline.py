@@ -64,8 +64,8 @@ def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Columns of those two names are replaced.
     """
-    both = pieces.decode_pieces(pieces.encode_pieces(_packed(docs)))
-    return _unpacked(both, docs, piece_ids=F.col("piece_ids"), lossless=F.col("decoded").eqNullSafe(F.col("text")))
+    done = pieces.encode_pieces(_packed(docs), check=True)
+    return _unpacked(done, docs, piece_ids=F.col("piece_ids"), lossless=F.col("lossless"))
 
 
 STAGES = [

@@ -42,6 +42,7 @@ def test_pieces_round_trip_and_repeatable(frame):
     assert len(same) == 2 and same[0] == same[1]
     again = {(r.doc_id, r.text): r.piece_ids for r in pieces.encode_pieces(df.repartition(5)).collect()}
     assert all(again[r.doc_id, r.text] == r.piece_ids for r in got)
+    assert all(r.lossless and r.piece_ids == again[r.doc_id, r.text] for r in pieces.encode_pieces(df, check=True).collect())
     other = {(r.doc_id, r.text): r.piece_ids for r in pieces.encode_pieces(df, seed=1).collect()}
     assert any(other[r.doc_id, r.text] != r.piece_ids for r in got)
     assert pieces.encode_pieces(df.limit(0)).count() == 0

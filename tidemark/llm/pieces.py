@@ -34,7 +34,7 @@ LITERAL = "\ud800"              # stands for a U+2581 of the text; no text can h
 SHARPNESS = 0.3                 # exponent on the probabilities: 1 and above nearer to the best path
 CHUNK_BYTES = 1 << 18           # of texts encoded together; a longer text is a chunk of its own
 SHORT = 64                      # longer units are filtered one by one
-MOST_NODES = 1_000_000          # of remembered units, then they are forgotten
+MOST_NODES = 700_000            # of remembered units, then they are forgotten
 
 
 class Pieces:
@@ -339,14 +339,16 @@ def _model(df: DataFrame, path: str):
 
 
 def encode_pieces(docs: DataFrame, vocabulary: str = VOCABULARY, key: str = "doc_id", seed: int = 0,
-                  sharpness: float = SHARPNESS) -> DataFrame:
+                  sharpness: float = SHARPNESS, check: bool = False) -> DataFrame:
     """``docs`` plus ``piece_ids``: a sampled segmentation of ``text``.
 
     It depends on the text, the integer ``key`` column and the seed only; repeated rows
-    get equal ids.  Null text: null; empty text: no piece.  A column of that
-    name is replaced.
+    get equal ids.  Null text: null; empty text: no piece.  With ``check`` the ids are decoded
+    where they were made, and ``lossless`` says whether that gave the text back.  Columns
+    of those names are replaced.
     """
-    docs = docs.drop("piece_ids")
+    added = ["piece_ids", "lossless"] if check else ["piece_ids"]
+    docs = docs.drop(*added)
     model = _model(docs, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,10 +361,15 @@ def encode_pieces(docs: DataFrame, vocabulary: str = VOCABULARY, key: str = "doc
                 offsets = pa.array(np.concatenate(([0], np.cumsum(per))), pa.int32(),
                                    mask=np.array([t is None for t in part] + [False]))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
+                new = [lists]
+                if check:
+                    ends = np.cumsum(per).tolist()
+                    new.append(pa.array([t is None or sampler.pieces.decode(ids[e - n:e].tolist()) == t
+                                         for t, e, n in zip(part, ends, per.tolist())], pa.bool_()))
                 rows = b.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([*rows.columns, lists], [*rows.schema.names, "piece_ids"])
+                yield pa.RecordBatch.from_arrays([*rows.columns, *new], [*rows.schema.names, *added])
 
-    return docs.mapInArrow(run, extended(docs, "piece_ids array<int>"))
+    return docs.mapInArrow(run, extended(docs, "piece_ids array<int>" + (", lossless boolean" if check else "")))
 
 
 def decode_pieces(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -79,9 +79,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_sentencepiece")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = pieces.decode_pieces(pieces.encode_pieces(docs))
-    return both.select("doc_id", "piece_ids", F.size("piece_ids").cast("bigint").alias("n_pieces"),
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    return pieces.encode_pieces(docs, check=True).select(
+        "doc_id", "piece_ids", F.size("piece_ids").cast("bigint").alias("n_pieces"), "lossless")
 
 
 @query("op2_line_dedup")
