@@ -99,8 +99,9 @@ def plain_components(rows):
     return {i: (len(sets[i]), find(i)) for i, _ in rows}
 
 
-@pytest.mark.parametrize("pieces,heavy", [(setjoin.PIECE, setjoin.HEAVY), (4, 10**9)])
-def test_components_equal_brute_force(frame, monkeypatch, pieces, heavy):
+@pytest.mark.parametrize("small,pieces,heavy", [(setjoin.SMALL, setjoin.PIECE, setjoin.HEAVY), (3, 4, 10**9)])
+def test_components_equal_brute_force(frame, monkeypatch, small, pieces, heavy):
+    monkeypatch.setattr(setjoin, "SMALL", small)
     monkeypatch.setattr(setjoin, "PIECE", pieces)
     monkeypatch.setattr(setjoin, "HEAVY", heavy)
     rows = near_copies()

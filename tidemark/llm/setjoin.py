@@ -15,7 +15,8 @@ without their shingles.  The longer of two bitmaps is folded to the other's leng
 
 Trees.  First each member of a block is tried with the block's smallest member; that
 joins a group of near copies without all its pairs.  What remains are pairs of
-one block in different components.  They are found by a signature tree per block: nodes
+one block in different components.  They are found by a signature tree per block (a sweep
+over the sizes where it is small): nodes
 hold the OR of their bitmaps and the range of their sizes and components; two
 trees are walked together, and a pair of nodes goes on only while the largest overlap
 possible could make a link.  Large blocks are cut into pieces walked pair by pair.
@@ -39,7 +40,8 @@ NEED, OF = 80, 100              # linked: OF * common >= NEED * union
 BITS = 2048                     # of a tree's bitmaps, and the least of a set's
 COUNTERS = 1 << 20              # shingles are counted by 20 bits of their hash, to find frequent ones
 TASK_LEAST, HEAVY = 16, 200     # a counter is reported by a task from the one, and frequent from the other
-PIECE = 512                     # members of a block's piece
+SMALL = 64                      # members of a block whose pairs are found by size alone
+PIECE = 512                     # members of a larger block's piece
 FAN = 8
 BROADCAST_IDS = 300_000         # ids that are broadcast at most; beyond it, a shuffled join
 
@@ -133,51 +135,53 @@ def set_nodes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def block_members(nodes: DataFrame) -> DataFrame:
-    """Pairs (``first``, ``node``) of each block's smallest member with another, and the
-    members (``token``, ``first``, ``node``) of blocks of three or more.
+    """Members of each block beside its smallest one: ``token, first, node, n, fits``.
 
-    Blocks pass as sorted streams; of a block, whatever its size, its first two members are held.
+    ``fits`` says that the two sizes allow a link.  Blocks of two come without a token, and only
+    if they fit: there is no other pair in them.  Blocks pass as sorted streams; of a
+    block, whatever its size, its first two members are held.
     """
-    rows = (nodes.select(F.explode("prefix").alias("token"), "node")
+    rows = (nodes.select(F.explode("prefix").alias("token"), "node", "n")
             .repartition("token").sortWithinPartitions("token", "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened: tuple[int, int] | None = None       # token and first member of a block of three or more
-        token, node = np.empty(0, np.int64), np.empty(0, np.int64)      # members of a block of fewer so far
+        opened: tuple | None = None             # token, first member and its size of a block of three or more
+        token, node, size = (np.empty(0, np.int64) for _ in range(3))   # members of a block of fewer so far
 
-        def batch(t, first, v, in_block):
-            different = (first != v) | in_block
-            t, first, v, in_block = t[different], first[different], v[different], in_block[different]
-            return pa.RecordBatch.from_arrays([pa.array(t, pa.int64(), mask=~in_block), pa.array(first, pa.int64()),
-                                               pa.array(v, pa.int64())], ["token", "first", "node"])
+        def batch(t, first, of_first, v, n, in_block):
+            fits = (first != v) & (OF * np.minimum(of_first, n) >= NEED * np.maximum(of_first, n))
+            kept = fits | in_block
+            return pa.RecordBatch.from_arrays(
+                [pa.array(t[kept], pa.int64(), mask=~in_block[kept]), pa.array(first[kept], pa.int64()), pa.array(v[kept], pa.int64()),
+                 pa.array(n[kept], pa.int64()), pa.array(fits[kept], pa.bool_())], ["token", "first", "node", "n", "fits"])
 
-        def closed(t, v):
+        def closed(t, v, n):
             starts = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
             sizes = np.diff(np.append(starts, len(t)))
-            return batch(t, np.repeat(v[starts], sizes), v, np.repeat(sizes >= 3, sizes))
+            return batch(t, np.repeat(v[starts], sizes), np.repeat(n[starts], sizes), v, n, np.repeat(sizes >= 3, sizes))
 
         for b in batches:
-            t, v = b.column("token").to_numpy(), b.column("node").to_numpy()
+            t, v, n = (b.column(c).to_numpy() for c in ("token", "node", "n"))
             if opened and len(t):
                 more = int(np.searchsorted(t != opened[0], True))
                 if more:
-                    yield batch(t[:more], np.full(more, opened[1]), v[:more], np.ones(more, dtype=bool))
-                    t, v = t[more:], v[more:]
+                    yield batch(t[:more], np.full(more, opened[1]), np.full(more, opened[2]), v[:more], n[:more], np.ones(more, dtype=bool))
+                    t, v, n = t[more:], v[more:], n[more:]
                 if len(t):
                     opened = None
-            token, node = np.concatenate((token, t)), np.concatenate((node, v))
+            token, node, size = np.concatenate((token, t)), np.concatenate((node, v)), np.concatenate((size, n))
             if not len(token):
                 continue
             last = int(np.searchsorted(token == token[-1], True)) if not opened else 0
             if len(token) - last >= 3:
-                opened, last = (int(token[-1]), int(node[last])), len(token)
+                opened, last = (int(token[-1]), int(node[last]), int(size[last])), len(token)
             if last:
-                yield closed(token[:last], node[:last])
-            token, node = token[last:], node[last:]
+                yield closed(token[:last], node[:last], size[:last])
+            token, node, size = token[last:], node[last:], size[last:]
         if len(token):
-            yield closed(token, node)
+            yield closed(token, node, size)
 
-    return rows.mapInArrow(run, "token bigint, first bigint, node bigint")
+    return rows.mapInArrow(run, "token bigint, first bigint, node bigint, n bigint, fits boolean")
 
 
 def may_link(n1, n2, common_bits, surplus) -> np.ndarray:
@@ -289,21 +293,79 @@ def _children(i, j, down_x, down_y, width_x, width_y):
     return a[inside], b[inside]
 
 
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str], values: list[str]) -> Iterator[tuple | None]:
+    """(key, rows) of each group in a stream sorted by its keys; None after every batch."""
+    now, held = None, []
+    for b in batches:
+        for key, row in zip(zip(*(b.column(c).to_pylist() for c in keys)), zip(*(b.column(c).to_pylist() for c in values))):
+            if key != now:
+                if held:
+                    yield now, held
+                now, held = key, []
+            held.append(row)
+        yield None
+    if held:
+        yield now, held
+
+
+def _pair_batches(groups: Iterator[tuple | None], pairs) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b), a < b, that ``pairs(key, rows)`` finds; once per input batch."""
+    def batch(found):
+        found = sorted({(min(p), max(p)) for p in found})
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    found = []
+    for group in groups:
+        if group is None:
+            yield batch(found)
+            found = []
+        else:
+            found += pairs(*group)
+    if found:
+        yield batch(found)
+
+
+def fitting_pairs(size: np.ndarray, comp: np.ndarray, item: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of a small block whose sizes allow a link and whose components differ, by a sweep over the sizes."""
+    order = np.lexsort((item, size))
+    size, comp, item = size[order], comp[order], item[order]
+    stops = np.searchsorted(size, OF * size // NEED, side="right")
+    return [(int(item[i]), int(item[j])) for i, stop in enumerate(stops) for j in range(i + 1, stop) if comp[i] != comp[j]]
+
+
 def remaining_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Plausible pairs of one block whose components differ, by walking signature trees.
+    """Pairs of one block whose components differ and that sizes and trees don't rule out.
 
-    Blocks with the same members count once.  A block falls into the component of its
-    first member and the others; both are cut into pieces, and a tree of each piece is walked with
-    those it has to be compared with, so no task holds more than two pieces.
+    Blocks with the same members count once.  In a block of up to ``SMALL`` members a sweep over the
+    sizes is enough, and no bitmap is moved.  A larger block falls into the component of its
+    first member and the others; both are cut into pieces, and a signature tree of each piece
+    is walked with those it has to be compared with, so no task holds more than two pieces.
     """
-    marked = members.join(labels.toDF("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    marked = (members.select("token", "node", "n").join(labels.toDF("node", "component"), "node", "left")
+              .withColumn("component", F.coalesce("component", "node")))
     blocks = marked.groupBy("token").agg(
         F.min(F.struct("node", "component")).alias("least"), F.count("*").alias("size"),
         F.max("component").alias("most"), F.min("component").alias("fewest"),
         F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("sum"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("mixed"))
     blocks = (blocks.where("most <> fewest").groupBy("size", "sum", "mixed", "least")
-              .agg(F.min("token").alias("token")).select("token", F.col("least.component").alias("main")))
-    rows = marked.join(blocks, "token").withColumn("other", F.col("component") != F.col("main"))
+              .agg(F.min("token").alias("token")).select("token", "size", F.col("least.component").alias("main")))
+    rows = stored(marked.join(blocks, "token").withColumn("other", F.col("component") != F.col("main")), "blocks")
+    return _small_blocks(rows.where(F.col("size") <= SMALL)).unionByName(_large_blocks(rows.where(F.col("size") > SMALL), nodes)).distinct()
+
+
+def _small_blocks(rows: DataFrame) -> DataFrame:
+    dealt = rows.select("token", "node", "n", "component").repartition("token").sortWithinPartitions("token")
+
+    def pairs(_, held):
+        return fitting_pairs(*(np.array(c, dtype=np.int64) for c in zip(*held)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _pair_batches(_grouped(batches, ["token"], ["n", "component", "node"]), pairs)
+
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
+def _large_blocks(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     sizes = rows.groupBy("token").agg(F.count_if(~F.col("other")).alias("mains"), F.count_if("other").alias("others"))
     rows = rows.join(sizes, "token")
     k_main = F.ceil(F.col("mains") / PIECE).cast("int")
@@ -320,43 +382,23 @@ def remaining_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) ->
                                                              (F.col("own") > o).cast("int").alias("side")))
     none = F.array().cast("array<struct<kind:int,p:int,q:int,side:int>>")
     groups = F.concat(cross, F.when(F.col("other") & (F.col("others") > 1), inner).otherwise(none))
-    dealt = (rows.withColumn("own", own).select("token", "node", "component", F.explode(groups).alias("g"))
-             .select("token", "node", "component", "g.*")
-             .join(nodes.select("node", "n", "bitmap"), "node")
+    dealt = (rows.withColumn("own", own).select("token", "node", "n", "component", F.explode(groups).alias("g"))
+             .select("token", "node", "n", "component", "g.*")
+             .join(nodes.select("node", "bitmap"), "node")
              .repartition("token", "kind", "p", "q").sortWithinPartitions("token", "kind", "p", "q", "side", "node"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
-
-        def pairs():
-            side = np.array([h[0] for h in held])
-            size = np.array([h[1] for h in held], dtype=np.int64)
-            bits = np.stack([folded(h[2], BITS) for h in held])
-            comp = np.array([h[3] for h in held], dtype=np.int64)
-            item = np.array([h[4] for h in held], dtype=np.int64)
-            trees = [Tree(size[side == s], bits[side == s], comp[side == s], item[side == s]) for s in (0, 1) if (side == s).any()]
-            if len(trees) == 2:
-                return walk(*trees)
-            return walk(trees[0], trees[0]) if now[1] == 1 and now[2] == now[3] else []
-
-        def batch(found):
-            found = sorted({(min(p), max(p)) for p in found})
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+    def pairs(key, held):
+        side, size, comp, item = (np.array([h[k] for h in held], dtype=np.int64) for k in (0, 1, 3, 4))
+        bits = np.stack([folded(h[2], BITS) for h in held])
+        trees = [Tree(size[side == s], bits[side == s], comp[side == s], item[side == s]) for s in (0, 1) if (side == s).any()]
+        if len(trees) == 2:
+            return walk(*trees)
+        return walk(trees[0], trees[0]) if key[1] == 1 and key[2] == key[3] else []
 
-        for b in batches:
-            found = []
-            for key, row in zip(zip(*(b.column(c).to_pylist() for c in ("token", "kind", "p", "q"))),
-                                zip(*(b.column(c).to_pylist() for c in ("side", "n", "bitmap", "component", "node")))):
-                if key != now:
-                    if held:
-                        found += pairs()
-                    now, held = key, []
-                held.append(row)
-            yield batch(found)
-        if held:
-            yield batch(pairs())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _pair_batches(_grouped(batches, ["token", "kind", "p", "q"], ["side", "n", "bitmap", "component", "node"]), pairs)
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -393,13 +435,13 @@ def similar_components(docs: DataFrame) -> DataFrame:
     nodes = stored(set_nodes(docs, frequent), "nodes")
     members = stored(block_members(nodes), "members")
 
-    star = members.select(F.col("first").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+    star = members.where("fits").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     star = stored(plausible(star, nodes), "star")
     nearest = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     labels = connected_components(stored(verified(nearest, docs), "links"))
     labels = _merged(labels, stored(verified(stored(
         _apart(star.join(nearest, ["a", "b"], "left_anti"), labels).select("a", "b"), "pairs"), docs), "links"))
-    rest = remaining_pairs(members.where("token is not null").select("token", "node"), labels, nodes)
+    rest = remaining_pairs(members.where("token is not null"), labels, nodes)
     rest = stored(plausible(_untried(rest, star), nodes), "pairs")
     labels = _merged(labels, stored(verified(rest, docs), "links"))
 
