@@ -277,3 +277,17 @@ def test_queries_equal_their_sql(spark, name):
     cur = con.execute(ORACLES[name])
     order = [[c[0] for c in cur.description].index(c) for c in df.columns]
     assert rows_of(df) == sorted((tuple(r[k] for k in order) for r in cur.fetchall()), key=str)
+
+
+@pytest.mark.parametrize("texts,sql,run", [
+    (SECRETS, ORACLES["op4_secret_scan"], lambda df: secret_scan.digests(secret_scan.find_secrets(df))),
+    (LICENSED, ORACLES["op6_license_scan"], licenses.scan_licenses)], ids=["secrets", "licenses"])
+def test_sql_on_hard_texts(frame, tmp_path, texts, sql, run):
+    import duckdb
+    df = docs(frame, *texts)
+    df.select("doc_id", "text").write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    got, cur = run(df), con.execute(sql)
+    order = [[c[0] for c in cur.description].index(c) for c in got.columns]
+    assert rows_of(got) == sorted((tuple(r[k] for k in order) for r in cur.fetchall()), key=str)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, leaks, licenses, lines, minhash, personal, pieces, quality, secret_scan, setjoin
+from . import chat, leaks, licenses, lines, minhash, oracles, personal, pieces, quality, secret_scan, setjoin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,7 +54,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.compare_with_next(table(spark, folder, "documents"))
 
 
-@query("op4_secret_scan")
+@query("op4_secret_scan", oracles.SECRETS)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.find_secrets(table(spark, folder, "documents")))
 
@@ -64,7 +64,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return personal.digests(personal.find_personal_data(table(spark, folder, "documents")))
 
 
-@query("op6_license_scan")
+@query("op6_license_scan", oracles.LICENSES)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents"))
 
@@ -97,6 +97,6 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
 
 
-@query("op5_ngram_jaccard_join")
+@query("op5_ngram_jaccard_join", oracles.JACCARD)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return setjoin.similar_components(table(spark, folder, "documents"))
