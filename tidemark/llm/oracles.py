@@ -11,6 +11,11 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _MARK = "chr(57344)"
 
 
+def _either_case(pattern: str) -> str:
+    """``(?i:...)`` spelled out for a-z: DuckDB's own folds other letters too."""
+    return re.sub(r"\(\?i:([^)]*)\)", lambda m: "(?:" + re.sub("[a-z]", lambda c: f"[{c[0]}{c[0].upper()}]", m[1]) + ")", pattern)
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -48,10 +53,11 @@ def _secrets() -> str:
     plain = [re.sub(r"([+}])\+", r"\1", p) for p in secret_scan.ALLOWED]
     harmless = " OR ".join(f"regexp_matches(value, {_text(p)})" for p in plain)
     weight = "[" + ", ".join(map(str, secret_scan.WEIGHT)) + "]"
+    shapes = {k: _either_case(p) for k, p in secret_scan.KNOWN.items()}
     base = " UNION ALL ".join(
         "SELECT *, {} AS rank FROM ({})".format(n, _spans(k, p, f"length(regexp_extract(value, {_text(p)}, 1)) >= {secret_scan.ASSIGNED_LENGTH}"
                                                           if k == "assign" else "true"))
-        for n, (k, p) in enumerate(secret_scan.KNOWN.items()))
+        for n, (k, p) in enumerate(shapes.items()))
     counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in (*secret_scan.KNOWN, "entropy"))
     known = ", ".join(f"'{k}'" for k in secret_scan.KNOWN)
     shown = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop)"
