@@ -99,11 +99,11 @@ def plain_components(rows):
     return {i: (len(sets[i]), find(i)) for i, _ in rows}
 
 
-@pytest.mark.parametrize("small,pieces,heavy", [(setjoin.SMALL, setjoin.PIECE, setjoin.HEAVY), (3, 4, 10**9)])
+@pytest.mark.parametrize("small,pieces,heavy", [(setjoin.SMALL, setjoin.PIECE, setjoin.ABOVE), (3, 4, 0), (64, 4, 10**9)])
 def test_components_equal_brute_force(frame, monkeypatch, small, pieces, heavy):
     monkeypatch.setattr(setjoin, "SMALL", small)
     monkeypatch.setattr(setjoin, "PIECE", pieces)
-    monkeypatch.setattr(setjoin, "HEAVY", heavy)
+    monkeypatch.setattr(setjoin, "ABOVE", heavy)
     rows = near_copies()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in setjoin.similar_components(docs(frame, rows)).collect()}
     assert got == plain_components(rows)

@@ -294,12 +294,15 @@ class Sampler:
         units = [self.pieces.units(t) if t else [] for t in texts]
         if self.first.size > MOST_NODES:
             self.forget()
-        ends = self.ends
-        new = set().union(*units).difference(ends)
-        if new:
-            self.learn(sorted(new))
+        ends, flat = self.ends, list(chain.from_iterable(units))
+        places = list(map(ends.get, flat))
+        missing = [k for k, p in enumerate(places) if p is None]
+        if missing:
+            self.learn(list({flat[k] for k in missing}))
+            for k in missing:
+                places[k] = ends[flat[k]]
         per = np.array([len(u) for u in units], dtype=np.int64)
-        at = np.fromiter(map(ends.__getitem__, chain.from_iterable(units)), np.int32, int(per.sum()))
+        at = np.array(places, dtype=np.int32)
         prev, piece, cum, first = (g.data for g in (self.prev, self.piece, self.cum, self.first))
         number = np.arange(len(at)) - np.repeat(np.cumsum(per) - per, per)
         with np.errstate(over="ignore"):

@@ -39,7 +39,8 @@ from .shingles import chunks, mix, shingle_hashes
 NEED, OF = 80, 100              # linked: OF * common >= NEED * union
 BITS = 2048                     # of a tree's bitmaps, and the least of a set's
 COUNTERS = 1 << 20              # shingles are counted by 20 bits of their hash, to find frequent ones
-TASK_LEAST, HEAVY = 16, 200     # a counter is reported by a task from the one, and frequent from the other
+SLICE = 1 << 14                 # counters of a row
+SIGMAS, ABOVE = 6, 20           # frequent: this far above the mean of the counters
 SMALL = 64                      # members of a block whose pairs are found by size alone
 PIECE = 512                     # members of a larger block's piece
 FAN = 8
@@ -80,10 +81,10 @@ def folded(bitmap: bytes, size: int) -> np.ndarray:
 
 
 def set_digests(docs: DataFrame) -> DataFrame:
-    """A row per document (``doc_id, n, d1, d2``) and a row per often used counter (``counter, seen``)."""
+    """A row per document (``doc_id, n, d1, d2``), and rows with the counters of each task (``slice, counts``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, dtype=np.int64)
-        names = ["doc_id", "n", "d1", "d2", "counter", "seen"]
+        names = ["doc_id", "n", "d1", "d2", "slice", "counts"]
         for b in batches:
             sets, digests, pending, size = [], [], [], 0
             for s in _distinct_sets(_texts(b)):
@@ -96,16 +97,48 @@ def set_digests(docs: DataFrame) -> DataFrame:
                     pending, size = [], 0
             if pending:
                 total += np.bincount(np.concatenate(pending), minlength=COUNTERS)
-            none = pa.nulls(len(sets), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(sets, pa.int64()),
                                               pa.array([d[0] for d in digests], pa.int64()),
-                                              pa.array([d[1] for d in digests], pa.int64()), none, none], names)
-        # beyond the mean, so that the report stays short in a task of any size
-        often = np.flatnonzero(total >= TASK_LEAST + 4 * total.mean())
-        none = pa.nulls(len(often), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(often, pa.int64()), pa.array(total[often], pa.int64())], names)
+                                              pa.array([d[1] for d in digests], pa.int64()),
+                                              pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
+        if total.any():
+            rows = np.minimum(total, 0xFFFF).astype(np.uint16).reshape(-1, SLICE)
+            none = pa.nulls(len(rows), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(np.arange(len(rows)), pa.int32()),
+                                              pa.array([r.tobytes() for r in rows], pa.binary())], names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, counter bigint, seen bigint")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, slice int, counts binary")
+
+
+def frequent_counters(told: DataFrame) -> np.ndarray:
+    """Which counters are far above the mean, of all tasks together.
+
+    The counters of a slice are summed as a stream; the driver gets a bit of each.
+    """
+    slices = (told.where("slice is not null").select("slice", "counts").repartition("slice").sortWithinPartitions("slice"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
+
+        def bits():
+            mean = total.mean()
+            often = total > mean + SIGMAS * np.sqrt(mean) + ABOVE
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(often).tobytes()], pa.binary())], ["slice", "bits"])
+
+        for b in batches:
+            for k, counts in zip(b.column("slice").to_pylist(), b.column("counts").to_pylist()):
+                if k != now:
+                    if now is not None:
+                        yield bits()
+                    now, total = k, np.zeros(SLICE, dtype=np.int64)
+                total += np.frombuffer(counts, np.uint16)
+        if now is not None:
+            yield bits()
+
+    out = np.zeros((COUNTERS // SLICE, SLICE), dtype=bool)
+    for r in slices.mapInArrow(run, "slice int, bits binary").collect():
+        out[r["slice"]] = np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
+    return out.ravel()
 
 
 def set_nodes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -428,11 +461,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     without an id has the component of an equal set with one, else null.
     """
     told = stored(set_digests(docs), "sets")
-    often = (told.where("counter is not null").groupBy("counter").agg(F.sum("seen").alias("seen"))
-             .where(F.col("seen") >= HEAVY).select("counter").toArrow().column("counter").to_numpy())   # at most COUNTERS numbers
-    frequent = np.zeros(COUNTERS, dtype=bool)
-    frequent[often] = True
-    nodes = stored(set_nodes(docs, frequent), "nodes")
+    nodes = stored(set_nodes(docs, frequent_counters(told)), "nodes")
     members = stored(block_members(nodes), "members")
 
     star = members.where("fits").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
@@ -446,7 +475,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     labels = _merged(labels, stored(verified(rest, docs), "links"))
 
     own = nodes.select("d1", "d2", "node").join(labels, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
-    every = told.where("counter is null").drop("counter", "seen").join(own, ["d1", "d2"], "left")
+    every = told.where("slice is null").drop("slice", "counts").join(own, ["d1", "d2"], "left")
     shared = F.when(F.col("n") > 0, F.col("component"))
     return every.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(shared, "doc_id").alias("component_id"))
 
