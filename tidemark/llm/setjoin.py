@@ -38,9 +38,9 @@ from .shingles import chunks, mix, shingle_hashes
 
 NEED, OF = 80, 100              # linked: OF * common >= NEED * union
 BITS = 2048                     # of a tree's bitmaps, and the least of a set's
-COUNTERS = 1 << 20              # shingles are counted by 20 bits of their hash, to find frequent ones
+COUNTERS = 1 << 21              # shingles are counted by 21 bits of their hash, to find frequent ones
 SLICE = 1 << 14                 # counters of a row
-SIGMAS, ABOVE = 6, 20           # frequent: this far above the mean of the counters
+SIGMAS, ABOVE = 3, 8            # frequent: this far above the mean of the counters
 SMALL = 64                      # members of a block whose pairs are found by size alone
 PIECE = 512                     # members of a larger block's piece
 FAN = 8
@@ -62,6 +62,17 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [(t or "").encode() for t in batch.column("text").to_pylist()]
 
 
+def _counter(s: np.ndarray) -> np.ndarray:
+    return (s >> _U(65 - COUNTERS.bit_length())).astype(np.int64)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that few texts are held beside their hashes."""
+    for b in batches:
+        for start in range(0, b.num_rows, rows):
+            yield b.slice(start, rows)
+
+
 def _digest(s: np.ndarray) -> tuple[int, int]:
     with np.errstate(over="ignore"):
         return int(mix(s).sum().astype(np.int64)), int(mix(s ^ _U(0xA5A5A5A55A5A5A5A)).sum().astype(np.int64))
@@ -85,12 +96,12 @@ def set_digests(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, dtype=np.int64)
         names = ["doc_id", "n", "d1", "d2", "slice", "counts"]
-        for b in batches:
+        for b in _parts(batches):
             sets, digests, pending, size = [], [], [], 0
             for s in _distinct_sets(_texts(b)):
                 sets.append(len(s))
                 digests.append(_digest(s))
-                pending.append((s >> _U(44)).astype(np.int64))
+                pending.append(_counter(s))
                 size += len(s)
                 if size > 1 << 20:
                     total += np.bincount(np.concatenate(pending), minlength=COUNTERS)
@@ -146,11 +157,11 @@ def set_nodes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     flags = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))         # COUNTERS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare_last = np.unpackbits(flags.value).astype(bool)
-        for b in batches:
+        frequent_bits = np.unpackbits(flags.value).astype(bool)
+        for b in _parts(batches):
             n, digests, bitmaps, prefixes = [], [], [], []
             for s in _distinct_sets(_texts(b)):
-                often = rare_last[(s >> _U(44)).astype(np.int64)]
+                often = frequent_bits[_counter(s)]
                 first = len(s) - -(-NEED * len(s) // OF) + 1 if len(s) else 0
                 n.append(len(s))
                 digests.append(_digest(s))
@@ -253,7 +264,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     asked = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _parts(batches):
             sets = [s.view(np.int64) for s in _distinct_sets(_texts(b))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "s"])
 

@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 WIDTH = 5
-CHUNK_BYTES = 1 << 21            # text hashed at a time; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20            # text hashed at a time; a longer text is a chunk of its own
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
