@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..operators import quality as q
+from ..session import stored
 from ..sources.tables import as_catalogue
 from .base import TABLES, cents, query, sql_cents, table
 from .shaping import BUCKETED_SQL, DAILY_DIMENSIONS_SQL, bucketed, daily_dimensions
@@ -98,7 +99,8 @@ SELECT dimension_type, count(*) AS compared, count(*) FILTER (m <> r) AS mismatc
 FROM mart JOIN raw USING (day, dimension_type) GROUP BY 1""")
 def reconcile(spark, d):
     """The bucketed mart must add up to the raw rows, day by day."""
-    return q.reconcile(bucketed(spark, d), daily_dimensions(spark, d),
+    rows = stored(daily_dimensions(spark, d), "dimensions")
+    return q.reconcile(bucketed(spark, d, rows), rows,
                        ["day", "dimension_type"], "value_cents", ["dimension_type"])
 
 

@@ -16,6 +16,7 @@ from ..operators.quality import newest_rows, value_counts
 from ..operators.shape import (aligned_union, differs_from, latest_day_rows, not_deleted,
                                real_loads, rolling_window)
 from ..schemas import layout
+from ..session import stored
 from .base import cents, query, sql_cents, table
 
 def event_day():
@@ -115,8 +116,9 @@ def daily_dimensions(spark, d):
     return parts[0].unionByName(parts[1])
 
 
-def bucketed(spark, d):
-    return topn_other(daily_dimensions(spark, d), ["day"], "dimension_type", "dimension_value",
+def bucketed(spark, d, rows=None):
+    rows = stored(daily_dimensions(spark, d), "dimensions") if rows is None else rows
+    return topn_other(rows, ["day"], "dimension_type", "dimension_value",
                       "users", {"User": 10}, ["users", "value_cents"])
 
 
