@@ -78,8 +78,7 @@ class Pieces:
         return self.unit.findall(SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE))
 
     def decode(self, ids: Sequence[int]) -> str:
-        texts = self.texts
-        return b"".join([texts[i] for i in ids])[1:].decode("utf-8")
+        return b"".join(map(self.texts.__getitem__, ids))[1:].decode("utf-8")
 
     def _trie(self) -> None:
         """Transitions (node, character) -> node in a hash table, and the piece each node spells."""
@@ -165,14 +164,18 @@ class Pieces:
         depth = (end - base[end]).astype(np.uint8)
         order = np.argsort(depth, kind="stable")
         cuts = np.searchsorted(depth[order], np.arange(SHORT + 1))
-        alpha, share = np.zeros(len(text)), self.scaled[piece]
-        for k in range(SHORT):
-            own = order[cuts[k]:cuts[k + 1]]
-            if len(own):
-                share[own] *= np.where(prev[own] >= 0, alpha[prev[own]], 1.0)
-                np.add.at(alpha, end[own], share[own])
+        # in order of depth, so that each step reads what the steps before have summed
+        prevs, ends_, shares = prev[order], end[order], self.scaled[piece[order]]
+        alpha = np.zeros(len(text) + 1)
+        alpha[-1] = 1.0                 # the start, which -1 stands for
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if low < high:
+                shares[low:high] *= alpha[prevs[low:high]]
+                np.add.at(alpha, ends_[low:high], shares[low:high])
         with np.errstate(invalid="ignore", divide="ignore"):
-            share /= alpha[end]
+            shares /= alpha[ends_]
+        share = np.empty(len(end))
+        share[order] = shares
         count = np.bincount(end, minlength=len(text))
         first = (np.cumsum(count) - count).astype(np.int32)
         out = [np.empty(len(end), np.int32), np.empty(len(end), np.int32), np.empty(len(end))]
@@ -181,10 +184,12 @@ class Pieces:
         for starts, _ in reversed(found):           # longest pieces first: they are the likeliest
             own = slice(stop - len(starts), stop)
             stop -= len(starts)
-            slot = first[end[own]] + filled[end[own]]
-            filled[end[own]] += 1
-            run[end[own]] += share[own]
-            out[0][slot], out[1][slot], out[2][slot] = prev[own], piece[own], run[end[own]]
+            at = end[own]
+            slot = first[at] + filled[at]
+            filled[at] += 1
+            summed = run[at] + share[own]
+            run[at] = summed
+            out[0][slot], out[1][slot], out[2][slot] = prev[own], piece[own], summed
         full = count > 0
         out[2][(first + count - 1)[full]] = 2.0
         return (*out, first, np.add.reduceat(bad, ends - lens) > 0)
