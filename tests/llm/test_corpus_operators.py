@@ -177,6 +177,58 @@ def test_long_repeats_are_found_in_the_tables(spark):
     assert repeated > 5
 
 
+def plain_blocks(rows, least=30):
+    """Lines of each document in a block of enough words that stands in any one earlier document."""
+    split = [(i, [x.strip() for x in t.split("\n")]) for i, t in sorted(rows)]
+    gone = {}
+    for k, (i, own) in enumerate(split):
+        gone[i] = set()
+        for _, other in split[:k]:
+            for d in range(-len(other) + 1, len(own)):
+                run = []
+                for x in [*range(max(d, 0), min(len(own), len(other) + d)), None]:
+                    if x is not None and own[x] == other[x - d]:
+                        run.append(x)
+                        continue
+                    if sum(len(own[y].split()) for y in run) >= least:
+                        gone[i] |= {y for y in run if own[y]}
+                    run = []
+    return gone
+
+
+def removed_lines(df):
+    return {r.doc_id: {k for b in r.removed_blocks for k in range(b["first"], b["last"] + 1)} for r in lines.dedup_lines(df).collect()}
+
+
+def test_blocks_of_lines_that_have_different_earliest_holders(frame):
+    rng = random.Random(12)
+    a, b = words(rng, 29), words(rng, 29)
+    short = [words(rng, rng.randint(1, 6)) for _ in range(12)]
+    rows = [(1, a), (2, f"{a}\n{b}"), (3, f"{a}\n{b}")]
+    got = removed_lines(docs(frame, rows))
+    assert got == {1: set(), 2: set(), 3: {0, 1}}
+    # passages of many lines, cut anywhere, between lines that stand in many documents
+    passages = [[words(rng, rng.choice((1, 3, 9, 29, 40))) for _ in range(rng.randint(2, 9))] for _ in range(8)]
+    rows = []
+    for i in range(60):
+        text = []
+        for p in rng.sample(passages, rng.randint(0, 3)):
+            text += rng.sample(short, rng.randint(0, 3)) + p[rng.randint(0, 2):len(p) - rng.randint(0, 2)] + [""] * rng.randint(0, 1)
+        rows.append((i, "\n".join(text + [words(rng, 8)])))
+    rows += [(60 + k, t) for k, (_, t) in enumerate(rows[:20])]
+    split = {i: t.split("\n") for i, t in rows}
+    got, want = removed_lines(docs(frame, rows)), plain_blocks(rows)
+    assert sum(map(len, want.values())) > 300
+    assert {i: {k for k in g if split[i][k]} for i, g in got.items()} == want
+
+
+def test_whole_blocks_go_in_the_tables(spark):
+    table = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [(r.doc_id, r.text or "") for r in table.collect()]
+    split, got = {i: [x.strip() for x in t.split("\n")] for i, t in rows}, removed_lines(table)
+    assert {i: {k for k in g if split[i][k]} for i, g in got.items()} == plain_blocks(rows)
+
+
 def test_longest_increasing_runs():
     rng = random.Random(2)
     for _ in range(50):

@@ -1,16 +1,17 @@
 """Line dedup by pairwise alignment.
 
-A line that several documents have links every later one to the earliest that has it,
-so a line in n documents makes n - 1 links and none is left out however
-frequent the line is.  A document is aligned with each earlier one it is linked
-to, by patience diff: the common lines that are unique in both (a repeated line counts
-with the number of its occurrence) are cut down to a longest increasing
+A run is a stretch of lines that has enough words and would not without its last line, or
+not without its first.  Every block of enough words is made up of its runs, and each run
+links all later documents to the earliest that has it: whichever earlier document shares
+a block, all its runs are found, however frequent they or their lines are.  A document is
+aligned with each earlier one it is linked to, by patience diff: the common runs (a repeated
+run counts with the number of its occurrence) are cut down to a longest increasing
 run, and neighbouring anchors are joined to a block where rolling hashes show
-that all lines between them are equal too.  Moved passages are joined likewise.  Blocks of enough words are deleted
-from the later document.
+that all lines between them are equal too.  Moved passages are joined likewise.  Blocks
+are deleted from the later document.
 
-Only places and hashes of lines are moved for the links, and a document's links come
-together in one row, no longer than its own lines.
+Only places and hashes of runs are moved for the links, and a document's links come
+together in one row, at most two for each of its lines.
 """
 
 from __future__ import annotations
@@ -32,56 +33,66 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _BACK = pow(_BASE, -1, 1 << 64)
 
-# the document (id with null as the largest, hash of the text), line number, rolling
-# hash before and after the line, words before and after it; key: line and occurrence
-LINE = ("late boolean, doc bigint, body bigint, line bigint, before bigint, after bigint, "
-        "words_before bigint, words_after bigint, key bigint")
+# the document (id with null as the largest, hash of the text), first and last line of the
+# run, rolling hash before it; key: run and occurrence
+RUN = "late boolean, doc bigint, body bigint, first int, last int, before bigint, key bigint"
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
-def _document_lines(text: str) -> tuple[np.ndarray, ...]:
-    """Line number, rolling hashes, words and key of every line that isn't blank."""
+def _document_runs(text: str, least_words: int) -> tuple[np.ndarray, ...]:
+    """First and last line, rolling hash before it and key of every run."""
     import xxhash
     lines = [x.strip() for x in text.split("\n")]
-    hashes = np.array([xxhash.xxh3_64_intdigest(x.encode()) if x else 0 for x in lines], dtype=np.uint64)
     words = np.array([len(x.split()) for x in lines], dtype=np.int64)
-    seen: dict[int, int] = defaultdict(int)
-    nth = []
-    for h in hashes.tolist():
-        nth.append(seen[h])
-        seen[h] += 1
+    own = np.flatnonzero(words)
+    after = np.cumsum(words[own])
+    if not len(own) or after[-1] < least_words:
+        return tuple(np.empty(0, t) for t in (np.int32, np.int32, np.uint64, np.uint64))
+    hashes = np.array([xxhash.xxh3_64_intdigest(x.encode()) if x else 0 for x in lines], dtype=np.uint64)
+    before, n = after - words[own], np.arange(len(own))
+    # from each line to the first that makes it enough, and to each line from the last that does
+    i = np.concatenate((n, np.searchsorted(before, after - least_words, "right") - 1))
+    j = np.concatenate((np.searchsorted(after, before + least_words), n))
+    place = np.unique((i * len(own) + j)[(i >= 0) & (j < len(own))])
+    first, last = own[place // len(own)], own[place % len(own)]
     with np.errstate(over="ignore"):
-        power = np.full(len(lines), np.uint64(_BASE))
-        power[0] = 1
+        power, back = (np.full(len(lines), np.uint64(b)) for b in (_BASE, _BACK))
+        power[0] = back[0] = 1
         np.multiply.accumulate(power, out=power)
+        np.multiply.accumulate(back, out=back)
         rolled = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * power)))
-        keys = mix(hashes + np.array(nth, dtype=np.uint64) * np.uint64(_BASE))
-    total = np.concatenate(([0], np.cumsum(words)))
-    own = np.flatnonzero(words)
-    return own, rolled[own], rolled[own + 1], total[own], total[own + 1], keys[own]
+        runs = (rolled[last + 1] - rolled[first]) * back[first]
+        order = np.argsort(runs, kind="stable")
+        starts = np.flatnonzero(np.concatenate(([True], runs[order][1:] != runs[order][:-1])))
+        nth = np.empty(len(runs), np.uint64)
+        nth[order] = np.arange(len(runs)) - np.repeat(starts, np.diff(np.append(starts, len(runs))))
+        keys = mix(runs + nth * np.uint64(_BASE))
+    return first.astype(np.int32), last.astype(np.int32), rolled[first], keys
+
 
+def document_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """One row per run, as in ``RUN``."""
+    least = max(least_words, 1)
 
-def document_lines(docs: DataFrame) -> DataFrame:
-    """One row per line that isn't blank, as in ``LINE``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in LINE.split(", ")]
+        names = [c.split()[0] for c in RUN.split(", ")]
         for b in batches:
             late, doc, body = (b.column(c).to_pylist() for c in ("late", "doc", "body"))
             texts = b.column("text").to_pylist()
             for start in range(0, len(texts), 512):
-                rows = [_document_lines(t) for t in texts[start:start + 512]]
+                rows = [_document_runs(t, least) for t in texts[start:start + 512]]
                 per = [len(r[0]) for r in rows]
-                line, before, after, w0, w1, key = (np.concatenate([r[k] for r in rows]) for k in range(6))
+                first, last, before, key = (np.concatenate([r[k] for r in rows]) for k in range(4))
                 who = start + np.repeat(np.arange(len(rows)), per)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.array(late, dtype=bool)[who]), pa.array(np.array(doc, dtype=np.int64)[who]),
-                    pa.array(np.array(body, dtype=np.int64)[who]), pa.array(line), _signed(before), _signed(after),
-                    pa.array(w0), pa.array(w1), _signed(key)], names)
+                    pa.array(np.array(body, dtype=np.int64)[who]), pa.array(first), pa.array(last), _signed(before),
+                    _signed(key)], names)
 
-    return docs.select(*_key(docs), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, LINE)
+    return docs.select(*_key(docs), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, RUN)
 
 
 def _key(docs: DataFrame) -> list[Column]:
@@ -110,43 +121,39 @@ def longest_increasing(values: Sequence[int]) -> list[int]:
     return out[::-1]
 
 
-def common_blocks(anchors: Sequence[dict], least_words: int = LEAST_WORDS) -> list[tuple[int, int]]:
+def common_blocks(anchors: Sequence[dict]) -> list[tuple[int, int]]:
     """Line ranges (first, last) of one document that stand in another, earlier one.
 
-    ``anchors`` are their common lines, in order of ``line``, each with place, rolling
-    hashes and words in the later document and ``o_line``, ``o_before``, ``o_after`` in the other.
+    ``anchors`` are their common runs, in order of ``first``, each with place and rolling
+    hashes in the later document and ``o_first``, ``o_before`` in the other.
     The longest increasing run is the alignment.  A passage that was moved is not in it;
-    the anchors outside its blocks are joined along their diagonals.
+    so all anchors are joined along their diagonals too.
     """
-    chain = [anchors[i] for i in longest_increasing([a["o_line"] for a in anchors])]
-    found = _joined(chain, least_words)
-    inside = {k for first, last in found for k in range(first, last + 1)}
+    chain = [anchors[i] for i in longest_increasing([a["o_first"] for a in anchors])]
     moved: dict[int, list[dict]] = defaultdict(list)
     for a in anchors:
-        if a["line"] not in inside:
-            moved[a["line"] - a["o_line"]].append(a)
-    return sorted(found + [b for own in moved.values() for b in _joined(own, least_words)])
+        moved[a["first"] - a["o_first"]].append(a)
+    return sorted({b for own in (chain, *moved.values()) for b in _joined(own)})
 
 
-def _joined(chain: Sequence[dict], least_words: int) -> list[tuple[int, int]]:
-    """Blocks of enough words among anchors that increase in both documents."""
+def _joined(chain: Sequence[dict]) -> list[tuple[int, int]]:
+    """Blocks of anchors that increase in both documents."""
     blocks: list[list[dict]] = []
     for a in chain:
         last = blocks[-1][-1] if blocks else None
-        if last and a["line"] - last["line"] == a["o_line"] - last["o_line"] and _same_between(last, a):
+        if last and a["first"] - last["first"] == a["o_first"] - last["o_first"] and _same_between(last, a):
             blocks[-1].append(a)
         else:
             blocks.append([a])
-    return [(b[0]["line"], b[-1]["line"]) for b in blocks
-            if b[-1]["words_after"] - b[0]["words_before"] >= least_words]
+    return [(b[0]["first"], max(a["last"] for a in b)) for b in blocks]
 
 
 def _same_between(a: dict, b: dict) -> bool:
     """Whether the lines between two anchors are the same in both documents."""
-    if b["line"] == a["line"] + 1:
+    if b["first"] <= a["last"] + 1:
         return True
-    shift = pow(_BASE, b["o_line"], 1 << 64) * pow(_BACK, b["line"], 1 << 64)
-    return (b["before"] - a["after"]) * shift & _MASK == (b["o_before"] - a["o_after"]) & _MASK
+    shift = pow(_BASE, b["o_first"], 1 << 64) * pow(_BACK, b["first"], 1 << 64)
+    return (b["before"] - a["before"]) * shift & _MASK == (b["o_before"] - a["o_before"]) & _MASK
 
 
 def duplicate_blocks(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -156,15 +163,15 @@ def duplicate_blocks(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
     smaller ``doc_id``; a null id is later than all others; of equal ids the hash of
     the text decides.  Rows alike in id and text count once, and neither goes.
     """
-    lines = document_lines(docs)
-    place = F.struct("late", "doc", "body", "line", "before", "after")
-    owners = (lines.groupBy("key").agg(F.min(place).alias("o"), F.max(F.struct("late", "doc", "body")).alias("last"))
-              .where(F.struct("o.late", "o.doc", "o.body") != F.col("last")).select("key", "o"))
-    linked = (lines.join(owners, "key")
+    runs = document_runs(docs, least_words)
+    who = F.struct("late", "doc", "body")
+    owners = (runs.groupBy("key").agg(F.min(F.struct("late", "doc", "body", "first", "before")).alias("o"), F.max(who).alias("other"))
+              .where(F.struct("o.late", "o.doc", "o.body") != F.col("other")).select("key", "o"))
+    linked = (runs.join(owners, "key")
               .where((F.col("doc") != F.col("o.doc")) | (F.col("body") != F.col("o.body")) | (F.col("late") != F.col("o.late"))))
-    anchors = F.struct("line", "before", "after", "words_before", "words_after", F.col("o.late").alias("o_late"),
-                       F.col("o.doc").alias("o_doc"), F.col("o.body").alias("o_body"), F.col("o.line").alias("o_line"),
-                       F.col("o.before").alias("o_before"), F.col("o.after").alias("o_after"))
+    anchors = F.struct("first", "last", "before", F.col("o.late").alias("o_late"),
+                       F.col("o.doc").alias("o_doc"), F.col("o.body").alias("o_body"), F.col("o.first").alias("o_first"),
+                       F.col("o.before").alias("o_before"))
     gathered = linked.groupBy("late", "doc", "body").agg(F.collect_set(anchors).alias("anchors"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,10 +180,10 @@ def duplicate_blocks(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFra
             out = []
             for row in b.column("anchors"):
                 by: dict[tuple, list[dict]] = defaultdict(list)
-                for a in sorted(row.as_py(), key=lambda a: a["line"]):
+                for a in sorted(row.as_py(), key=lambda a: (a["first"], a["last"])):
                     by[a["o_late"], a["o_doc"], a["o_body"]].append(a)
                 merged: list[list[int]] = []
-                for first, last in sorted(x for own in by.values() for x in common_blocks(own, least_words)):
+                for first, last in sorted(x for own in by.values() for x in common_blocks(own)):
                     if merged and first <= merged[-1][1] + 1:
                         merged[-1][1] = max(merged[-1][1], last)
                     else:
