@@ -311,6 +311,19 @@ def test_changed_values_must_be_consistent(frame):
     assert rows_of(leaks.find_leaks(docs(frame, rows), bench), "doc_id", "same_values") == [(1, False), (3, True)]
 
 
+def test_every_occurrence_of_an_item_is_judged(frame):
+    long = "Sam pays 40 dollars and later Sam pays 40 dollars again, so after that 40 dollars are still missing"
+    clash = long.replace("40", "11", 1).replace("40", "22", 1).replace("40", "33", 1)
+    gap = " " + " ".join(f"word{chr(97 + k)}" for k in range(20)) + " "
+    short = "what is 3 plus 4"
+    bench = frame([(1, long), (2, short)], "item_id bigint, text string")
+    rows = [(1, f"{long}. {clash}"), (2, f"{clash}. {long}"), (3, f"{clash}. {clash}"), (4, "what is 5 plus 6? what is 7 plus 8?"),
+            (5, "what is 5 plus 5? what is 3 plus 4?"), (6, f"{long.replace('40', '75')}{gap}{clash}"),
+            (7, f"{clash}{gap}{long.replace('40', '75')}{gap}{clash}")]
+    got = {(r.doc_id, r.item_id): r.same_values for r in leaks.find_leaks(docs(frame, rows), bench).collect()}
+    assert got == {(1, 1): True, (2, 1): True, (4, 2): False, (5, 2): True, (6, 1): False, (7, 1): False}
+
+
 def test_contained_items_are_found_in_the_tables(spark):
     table, bench = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "benchmark"))
     got = set(rows_of(leaks.find_leaks(table, bench), "doc_id", "item_id"))

@@ -3,21 +3,21 @@
 Texts are brought to a form in which numbers, names and units are typed
 placeholders: ``Ann has 12 kg`` and ``Bob has 7 lb`` have the same template.  Hashes of
 all windows of eight tokens of all documents are joined with those of the benchmark
-items.  Hits are summed per document, item and diagonal; neighbouring diagonals
-count together.  A document holds an item if the windows cover enough of it, and
-the values in the placeholders either are the item's own or replace them
-consistently: one value always by the same other one.
+items.  Hits are summed per document, item and diagonal.  Every diagonal is judged by itself,
+together with those of its neighbours that do not contradict it.  A document holds an item if
+windows with the item's own values, wherever they are, cover enough of it, or if those of
+one place do and replace its values consistently: one value always by the same other one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDTH = 8
 LEAST_TOKENS = 3                # shorter items would be found anywhere and are left out
 COVER = 0.3                     # share of an item's windows
-SHIFT = 6                       # diagonals up to this far from the fullest one count with it
+SHIFT = 6                       # diagonals up to this far from another one can count with it
 BROADCAST_WINDOWS = 1_000_000   # benchmark windows that are broadcast at most; beyond it, a shuffled join
 
 NUMBER, NAME, UNIT, JOINER = "\ue010", "\ue011", "\ue012", "\ue013"     # private characters, taken out of texts first
@@ -68,8 +68,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> D
     """One row per document and item it holds: ``doc_id``, ``text_hash``, ``item_id``, ``cover``, ``same_values``.
 
     ``text_hash`` tells apart rows of one id; rows alike in both count once.
-    ``cover`` is the share of the item's windows found, ``same_values`` whether all
-    placeholders hold the item's own values.  Null texts are empty; items of under three
+    ``cover`` is the largest share of the item's windows found in one place (or of those with
+    its own values in all places), ``same_values`` whether all placeholders of a place that
+    holds the item have the item's own values.  Null texts are empty; items of under three
     tokens are left out, items of under eight are one window.
     """
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", "text")
@@ -92,23 +93,35 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> D
     diagonals = (hits.withColumn("diagonal", F.col("at") - F.col("q")).groupBy(*one, "diagonal")
                  .agg(F.collect_set("q").alias("qs"), F.collect_set(F.when(same, F.col("q"))).alias("same_qs"),
                       F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
-    together = diagonals.groupBy(*one).agg(F.collect_list(F.struct(
-        F.size("qs").alias("votes"), "diagonal", "qs", "same_qs", "pairs")).alias("all"))
-    together = together.withColumn("best", F.array_max(F.transform("all", lambda d: F.struct(d["votes"], d["diagonal"]))))
-    near = F.filter("all", lambda d: F.abs(d["diagonal"] - F.col("best")["diagonal"]) <= SHIFT)
-    together = together.withColumn("near", near)
-
-    def union(field: str) -> Column:
-        return F.array_distinct(F.flatten(F.transform("near", lambda d: d[field])))
-
-    judged = together.select(
-        "doc_id", "text_hash", "item_id", (F.size(union("qs")) / F.col("windows")).alias("cover"),
-        (F.size(union("same_qs")) / F.col("windows")).alias("same_cover"), union("pairs").alias("pairs"))
-    values = F.array_distinct(F.transform("pairs", lambda p: p["own"]))
-    judged = judged.withColumn("consistent", F.size(values) == F.size("pairs"))
-    held = judged.where((F.col("same_cover") >= cover) | (F.col("consistent") & (F.col("cover") >= cover)))
-    return held.select("doc_id", "text_hash", "item_id", F.round("cover", 6).alias("cover"),
-                       F.forall("pairs", lambda p: p["own"] == p["now"]).alias("same_values"))
+    around = Window.partitionBy(*one).orderBy("diagonal").rangeBetween(-SHIFT, SHIFT)
+    near = F.collect_list(F.struct("diagonal", "qs", "pairs")).over(around)
+
+    def consistent(pairs: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(pairs, lambda p: p["own"]))) == F.size(pairs)
+
+    def added(a: Column, d: Column) -> Column:
+        pairs = F.array_distinct(F.concat(a["pairs"], d["pairs"]))
+        return F.when(consistent(pairs), F.struct(pairs.alias("pairs"), F.array_union(a["qs"], d["qs"]).alias("qs"))).otherwise(a)
+
+    # the diagonal itself, then the fullest of its neighbours first
+    ranked = F.array_sort(F.transform("near", lambda d: F.struct(
+        (d["diagonal"] != F.col("diagonal")).alias("other"), (-F.size(d["qs"])).alias("fewer"), d["diagonal"].alias("diagonal"),
+        d["qs"].alias("qs"), d["pairs"].alias("pairs"))))
+    nothing = F.struct(F.array().cast("array<struct<own:string,now:string>>").alias("pairs"), F.array().cast("array<int>").alias("qs"))
+    places = diagonals.withColumn("near", near).withColumn("fit", F.aggregate(ranked, nothing, added))
+    plain = F.forall("pairs", lambda p: p["own"] == p["now"])
+    fit, own_values = F.size("fit.qs"), F.forall("fit.pairs", lambda p: p["own"] == p["now"])
+    judged = (places.select(*one, F.size(F.array_distinct(F.flatten(F.col("near.qs")))).alias("found"), fit.alias("fit"),
+                            F.when(own_values, fit).alias("fit_same"), "same_qs", plain.alias("plain"))
+              .groupBy(*one).agg(F.max("found").alias("found"), F.max("fit").alias("fit"), F.max("fit_same").alias("fit_same"),
+                                 F.size(F.array_distinct(F.flatten(F.collect_set("same_qs")))).alias("same"), F.min("plain").alias("plain")))
+
+    def share(count: str) -> Column:
+        return F.col(count) / F.col("windows")
+
+    held = judged.where((share("same") >= cover) | (share("fit") >= cover))
+    return held.select("doc_id", "text_hash", "item_id", F.round(F.greatest(share("found"), share("same")), 6).alias("cover"),
+                       (F.col("plain") | F.coalesce(share("fit_same") >= cover, F.lit(False))).alias("same_values"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
