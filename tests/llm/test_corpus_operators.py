@@ -324,6 +324,20 @@ def test_every_occurrence_of_an_item_is_judged(frame):
     assert got == {(1, 1): True, (2, 1): True, (4, 2): False, (5, 2): True, (6, 1): False, (7, 1): False}
 
 
+def test_names_that_open_sentences(frame):
+    item = "Ann has 12 apples. Ann eats 5 of them. Bob buys 7 more apples. Ann gives Bob 3. How many apples are left?"
+    other = item.replace("Ann", "Tom").replace("Bob", "Sam")
+    mixed = "Tom has 12 apples. Kim eats 5 of them. Sam buys 7 more apples. Joe gives Liz 3. How many apples are left?"
+    train = "The train leaves at 8 and the bus at 9. The train needs 3 hours, the bus needs 4. When do both of them arrive?"
+    bench = frame([(1, item), (2, "Ann has 12 kg"), (3, train), (4, "New York Times")], "item_id bigint, text string")
+    rows = [(1, other), (2, f'He said: "{other}"\n{mixed}'), (3, mixed), (4, "Bob has 7 lb"), (5, "so we see that Bob has 7 lb of it"),
+            (6, train.replace("The train", "A train", 1)), (7, item), (8, "United Arab Emirates"), (9, "New York Times"), (10, item.upper())]
+    got = {(r.doc_id, r.item_id): r.same_values for r in leaks.find_leaks(docs(frame, rows), bench).collect()}
+    assert {k: v for k, v in got.items() if k[1] != 2} == {
+        (1, 1): False, (2, 1): False, (6, 3): True, (7, 1): True, (9, 4): True, (10, 1): True}
+    assert {(4, 2), (5, 2)} <= set(got) and not got[4, 2]
+
+
 def test_contained_items_are_found_in_the_tables(spark):
     table, bench = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "benchmark"))
     got = set(rows_of(leaks.find_leaks(table, bench), "doc_id", "item_id"))

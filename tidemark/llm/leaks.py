@@ -1,7 +1,8 @@
 """Benchmark decontamination with template windows.
 
 Texts are brought to a form in which numbers, names and units are typed
-placeholders: ``Ann has 12 kg`` and ``Bob has 7 lb`` have the same template.  Hashes of
+placeholders: ``Ann has 12 kg`` and ``Bob has 7 lb`` have the same template.  A capitalised
+word that may only open a sentence is itself in one form and a name in a second one.  Hashes of
 all windows of eight tokens of all documents are joined with those of the benchmark
 items.  Hits are summed per document, item and diagonal.  Every diagonal is judged by itself,
 together with those of its neighbours that do not contradict it.  A document holds an item if
@@ -20,47 +21,95 @@ COVER = 0.3                     # share of an item's windows
 SHIFT = 6                       # diagonals up to this far from another one can count with it
 BROADCAST_WINDOWS = 1_000_000   # benchmark windows that are broadcast at most; beyond it, a shuffled join
 
-NUMBER, NAME, UNIT, JOINER = "\ue010", "\ue011", "\ue012", "\ue013"     # private characters, taken out of texts first
+# private characters, taken out of texts first
+NUMBER, NAME, UNIT, JOINER, OPENER = "\ue010", "\ue011", "\ue012", "\ue013", "\ue014"
 UNITS = ("km|m|cm|mm|mi|miles?|feet|ft|inch(?:es)?|kg|g|mg|lbs?|pounds?|tons?|l|ml|litres?|liters?|gallons?|"
          "s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|mph|kmh|watts?|kw|volts?|euros?|"
          "dollars?|cents?|percent|degrees?")
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case words; numbers, names and units have their mark in front.
+    """Lower-case words; numbers, names, units and other capitalised words have their mark in front.
 
     A name is a capitalised word after a lower-case letter, comma or semicolon and a
-    space; a unit stands after a number, a currency sign before one.
+    space, elsewhere it is marked as an opener; a unit stands after a number, a currency sign before one.
     """
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NUMBER}-{JOINER}]", " ")
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NUMBER}-{OPENER}]", " ")
     t = F.regexp_replace(t, r"(?<=[0-9])[.,](?=[0-9])", JOINER)
     t = F.regexp_replace(t, r"(?<=[\p{Ll},;] )\p{Lu}\p{L}*+", f"{NAME}$0")
     t = F.regexp_replace(t, f"[0-9][0-9{JOINER}]*+", f" {NUMBER}$0 ")
     t = F.regexp_replace(t, f"(?i)({NUMBER}[0-9{JOINER}]*+ {{1,2}})({UNITS}|%)(?![\\p{{L}}])", f"$1{UNIT}$2")
     t = F.regexp_replace(t, f"[$€£](?= ? {NUMBER})", f" {UNIT}$0")
-    return F.filter(F.split(F.lower(t), f"(?:[^\\p{{L}}\\p{{M}}{NUMBER}-{JOINER}0-9%$€£]|(?<!{UNIT})[%$€£])++"), lambda w: w != "")
+    t = F.regexp_replace(t, f"(?=\\p{{Lu}})(?<![\\p{{L}}\\p{{M}}{NUMBER}-{OPENER}0-9])\\p{{Lu}}\\p{{L}}*+", f"{OPENER}$0")
+    return F.filter(F.split(F.lower(t), f"(?:[^\\p{{L}}\\p{{M}}{NUMBER}-{OPENER}0-9%$€£]|(?<!{UNIT})[%$€£])++"), lambda w: w != "")
 
 
 def _is_slot(token: Column) -> Column:
     return token.between(NUMBER, UNIT + "\U0010ffff")
 
 
-def with_windows(df: DataFrame, widths: list[int], keep: list[str]) -> DataFrame:
-    """One row per window: ``at``, ``width``, ``template`` (hash), ``slots`` (its values, null without any)."""
-    df = df.select(*keep, tokens(F.col("text")).alias("tokens"))
-    df = df.select(*keep, "tokens", F.size("tokens").alias("n_tokens"),
-                   F.exists("tokens", _is_slot).alias("has_slots"),
-                   F.transform("tokens", lambda t: F.xxhash64(F.when(_is_slot(t), F.left(t, F.lit(1))).otherwise(t))).alias("forms"))
+def marked(templates: list[int]) -> bytearray:
+    """A byte for each of the low bits a template can have: 1 for those of ``templates``."""
+    size = 1 << min(max((16 * len(templates)).bit_length(), 16), 22)
+    out = bytearray(size)
+    for t in templates:
+        out[t & (size - 1)] = 1
+    return out
 
-    def of(width: int) -> Column:
-        def one(i: Column) -> Column:
-            slots = F.when(F.col("has_slots"), F.filter(F.slice("tokens", i + 1, width), _is_slot))
-            return F.struct(i.alias("at"), F.lit(width).alias("width"), F.xxhash64(F.slice("forms", i + 1, width)).alias("template"),
-                            slots.alias("slots"))
-        return F.when(F.col("n_tokens") >= width, F.transform(F.sequence(F.lit(0), F.col("n_tokens") - width), one))
 
-    empty = F.array().cast("array<struct<at:int,width:int,template:bigint,slots:array<string>>>")
-    windows = F.concat(*(F.coalesce(of(w), empty) for w in widths))
+def with_windows(df: DataFrame, widths: list[int], keep: list[str], asked: bytearray | None = None) -> DataFrame:
+    """One row per window and form: ``at``, ``width``, ``named``, ``template`` (hash), ``slots`` (its values, null without any).
+
+    In the second form (``named``) openers are names; it is there for windows with an opener,
+    unless they were all placeholders, which any text could fill.  Windows whose template
+    has no mark in ``asked`` are left out before they become rows.
+    """
+    df = df.select(*keep, tokens(F.col("text")).alias("tokens")).withColumn("n_tokens", F.size("tokens"))
+
+    def opens(t: Column) -> Column:
+        return t.startswith(OPENER)
+
+    def word(t: Column) -> Column:
+        return F.substring(t, 2, 1 << 30)
+
+    def hashes(opener) -> Column:
+        return F.transform("tokens", lambda t: F.xxhash64(F.when(_is_slot(t), F.left(t, F.lit(1))).when(opens(t), opener(t)).otherwise(t)))
+
+    def values(opener) -> Column:
+        return F.transform("tokens", lambda t: F.when(_is_slot(t), t).when(opens(t), opener(t)).otherwise(F.lit("")))
+
+    packed = F.struct(
+        F.exists("tokens", _is_slot).alias("has_slots"), F.transform("tokens", opens).alias("opens"),
+        hashes(word).alias("forms"), values(lambda t: F.lit("")).alias("values"),
+        hashes(lambda t: F.lit(NAME)).alias("named_forms"), values(lambda t: F.concat(F.lit(NAME), word(t))).alias("named_values"))
+
+    def of(p: Column, width: int) -> Column:
+        def part(field: str, i: Column) -> Column:
+            return F.slice(p[field], i + 1, width)
+
+        def template(i: Column, named: bool) -> Column:
+            return F.xxhash64(part("named_forms" if named else "forms", i))
+
+        def wanted(i: Column, named: bool) -> Column:
+            if asked is None:
+                return F.lit(True)
+            low = template(i, named).bitwiseAND(F.lit(len(asked) - 1)).cast("int")
+            return F.substring(F.lit(asked), low + 1, F.lit(1)) == F.lit(bytearray(b"\1"))
+
+        def one(i: Column, named: bool) -> Column:
+            slots = F.array_remove(part("named_values" if named else "values", i), "")
+            return F.struct(i.alias("at"), F.lit(width).alias("width"), F.lit(named).alias("named"),
+                            template(i, named).alias("template"),
+                            (slots if named else F.when(p["has_slots"], slots)).alias("slots"))
+
+        places = F.sequence(F.lit(0), F.col("n_tokens") - width)
+        second = F.filter(places, lambda i: F.array_contains(part("opens", i), True) & wanted(i, True) & F.array_contains(part("named_values", i), ""))
+        first = F.filter(places, lambda i: wanted(i, False)) if asked is not None else places
+        return F.when(F.col("n_tokens") >= width, F.concat(F.transform(first, lambda i: one(i, False)),
+                                                           F.transform(second, lambda i: one(i, True))))
+
+    empty = F.array().cast("array<struct<at:int,width:int,named:boolean,template:bigint,slots:array<string>>>")
+    windows = F.get(F.transform(F.array(packed), lambda p: F.concat(*(F.coalesce(of(p, w), empty) for w in widths))), 0)
     return df.select(*keep, "n_tokens", F.explode(windows).alias("w")).select(*keep, "n_tokens", "w.*")
 
 
@@ -79,21 +128,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> D
     asked = (with_windows(items, widths, ["item_id"])
              .where(F.col("width") == F.least(F.col("n_tokens"), F.lit(WIDTH)))
              .select("item_id", (F.col("n_tokens") - F.col("width") + 1).alias("windows"), F.col("at").alias("q"),
-                     "width", "template", F.col("slots").alias("own")))
+                     "width", "template", F.col("named").alias("own_named"), F.col("slots").alias("own")))
+    marks = None
     if asked.count() <= BROADCAST_WINDOWS:
+        marks = marked([r["template"] for r in asked.select("template").distinct().collect()])
         asked = F.broadcast(asked)
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
-    hits = with_windows(texts, widths, ["doc_id", "text_hash"]).join(asked, ["template", "width"])
+    hits = with_windows(texts, widths, ["doc_id", "text_hash"], marks).join(asked, ["template", "width"])
     none = F.array().cast("array<string>")
     pairs = F.transform(F.arrays_zip(F.coalesce("own", none).alias("own"), F.coalesce("slots", none).alias("now")),
                         lambda p: F.struct(p["own"].alias("own"), p["now"].alias("now")))
     hits = hits.withColumn("pairs", pairs).where(F.size(F.coalesce("own", none)) == F.size(F.coalesce("slots", none)))
+    # the first form is judged alone too: openers may differ where nothing was replaced
+    forms = F.when(F.col("named") | F.col("own_named"), F.array(F.lit(True))).otherwise(F.array(F.lit(False), F.lit(True)))
+    hits = hits.withColumn("both_forms", F.explode(forms))
     one = ["doc_id", "text_hash", "item_id", "windows"]
     same = F.forall("pairs", lambda p: p["own"] == p["now"])
-    diagonals = (hits.withColumn("diagonal", F.col("at") - F.col("q")).groupBy(*one, "diagonal")
+    diagonals = (hits.withColumn("diagonal", F.col("at") - F.col("q")).groupBy(*one, "both_forms", "diagonal")
                  .agg(F.collect_set("q").alias("qs"), F.collect_set(F.when(same, F.col("q"))).alias("same_qs"),
                       F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
-    around = Window.partitionBy(*one).orderBy("diagonal").rangeBetween(-SHIFT, SHIFT)
+    around = Window.partitionBy(*one, "both_forms").orderBy("diagonal").rangeBetween(-SHIFT, SHIFT)
     near = F.collect_list(F.struct("diagonal", "qs", "pairs")).over(around)
 
     def consistent(pairs: Column) -> Column:
