@@ -278,6 +278,24 @@ def test_similar_documents_are_verified(frame):
     assert abs(got[0, 1] - len(sets[0] & sets[1]) / len(sets[0] | sets[1])) < 1e-12
 
 
+def test_similar_documents_equal_brute_force(frame):
+    rng = random.Random(9)
+    base, passage = words(rng, 200).split(), words(rng, 40)
+    rows = []
+    for _ in range(220):
+        w = list(base)
+        for _ in range(rng.randint(0, 6)):
+            w[rng.randrange(len(w))] = words(rng, 1)
+        rows.append(" ".join(w))
+    rows += [f"{passage} {words(rng, rng.randint(5, 40))}" for _ in range(60)]
+    sets = [plain_set(t) for t in rows]
+    want = {(i, j) for j in range(len(rows)) for i in range(j) if sets[i] != sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    first = {s: i for i, s in reversed(list(enumerate(sets)))}
+    want = {p for p in want if all(first[sets[i]] == i for i in p)}
+    got = {(r.a, r.b) for r in minhash.similar_documents(docs(frame, list(enumerate(rows)))).collect()}
+    assert len(want) > 3000 and got == want
+
+
 # --- leaks ----------------------------------------------------------------
 
 ITEMS = [(1, "Ann Miller has 12 kg of apples and gives 5 kg to Bob Stone, how many are left for her"),

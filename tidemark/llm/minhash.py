@@ -81,9 +81,9 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, lanes: in
     """Pairs (``a``, ``b``, ``jaccard``) of different texts at ``similarity`` or more.
 
     ``a`` and ``b`` are the smallest ``doc_id`` of their texts, a < b; copies are not
-    expanded.  Each text is compared with the smallest holder of each of its bands,
-    so a band with n holders makes n - 1 candidates, not n squared; Jaccard is
-    then verified on the shingle sets.  Rows without id or words are in no pair.
+    expanded.  All texts that share a band are compared, unless their numbers of shingles
+    rule the pair out; Jaccard is then verified on the shingle sets.  A group of n near copies
+    has up to n squared pairs, and all of them are returned.  Rows without id or words are in no pair.
     """
     from .shingles import shingle_sets
     rows = lanes // bands
@@ -100,15 +100,15 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, lanes: in
              .mapInArrow(prepare, "doc_id bigint, sig string, shingles array<bigint>")
              .where(F.size("shingles") > 0))
     nodes = known.groupBy("shingles").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
-    banded = nodes.select("doc_id", F.posexplode(F.transform(
+    banded = nodes.select("doc_id", F.size("shingles").alias("n"), F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda k: F.substring("sig", k * F.lit(4 * rows) + 1, F.lit(4 * rows)))).alias("band", "value"))
-    least = banded.groupBy("band", "value").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1")
-    star = (banded.join(least, ["band", "value"]).where("doc_id > a")
-            .select("a", F.col("doc_id").alias("b")).distinct())
+    pairs = (banded.withColumnsRenamed({"doc_id": "a", "n": "n_a"}).join(banded.withColumnsRenamed({"doc_id": "b", "n": "n_b"}), ["band", "value"])
+             .where((F.col("a") < F.col("b")) & (F.least("n_a", "n_b") / F.greatest("n_a", "n_b") >= similarity))
+             .select("a", "b").distinct())
     left = nodes.select(F.col("doc_id").alias("a"), F.col("shingles").alias("one"))
     right = nodes.select(F.col("doc_id").alias("b"), F.col("shingles").alias("two"))
-    both = star.join(left, "a").join(right, "b")
+    both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("one", "two"))
     return (both.select("a", "b", (shared / (F.size("one") + F.size("two") - shared)).alias("jaccard"))
             .where(F.col("jaccard") >= similarity))
