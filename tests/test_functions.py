@@ -151,6 +151,13 @@ def test_link_text_and_order(frame):
     assert [(a.href, a.text) for a in df.first().l] == [("/1", "a b")]
 
 
+def test_all_character_references_are_decoded(frame):
+    html = '<a href="https://x/y?id&#61;5&amp;f=&#x2F;&#38;lt;">Caf&eacute; &#8217;a&#x1F642; &amp;lt; A&B &#0;&#xD800;&#99999999999; &nope; &#150;</a>'
+    link = frame([(html,)], "h string").select(extract_links(F.col("h")).alias("l")).first().l[0]
+    assert link.href == "https://x/y?id=5&f=/&lt;"
+    assert link.text == "Caf\u00e9 \u2019a\U0001f642 &lt; A&B \ufffd\ufffd\ufffd &nope; \u2013"
+
+
 def test_headers():
     assert normalise_headers(["Email Name", "% Open", "2024 Total", "﻿Name", "a--b__c", "", "é"]) \
         == ["email_name", "open", "_2024_total", "name", "a_b_c", "col", "col"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,14 +19,28 @@ SKIPPED_WORDS = ["mailto:", "unsubscribe", "preferences", "manage", "#"]
 # Possessive, so that no body is searched twice.
 _ANCHOR = r"(?is)<a(?=[\s>/])[^>]*+>(?:(?!<a[\s>/]|</a)[\s\S])*+</a"
 _HREF = r"""(?is)[\s"'/]href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-# Character references that occur in addresses and link texts.
-_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+# Named character references, and numbers that mean another character.
+_NAMED = json.dumps({f"&{name}": char for name, char in html5.items() if name.endswith(";")})
+_MOVED = json.dumps({str(k): bytes([k]).decode("cp1252", "ignore") or chr(k) for k in range(0x80, 0xA0)} | {"13": "\r"})
+_PIECES = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)|[^&]+|&"
 
 
 def _plain(text: Column) -> Column:
-    for reference, char in _REFERENCES:
-        text = F.replace(text, F.lit(reference), F.lit(char))
-    return text
+    """``text`` with its character references decoded, once."""
+    named, moved = (F.from_json(F.lit(m), "map<string,string>") for m in (_NAMED, _MOVED))
+
+    def char(number: Column) -> Column:
+        good = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        code = F.when(good, number).otherwise(F.lit(0xFFFD))
+        return F.coalesce(F.try_element_at(moved, code.cast("string")), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def piece(p: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_extract(p, "^&#[xX]?([0-9a-fA-F]+)", 1), "^0+", "")
+        base = F.when(p.rlike("^&#[xX]"), F.lit(16)).otherwise(F.lit(10))
+        number = F.when(F.length(digits) > 8, F.lit(0)).otherwise(F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint"))
+        return F.when(p.rlike("^&#[0-9xX]"), char(F.coalesce(number, F.lit(0)))).otherwise(F.coalesce(F.try_element_at(named, p), p))
+
+    return F.when(text.contains("&"), F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0)), piece), "")).otherwise(text)
 
 
 def extract_links(html: Column) -> Column:
