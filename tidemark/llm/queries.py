@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, leaks, licenses, lines, minhash, oracles, personal, pieces, quality, secret_scan, setjoin
+from . import chat, leaks, licenses, lines, minhash, oracles, personal, pieces, quality, secret_scan, setjoin, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_ngram_jaccard_join", oracles.JACCARD)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return setjoin.similar_components(table(spark, folder, "documents"))
+
+
+@query("op13_simhash_near_dedup")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
