@@ -109,3 +109,34 @@ FROM docs LEFT JOIN good ON good.doc_id = docs.doc_id GROUP BY docs.doc_id"""
 
 
 LICENSES = _licenses()
+
+
+# crc32 of the decimal id, bit by bit
+_CRC = """xor(list_reduce(flatten([[(ascii(x) >> k) & 1 for k in range(8)] for x in string_split(CAST({0} AS VARCHAR), '')]),
+  lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1)), CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+TRIE = rf"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place, role, text
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (SELECT conv_id, count(*) AS own, {_CRC.format('conv_id')} % 4 AS h, conv_id - conv_id % 20 AS donor FROM turns GROUP BY 1),
+plan AS (SELECT c.*, least(c.h, coalesce(d.own, 0)) AS heads FROM convs c LEFT JOIN convs d ON d.conv_id = c.donor),
+rebuilt AS (
+  SELECT plan.conv_id, place, role, text FROM plan JOIN turns ON turns.conv_id = donor WHERE place < heads
+  UNION ALL SELECT conv_id, place - h + heads, role, text FROM plan JOIN turns USING (conv_id) WHERE place >= h),
+placed AS (SELECT conv_id, place + 1 AS depth, len(regexp_extract_all(text, '[^ 	-
+]+')) AS words,
+    string_agg(md5(role || chr(0) || text), '' ORDER BY place) OVER (PARTITION BY conv_id ORDER BY place) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM plan),
+nodes AS (SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM placed GROUP BY 1),
+above AS (SELECT *, left(path, greatest(length(path) - 32, 0)) AS parent FROM nodes),
+kids AS (SELECT parent AS path, count(*) AS n FROM above WHERE depth > 0 GROUP BY 1),
+own AS (SELECT a.*, coalesce(kids.n, 0) AS n_children FROM above a LEFT JOIN kids ON kids.path = a.path),
+under AS (SELECT p.path, count(*) FILTER (o.n_children = 0) AS n_leaves, sum((o.n_convs - 1) * o.words) AS saved
+  FROM own o JOIN placed p ON p.conv_id = o.conv_id AND p.depth <= o.depth GROUP BY 1),
+ends AS (SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, max_by(path, depth) AS path FROM placed GROUP BY 1) GROUP BY 1)
+SELECT own.conv_id, CAST(own.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM own JOIN under USING (path) LEFT JOIN ends ON ends.path = own.path
+LEFT JOIN nodes up ON up.path = own.parent AND own.depth > 0"""
