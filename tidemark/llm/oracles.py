@@ -140,3 +140,18 @@ SELECT own.conv_id, CAST(own.depth AS BIGINT) AS depth, up.conv_id AS parent_con
   CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
 FROM own JOIN under USING (path) LEFT JOIN ends ON ends.path = own.path
 LEFT JOIN nodes up ON up.path = own.parent AND own.depth > 0"""
+
+
+SEARCH = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+counts AS (SELECT count(*) FILTER (len(w) > 0) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM docs),
+items AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (SELECT item, item_id, t, count(*) AS times FROM (SELECT item, item_id, unnest(w) AS t FROM items) GROUP BY 1, 2, 3),
+held AS (SELECT r, doc_id, CAST(len AS BIGINT) AS len, t, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS len, unnest(w) AS t FROM docs) GROUP BY 1, 2, 3, 4),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight FROM held, counts GROUP BY t, n),
+scores AS (SELECT item, item_id, r, doc_id,
+    CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len * n) // l)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (t) JOIN weights USING (t), counts GROUP BY 1, 2, 3, 4)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10"""

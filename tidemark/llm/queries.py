@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, leaks, licenses, lines, minhash, oracles, personal, pieces, prefixes, quality, secret_scan, setjoin, simhash
+from . import chat, leaks, lexical, licenses, lines, minhash, oracles, personal, pieces, prefixes, quality, secret_scan, setjoin, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,8 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_prefix_trie", oracles.TRIE)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return prefixes.conversation_trie(table(spark, folder, "conversations"))
+
+
+@query("op12_lexical_search", oracles.SEARCH)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
