@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cells import SinkField
 from tidemark.operators.sync import (apply_plan, create_missing, dropped_fields, duplicate_counts,
-                                     duplicate_diff, fit_to_sink, replace_stats, split_duplicates,
+                                     duplicate_diff, fetched, fit_to_sink, replace_stats, split_duplicates,
                                      sync_key, sync_stats, upsert_plan)
+from tidemark.plans import dashboard
 from tidemark.plans.dashboard import grid_records, sync_records
 from tidemark.sources import tables
 
@@ -159,3 +160,28 @@ def test_replace_and_pointers(spark, frame, tmp_path):
     assert rows_of(tables.current(spark, root)) == [(2,)]
     stats = replace_stats(frame([(1,), (2,)], "v int"), frame([(3,)], "v int")).first()
     assert stats.asDict() == {"rows_read": 1, "deleted": 2, "created": 1}
+
+
+@pytest.mark.parametrize("parts", [1, 7, 211])
+def test_order_numbers_do_not_depend_on_partitions(spark, frame, parts):
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, "x", "Y"]), rng.randrange(4)) for _ in range(120)]
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        df = frame(rows, "k string, a string, n bigint").repartition(parts)
+        got = {(r.source_order, r.k, r.a, r.n) for r in dashboard.ordered(df, ["n", "k"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+    def nulls_first(v):
+        return (v is not None, v or "")
+    want = sorted(rows, key=lambda r: (r[2], nulls_first(r[0]), nulls_first(r[1])))
+    assert got == {(i, *r) for i, r in enumerate(want)}
+
+
+def test_created_records_are_fetched_in_the_order_of_their_numbers(frame):
+    snapshot = frame([("t1", 5), ("new:9", None), ("new:10", None), ("t2", 2)], "id string, seq bigint")
+    assert rows_of(fetched(snapshot), "id", "seq") == [("new:10", 16), ("new:9", 15), ("t1", 5), ("t2", 2)]
+    kept, _ = split_duplicates(fetched(snapshot).withColumn("k", F.lit("same")), ["k"])
+    assert rows_of(kept, "id") == [("new:10",)]
+    assert fetched(frame([("new:0", None)], "id string, seq bigint")).first().seq == 0

@@ -157,6 +157,16 @@ def apply_plan(target: DataFrame, plan: DataFrame, prune: bool = False, dedupe:
     return joined.select(*[value(c).alias(c) for c in target.columns])
 
 
+def fetched(snapshot: DataFrame, seq: str = "seq", record_id: str = "id") -> DataFrame:
+    """A snapshot as its store lists it next time: created records stand behind all others.
+
+    Among themselves they stand in the order of their numbers, as numbers: ``new:9`` before ``new:10``.
+    """
+    last = snapshot.agg(F.coalesce(F.max(seq).cast("bigint"), F.lit(-1).cast("bigint"))).scalar()
+    number = F.substring_index(F.col(record_id).cast("string"), ":", -1).try_cast("bigint")
+    return snapshot.withColumn(seq, F.coalesce(F.col(seq).cast("bigint"), last + 1 + number))
+
+
 def sync_stats(plan: DataFrame, prune: bool = False, dedupe: bool = False) -> DataFrame:
     """One row of counts: read, created, updated, skipped, deduplicated, pruned."""
     def count(action: str, on: bool = True) -> Column:

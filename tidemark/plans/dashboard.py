@@ -14,7 +14,7 @@ from ..functions.cells import SinkField, coerce_cell, coerce_typed
 from ..functions.dates import day_literal, iso_text
 from ..functions.numbers import null_as_zero_sum, safe_ratio
 from ..functions.text import translated
-from ..operators.latest import row_fingerprint
+from ..operators.ordering import dense_numbers
 from ..operators.shape import align, rolling_window
 from ..operators.sync import (apply_plan, create_missing, dropped_fields, fit_to_sink,
                               replace_stats, sync_stats, upsert_plan)
@@ -123,14 +123,13 @@ def sync_records(records: DataFrame, target: DataFrame, keys: Sequence[str],
 
 def ordered(df: DataFrame, order_by: Sequence[str],
             source_order: str = "source_order") -> DataFrame:
-    """Store records with a unique, increasing source order.
+    """Store records with their place in the order, from 0 on and without gaps.
 
-    Sorting is distributed and the number comes from the sorted partitions, so
-    no task sees all rows.  The stored table fixes the numbers: a plan reads
-    its source more than once and must meet the same ones.
+    The order is by ``order_by``, then by all other columns, NULLs first, so the numbers are the same
+    however the rows are partitioned.  They come from two distributed passes; no
+    task sees all rows.  The stored table fixes them: a plan reads its source more than once.
     """
-    rows = df.orderBy(*order_by, row_fingerprint(df))
-    return stored(rows.withColumn(source_order, F.monotonically_increasing_id()), "records")
+    return dense_numbers(df, [*order_by, *[c for c in df.columns if c not in order_by]], source_order)
 
 
 def sync_dashboard(items: DataFrame, target: DataFrame, schema: Sequence[SinkField],

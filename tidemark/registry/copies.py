@@ -10,6 +10,7 @@ from ..functions.cells import SinkField
 from ..operators import sync
 from ..operators.quality import value_counts
 from ..plans import dashboard
+from ..schemas import DASHBOARD, SOCIAL_POSTS
 from ..session import scratch_path, stored
 from ..sources import tables
 from . import models
@@ -242,32 +243,67 @@ def _empty(spark, df: DataFrame) -> DataFrame:
 
 def _two_runs(name: str, first: DataFrame, run) -> DataFrame:
     """Sync into an empty copy, then again: what has a key of its own is skipped the
-    second time; a record that repeats a key is created again, as syncs by key do."""
+    second time; of records that repeat a key the first meets the last, the others are created again."""
     one = run(first, "first")
-    snapshot = stored(one.snapshot, "snapshot")
-    seq = F.coalesce(F.col("seq"), F.lit(0)).alias("seq")
-    again = run(snapshot.withColumn("seq", seq), "second")
+    again = run(sync.fetched(stored(one.snapshot, "snapshot")), "second")
     parts = [r.stats.select(F.lit(name).alias("copy"), F.lit(i).alias("run"), "*")
              for i, r in ((1, one), (2, again))]
     return parts[0].unionByName(parts[1])
 
 
-@query("end_to_end_sync")
+_AS_OF = "2024-01-31"
+_RECENT = f"date >= DATE '{_AS_OF}' - 180"
+
+
+def _two_runs_sql(name: str, records: str, schema: T.StructType, keys: list[str]) -> str:
+    """Counts of both runs: per key the first record in order is compared with the last one."""
+    key = " || '|' || ".join(f"lower(trim(coalesce(CAST({k} AS VARCHAR), '')))" for k in keys)
+    columns = [*keys, *[c for c in schema.fieldNames() if c not in keys]]
+    texts = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
+
+    def shown(side: str, c: str) -> str:
+        return f'trim({side}."{c}")' if c in texts else f'{side}."{c}"'
+
+    def order(direction: str) -> str:
+        return ", ".join(f'"{c}" {direction}' for c in columns)
+    changed = " OR ".join(f'(f."{c}" IS NOT NULL AND {shown("f", c)} IS DISTINCT FROM {shown("l", c)})' for c in columns)
+    return f"""
+SELECT '{name}' AS copy, run, n AS rows_read, CASE run WHEN 1 THEN n ELSE n - k END AS created,
+       CASE run WHEN 1 THEN 0 ELSE u END AS updated, CASE run WHEN 1 THEN 0 ELSE k - u END AS skipped,
+       0::BIGINT AS deduplicated, 0::BIGINT AS pruned
+FROM (VALUES (1), (2)) AS r(run), (
+  WITH o AS (SELECT *, {key} AS _key FROM ({records})),
+  p AS (SELECT *, row_number() OVER (PARTITION BY _key ORDER BY {order('ASC NULLS FIRST')}) AS a,
+                  row_number() OVER (PARTITION BY _key ORDER BY {order('DESC NULLS LAST')}) AS z FROM o)
+  SELECT (SELECT count(*) FROM p) AS n, count(*) AS k, count(*) FILTER ({changed}) AS u
+  FROM p f JOIN p l ON l._key = f._key AND l.z = 1 WHERE f.a = 1)"""
+
+
+_DASHBOARD_RUNS = _two_runs_sql("dashboard", f"SELECT * FROM ({models.mapped_sql(_AS_OF)}) WHERE CAST(date AS DATE) >= DATE '{_AS_OF}' - 180",
+                                DASHBOARD, list(dashboard.DASHBOARD_KEYS))
+_SOCIAL_RUNS = _two_runs_sql("social", f"SELECT * FROM ({models.POSTS}) WHERE {_RECENT}", SOCIAL_POSTS, list(dashboard.SOCIAL_KEYS))
+
+
+def _dashboard_runs(items: DataFrame) -> DataFrame:
+    mapped = dashboard.dashboard_records(items, _AS_OF)
+    return _two_runs("dashboard", _empty(items.sparkSession, mapped), lambda target, run: dashboard.sync_dashboard(
+        items, target, sink_of(mapped), _AS_OF, run_id=run))
+
+
+def _social_runs(posts: DataFrame) -> DataFrame:
+    texts = posts.withColumns({c: F.col(c).cast("string") for c in ("date", "post_created_at")})
+    return _two_runs("social", _empty(posts.sparkSession, texts), lambda target, run: dashboard.sync_social(
+        posts, target, sink_of(texts), _AS_OF, run_id=run))
+
+
+@query("end_to_end_sync", f"""{_DASHBOARD_RUNS} UNION ALL {_SOCIAL_RUNS} UNION ALL
+SELECT 'web', 1, count(*), count(*), 0, 0, 0, count(*) FROM ({models.BREAKDOWN})""")
 def end_to_end_sync(spark, d):
     """Dashboard, social and web copies from empty: counts of a first and a second run."""
     # table models: built once, then read by the syncs
-    items = stored(models.all_items(spark, d), "items")
-    posts = stored(models.social_posts(spark, d), "posts")
+    dash = _dashboard_runs(stored(models.all_items(spark, d), "items"))
+    soc = _social_runs(stored(models.social_posts(spark, d), "posts"))
     breakdown = stored(models.breakdown_365d(spark, d), "breakdown")
-    as_of = "2024-01-31"
-
-    mapped = dashboard.dashboard_records(items, as_of)
-    fields = sink_of(mapped)
-    dash = _two_runs("dashboard", _empty(spark, mapped), lambda target, run: dashboard.sync_dashboard(
-        items, target, fields, as_of, run_id=run))
-    texts = posts.withColumns({c: F.col(c).cast("string") for c in ("date", "post_created_at")})
-    soc = _two_runs("social", _empty(spark, texts), lambda target, run: dashboard.sync_social(
-        posts, target, sink_of(texts), as_of, run_id=run))
     web = dashboard.sync_web(breakdown, breakdown).stats.select(
         F.lit("web").alias("copy"), F.lit(1).alias("run"), "rows_read", "created",
         F.lit(0).cast("bigint").alias("updated"), F.lit(0).cast("bigint").alias("skipped"),
@@ -275,26 +311,22 @@ def end_to_end_sync(spark, d):
     return dash.unionByName(soc).unionByName(web)
 
 
-_AS_OF = "2024-01-31"
-_RECENT = f"date >= DATE '{_AS_OF}' - 180"
-
-
-@query("social_sync", f"""
-SELECT run, n AS rows_read, CASE run WHEN 1 THEN n ELSE n - k END AS created, CASE run WHEN 1 THEN 0 ELSE k END AS matched,
-       0::BIGINT AS deduplicated, 0::BIGINT AS pruned
-FROM (SELECT count(*) AS n, count(DISTINCT lower(trim(coalesce(platform, ''))) || '|' || lower(trim(coalesce(post_id, '')))) AS k
-      FROM ({models.POSTS}) WHERE {_RECENT}), (VALUES (1), (2)) AS r(run)""")
+@query("social_sync", f"SELECT * EXCLUDE (copy) FROM ({_SOCIAL_RUNS})")
 def social_sync(spark, d):
-    """Recent posts to an empty copy, then again: the second run matches one record of every key.
+    """Recent posts to an empty copy, then again: the second run matches one record of every key."""
+    return _social_runs(stored(models.social_posts(spark, d), "posts")).drop("copy")
+
 
-    Which record of a repeated key is the first depends on the stored order, so updated and
-    skipped ones are counted together.
-    """
+@query("synced_records", f"""
+SELECT 'first:' || (row_number() OVER (ORDER BY {', '.join(f'"{c}" ASC NULLS FIRST' for c in
+    [*dashboard.SOCIAL_KEYS, *[c for c in SOCIAL_POSTS.fieldNames() if c not in dashboard.SOCIAL_KEYS]])}) - 1) AS id,
+  platform, post_id, content, likes FROM ({models.POSTS}) WHERE {_RECENT}""")
+def synced_records(spark, d):
+    """The social copy after a first sync: the id of every record is its place in the order."""
     posts = stored(models.social_posts(spark, d), "posts")
     texts = posts.withColumns({c: F.col(c).cast("string") for c in ("date", "post_created_at")})
-    return _two_runs("social", _empty(spark, texts), lambda target, run: dashboard.sync_social(
-        posts, target, sink_of(texts), _AS_OF, run_id=run)).select(
-            "run", "rows_read", "created", (F.col("updated") + F.col("skipped")).alias("matched"), "deduplicated", "pruned")
+    done = dashboard.sync_social(posts, _empty(spark, texts), sink_of(texts), _AS_OF, run_id="first")
+    return done.snapshot.select("id", "platform", "post_id", "content", "likes")
 
 
 @query("dashboard_sync", f"""

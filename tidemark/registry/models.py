@@ -370,26 +370,30 @@ def all_items(spark, d):
 query("cross_channel", ITEMS)(all_items)
 
 
-@query("mapped_dashboard", "SELECT " + sql_columns(DASHBOARD, {
-    "date": "strftime(date, '%Y-%m-%d')",
-    "channel": "CASE channel_group WHEN 'Social' THEN 'Social Media' WHEN 'Web' THEN 'Website' "
-               "WHEN 'Email' THEN 'Email Marketing' WHEN 'Forms' THEN 'Forms & Actions' "
-               "ELSE channel_group END",
-    "subchannel": "coalesce(nullif(ga4_dimension_type, ''), channel)", "content_name": "item_name",
-    "reach": "reach_or_impressions",
-    "new_followers_contacts": "nullif(coalesce(new_followers, 0) + coalesce(new_contacts, 0), 0)",
-    "sessions": "website_sessions", "website_users": "website_users",
-    "engagement_rate_pct": "engagement_rate", "action_takers": "clicks", "engagements": "engagement",
-    "impressions": "social_impressions",
-    "clicks": "CASE WHEN channel_group = 'Social' THEN clicks END",
-    "website_new_users": "website_new_users", "key_events": "website_key_events",
-    "avg_engagement_seconds": sql_round(
-        "CAST(website_engagement_seconds AS DOUBLE) / nullif(website_users, 0)", 1),
-    "amount_raised": "revenue", "days_ago": f"DATE '{AS_OF}' - date",
-    "avg_contribution": "revenue / nullif(contributions, 0)",
-    **{c: c for c in ("video_views", "avg_watch_time_seconds", "likes", "comments", "shares",
-                      "saves", "contributions", "year", "month", "month_name")},
-}) + f" FROM ({ITEMS})")
+def mapped_sql(as_of: str) -> str:
+    return "SELECT " + sql_columns(DASHBOARD, {
+        "date": "strftime(date, '%Y-%m-%d')",
+        "channel": "CASE channel_group WHEN 'Social' THEN 'Social Media' WHEN 'Web' THEN 'Website' "
+                   "WHEN 'Email' THEN 'Email Marketing' WHEN 'Forms' THEN 'Forms & Actions' "
+                   "ELSE channel_group END",
+        "subchannel": "coalesce(nullif(ga4_dimension_type, ''), channel)", "content_name": "item_name",
+        "reach": "reach_or_impressions",
+        "new_followers_contacts": "nullif(coalesce(new_followers, 0) + coalesce(new_contacts, 0), 0)",
+        "sessions": "website_sessions", "website_users": "website_users",
+        "engagement_rate_pct": "engagement_rate", "action_takers": "clicks", "engagements": "engagement",
+        "impressions": "social_impressions",
+        "clicks": "CASE WHEN channel_group = 'Social' THEN clicks END",
+        "website_new_users": "website_new_users", "key_events": "website_key_events",
+        "avg_engagement_seconds": sql_round(
+            "CAST(website_engagement_seconds AS DOUBLE) / nullif(website_users, 0)", 1),
+        "amount_raised": "revenue", "days_ago": f"DATE '{as_of}' - date",
+        "avg_contribution": "revenue / nullif(contributions, 0)",
+        **{c: c for c in ("video_views", "avg_watch_time_seconds", "likes", "comments", "shares",
+                          "saves", "contributions", "year", "month", "month_name")},
+    }) + f" FROM ({ITEMS})"
+
+
+@query("mapped_dashboard", mapped_sql(AS_OF))
 def mapped_dashboard(spark, d):
     """Cross-channel items in the fields of the dashboard."""
     return dashboard.dashboard_records(all_items(spark, d), AS_OF)
