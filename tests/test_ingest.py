@@ -185,3 +185,92 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     assert load_new_files(*args) == 1
     assert rows_of(loaded(spark, str(tmp_path / "raw")), "item_id", "value", "_source_filename") == sorted([
         (1, 2.5, "1.csv"), (2, None, "1.csv"), (3, None, "2.csv")], key=str)
+
+
+def jobs_of(spark, name, work):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_jobs_do_not_grow_with_the_number_of_headers(spark, frame, tmp_path):
+    """200 files of 200 headers: as many jobs as for three, and every cell under its name."""
+    counts = {}
+    for n in (3, 200):
+        root = tmp_path / str(n)
+        root.mkdir()
+        rows = []
+        for i in range(n):
+            # the same three columns in turning order, and one of its own
+            names = ["Name", "Share", "Day"][i % 3:] + ["Name", "Share", "Day"][:i % 3]
+            cells = {"Name": f"n{i}", "Share": f"{i}%", "Day": "2026-01-02"}
+            text = ",".join([*names, f"Own {i}"]) + "\n" + ",".join([*(cells[c] for c in names), str(i * 10)]) + "\n"
+            rows.append(message(f"m{i}", "Mail Comparison", write(root, f"f{i}.csv", text)))
+        counts[n] = jobs_of(spark, f"headers-{n}", lambda: run(spark, frame, root, rows))
+        raw = read_raw(spark, f"{root}/raw/mail")
+        assert len(raw.columns) == 3 + n + 4
+        own = F.coalesce(*[F.col(f"own_{i}") for i in range(n)])
+        got = raw.select("name", "share", "day", own.alias("own"), "_gmail_message_id")
+        assert rows_of(got) == sorted([(f"n{i}", float(i), dt.date(2026, 1, 2), float(i * 10), f"m{i}") for i in range(n)], key=str)
+    # adaptive execution may split a query in a job more or less
+    assert counts[200] <= counts[3] + 5
+
+
+def test_a_run_that_dies_has_loaded_nothing(spark, frame, tmp_path, monkeypatch):
+    """Killed between the data and the commit: readers see none of it, and the rerun has each row once."""
+    from tidemark.sources import commits
+    from tidemark.sources import ingest as module
+    first = [message("m0", "Mail Comparison", write(tmp_path, "0.csv", "Name,Old\nz,1\n"))]
+    run(spark, frame, tmp_path, first)
+    rows = [message("m1", "Mail Comparison", write(tmp_path, "1.csv", "Name,New\na,x\nb,y\n")),
+            message("m2", "Daily People", write(tmp_path, "2.csv", "Status\nS\n"))]
+
+    def die(*_):
+        raise SystemExit("killed")
+    for step in ("publish", "tie_ledger"):
+        with monkeypatch.context() as m:
+            m.setattr(module, step, die)
+            with pytest.raises(SystemExit):
+                run(spark, frame, tmp_path, rows)
+        raw = read_raw(spark, f"{tmp_path}/raw/mail")
+        assert raw.columns[:2] == ["name", "old"] and raw.count() == 1
+        assert read_raw(spark, f"{tmp_path}/raw/people") is None
+        assert rows_of(read_ledger(spark, f"{tmp_path}/ledger"), "message_id") == [("m0",)]
+    run(spark, frame, tmp_path, rows)
+    assert rows_of(read_raw(spark, f"{tmp_path}/raw/mail"), "name", "old", "new") == sorted([
+        ("z", 1.0, None), ("a", None, "x"), ("b", None, "y")], key=str)
+    assert read_raw(spark, f"{tmp_path}/raw/people").count() == 1
+    assert rows_of(read_ledger(spark, f"{tmp_path}/ledger"), "message_id") == [("m0",), ("m1",), ("m2",)]
+    # what the dead runs left: twice both tables, once the ledger
+    assert len(commits.vacuum(spark, f"{tmp_path}/raw", f"{tmp_path}/ledger")) == 5
+    assert commits.vacuum(spark, f"{tmp_path}/raw", f"{tmp_path}/ledger") == []
+    assert read_raw(spark, f"{tmp_path}/raw/mail").count() == 3
+
+
+def test_two_reports_fill_one_table(spark, frame, tmp_path):
+    configs = [reports.ReportConfig("a", "Alpha", r".*", "both", "daily"), reports.ReportConfig("b", "Beta", r".*", "both", "daily")]
+    rows = [message("m1", "Alpha", write(tmp_path, "a.csv", "Name,Count\na,1\n")),
+            message("m2", "Beta", write(tmp_path, "b.csv", "Day,Count\n2026-01-02,x\n"))]
+    ingest(spark, frame(rows, MESSAGES), configs, f"{tmp_path}/raw", f"{tmp_path}/ledger", F.lit(NOW).cast("timestamp"))
+    assert rows_of(read_raw(spark, f"{tmp_path}/raw/both"), "name", "count", "day") == sorted([
+        ("a", 1.0, None), (None, None, dt.date(2026, 1, 2))], key=str)
+
+
+def test_a_free_text_field_is_refused(spark, frame, tmp_path):
+    many = write(tmp_path, "People_1.csv", "Status,Method\n" + "".join(f"s{i},m\n" for i in range(30)))
+    few = write(tmp_path, "People_2.csv", "Status,Method\nS,m\nT,m\n")
+    rows = [message("m1", "Daily People", many), message("m2", "Daily People", few)]
+    out = ingest(spark, frame(rows, MESSAGES), CONFIGS, f"{tmp_path}/raw", f"{tmp_path}/ledger", F.lit(NOW).cast("timestamp"), most_values=20)
+    got = {r.message_id: (r.rows_loaded, r.error) for r in out.collect()}
+    assert got == {"m1": (0, "too many values for a category: status"), "m2": (1, None)}
+    assert [r.record_count for r in read_raw(spark, f"{tmp_path}/raw/people").collect()] == [2]
+    assert rows_of(read_ledger(spark, f"{tmp_path}/ledger"), "message_id") == [("m2",)]
+
+
+def test_header_names_in_spark_are_those_of_python(frame):
+    heads = ["A,B", '"a, ""q""",% Open,2024 Total,,É é, x ,', "x", ",", '"one, two","three"', "A,a,A b,a_b", " _x_ ,9"]
+    got = frame([(h,) for h in heads], "head string").select(typed.head_names(F.col("head"), 9).alias("n")).collect()
+    assert [r.n for r in got] == [reports.normalise_headers(typed.header_cells(h)) for h in heads]

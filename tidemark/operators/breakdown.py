@@ -88,23 +88,41 @@ def breakdown(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> D
             .groupBy(*by, "field", "value").agg(F.count("*").alias("n")))
 
 
-def daily_summary(df: DataFrame, fields: Sequence[str], by: Sequence[str]) -> DataFrame:
+MOST_VALUES = 100_000           # distinct values of one field of one load, whose counts make one text
+
+
+def crowded(values: DataFrame, by: Sequence[str], most: int = MOST_VALUES) -> DataFrame:
+    """(by, field, n_values) of loads whose field has more than ``most`` values in a :func:`breakdown`: no category."""
+    return values.groupBy(*by, "field").agg(F.count("*").alias("n_values")).filter(F.col("n_values") > most)
+
+
+def summary_rows(counted: DataFrame, values: DataFrame, fields: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The loads of ``counted`` (by, record_count) with a ``<field>_counts`` JSON of ``values``, a :func:`breakdown`."""
+    entries = F.array_sort(F.collect_list(F.struct("value", "n")))
+    texts = values.groupBy(*by, "field").agg(F.to_json(F.map_from_entries(entries)).alias("_json"))
+    wide = texts.groupBy(*by).agg(*[
+        F.max(F.when(F.col("field") == f, F.col("_json"))).alias(f"{f}_counts") for f in fields])
+    matched = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+    joined = counted.alias("l").join(wide.alias("r"), matched, "left")
+    return joined.select(*[F.col(f"l.{c}").alias(c) for c in by], "record_count",
+                         *[F.col(f"{f}_counts") for f in fields])
+
+
+def daily_summary(df: DataFrame, fields: Sequence[str], by: Sequence[str], most: int = MOST_VALUES) -> DataFrame:
     """One row per load: record count and one ``<field>_counts`` JSON per field.
 
-    The JSON has sorted keys and one entry per distinct value of the field, so
-    the fields should be categories.  Each (load, field) builds its text by itself;
-    a load's texts only meet in its row.
+    The JSON has sorted keys and one entry per distinct value of the field, so the fields must
+    be categories: more than ``most`` values of one field in one load are an error, found before any
+    text is built.  A load's texts only meet in its row.
     """
     present = [f for f in fields if f in df.columns]
     counted = df.groupBy(*by).agg(F.count("*").alias("record_count"))
     if not present:
         return counted
-    entries = F.array_sort(F.collect_list(F.struct("value", "n")))
-    texts = breakdown(df, present, by).groupBy(*by, "field").agg(
-        F.to_json(F.map_from_entries(entries)).alias("_json"))
-    wide = texts.groupBy(*by).agg(*[
-        F.max(F.when(F.col("field") == f, F.col("_json"))).alias(f"{f}_counts") for f in present])
-    matched = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
-    joined = counted.alias("l").join(wide.alias("r"), matched, "left")
-    return joined.select(*[F.col(f"l.{c}").alias(c) for c in by], "record_count",
-                         *[F.col(f"{f}_counts") for f in present])
+    values = breakdown(df, present, by)
+    sizes = values.groupBy(*by, "field").agg(F.count("*").alias("_values"))
+    matched = [F.col(f"v.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*by, "field"]]
+    few = F.when(F.col("s._values") <= most, True).otherwise(
+        F.raise_error(F.concat(F.lit("a field of more values than a category has: "), F.col("s.field"))))
+    checked = values.alias("v").join(sizes.alias("s"), matched).filter(few).select("v.*")
+    return summary_rows(counted, checked, present, by)

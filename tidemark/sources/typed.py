@@ -81,6 +81,21 @@ def named_cells(cells: DataFrame, header: Sequence[str]) -> DataFrame:
     return cells.select(*[F.col(f"c{i}").alias(name) for i, name in kept], "_file")
 
 
+def head_names(head: Column, width: int) -> Column:
+    """The clean names of a header line's cells, as an array; as :func:`normalise_headers` gives them.
+
+    ``width`` is the largest number of cells; commas of the line give an upper bound for it.
+    """
+    cells = F.from_csv(head, F.lit(", ".join(f"c{i} string" for i in range(width))), {"escape": '"'})
+    n = F.size(F.split(F.regexp_replace(head, '"[^"]*"', ""), ",", -1))
+
+    def clean(cell: Column) -> Column:
+        bare = F.regexp_replace(F.lower(F.coalesce(cell, F.lit(""))), "[^a-z0-9]+", "_")
+        name = F.regexp_replace(bare, "^_+|_+$", "")
+        return F.when(name == "", "col").when(name.rlike("^[0-9]"), F.concat(F.lit("_"), name)).otherwise(name)
+    return F.transform(F.slice(F.array(*[cells[f"c{i}"] for i in range(width)]), F.lit(1), F.least(n, F.lit(width))), clean)
+
+
 def read_csv_report(spark: SparkSession, paths: str | Sequence[str],
                     header: Sequence[str] | None = None) -> DataFrame:
     """CSV files of one header as trimmed text columns with clean names.
@@ -129,20 +144,25 @@ def infer_types(df: DataFrame, sample: int | None = None,
     return wide.select(rows.alias("_r")).select("_r.*")
 
 
-def _shape(value: Column) -> Column:
-    """Aggregate: the type all non-NULL values fit.
-
-    No text has two of the shapes, so each value is given one and the column
-    has a type when all its values agree.
-    """
+def shape_kind(value: Column) -> Column:
+    """1 a number, 2 a day, 3 a time stamp, 0 any other text; NULL for NULL.  No text has two of the shapes."""
     bare = F.replace(value, F.lit(","), F.lit(""))
-    kind = F.when(value.isNotNull(), F.when(bare.rlike(NUMBER_SHAPE), 1)
+    return F.when(value.isNotNull(), F.when(bare.rlike(NUMBER_SHAPE), 1)
                   .when(value.rlike(DAY_SHAPE), 2).when(value.rlike(STAMP_SHAPE), 3).otherwise(0))
-    low, high = F.min(kind), F.max(kind)
+
+
+def type_of_kinds(low: Column, high: Column) -> Column:
+    """A column has a type when all its values agree, else it is text."""
     return (F.when(low.isNull() | (low != high) | (low == 0), "string")
             .when(low == 1, "double").when(low == 2, "date").otherwise("timestamp"))
 
 
+def _shape(value: Column) -> Column:
+    """Aggregate: the type all non-NULL values fit."""
+    kind = shape_kind(value)
+    return type_of_kinds(F.min(kind), F.max(kind))
+
+
 def inferred(df: DataFrame, sample: int | None = None,
              index_col: str | None = None) -> dict[str, str]:
     """:func:`infer_types` as a dict; one small row per column reaches the driver."""
