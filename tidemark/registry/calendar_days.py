@@ -136,29 +136,29 @@ def runs(spark, d):
 
 
 @query("copy_report", f"""
-WITH c AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events
-           WHERE user_id % 7 = 0 AND value > 25 GROUP BY 1, 2),
-spans AS (SELECT event_type, day, lead(day) OVER (PARTITION BY event_type ORDER BY day) AS following
-          FROM (SELECT event_type, day FROM c WHERE day BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
-                UNION ALL SELECT DISTINCT event_type, DATE '{FIRST}' - 1 FROM c)),
-gaps AS (SELECT event_type, day + 1 AS a, coalesce(following, DATE '{LAST}' + 1) - 1 AS b FROM spans
+WITH c AS (SELECT event_type, user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2, 3),
+spans AS (SELECT event_type, user_id, day, lead(day) OVER (PARTITION BY event_type, user_id ORDER BY day) AS following
+          FROM (SELECT event_type, user_id, day FROM c WHERE day BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
+                UNION ALL SELECT DISTINCT event_type, user_id, DATE '{FIRST}' - 1 FROM c)),
+gaps AS (SELECT event_type, user_id, day + 1 AS a, coalesce(following, DATE '{LAST}' + 1) - 1 AS b FROM spans
          WHERE coalesce(following, DATE '{LAST}' + 1) - day > 1)
-SELECT event_type, count(*) FILTER (day BETWEEN DATE '{FIRST}' AND DATE '{LAST}') AS days_present,
+SELECT event_type, user_id, count(*) FILTER (day BETWEEN DATE '{FIRST}' AND DATE '{LAST}') AS days_present,
        CAST(DATE '{LAST}' - DATE '{FIRST}' + 1 - count(*) FILTER (day BETWEEN DATE '{FIRST}' AND DATE '{LAST}') AS BIGINT) AS days_missing,
        min(day) AS first_date, max(day) AS last_date,
-       (SELECT string_agg(a || '..' || b || ' (' || (b - a + 1) || 'd)', ', ' ORDER BY a) FROM gaps
-        WHERE gaps.event_type = c.event_type) AS missing_ranges,
+       any_value(missing) AS missing_ranges,
        CAST(sum(n) AS BIGINT) AS records, count(*) FILTER (n > 1) AS repeated_days,
        CAST(coalesce(sum(n - 1) FILTER (n > 1), 0) AS BIGINT) AS extra_records
-FROM c GROUP BY event_type""")
-def copy_report_by_type(spark, d):
-    """A thinned copy against the calendar: coverage, ranges and repeated days."""
-    thin = events(spark, d).filter((F.col("user_id") % 7 == 0) & (F.col("value") > 25))
-    return copy_report(thin, "day", ["event_type"], FIRST, LAST)
+FROM c LEFT JOIN (
+  SELECT event_type, user_id, string_agg(a || '..' || b || ' (' || (b - a + 1) || 'd)', ', ' ORDER BY a) AS missing
+  FROM gaps GROUP BY 1, 2) USING (event_type, user_id)
+GROUP BY event_type, user_id""")
+def copy_report_by_source(spark, d):
+    """Every user's events of each type against the calendar: coverage, ranges and repeated days."""
+    return copy_report(events(spark, d), "day", ["event_type", "user_id"], FIRST, LAST)
 
 
 @query("copy_compare", f"""
-WITH copy AS (SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) AS day FROM events WHERE value > 25),
+WITH copy AS (SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) AS day FROM events),
 sources AS (SELECT DISTINCT event_type, user_id FROM copy)
 SELECT s.event_type, s.user_id, strftime(d.day, '%Y-%m') AS month, count(c.day) AS have,
        count(*) - count(c.day) AS missing
@@ -166,6 +166,5 @@ FROM sources s CROSS JOIN ({JANUARY_SQL}) d
 LEFT JOIN copy c ON c.event_type = s.event_type AND c.user_id = s.user_id AND c.day = d.day
 GROUP BY ALL""")
 def copy_compare(spark, d):
-    """Days of a thinned copy against the calendar, by month."""
-    return copy_days(events(spark, d).filter(F.col("value") > 25), "day",
-                     ["event_type", "user_id"], FIRST, LAST)
+    """Days of every user's events of each type against the calendar, by month."""
+    return copy_days(events(spark, d), "day", ["event_type", "user_id"], FIRST, LAST)
