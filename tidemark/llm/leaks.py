@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDTH = 8
-LEAST_TOKENS = 3                # shorter items would be found anywhere and are left out
+LEAST_TOKENS = 3                # shorter items would be found anywhere; they must be a whole sentence
 COVER = 0.3                     # share of an item's windows
 SHIFT = 6                       # diagonals up to this far from another one can count with it
 BROADCAST_WINDOWS = 1_000_000   # benchmark windows that are broadcast at most; beyond it, a shuffled join
@@ -113,14 +113,29 @@ def with_windows(df: DataFrame, widths: list[int], keep: list[str], asked: bytea
     return df.select(*keep, "n_tokens", F.explode(windows).alias("w")).select(*keep, "n_tokens", "w.*")
 
 
+def short_leaks(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """Rows as of :func:`find_leaks` for items of under ``LEAST_TOKENS`` tokens: documents with a sentence that is the item.
+
+    A sentence ends at the text's end, at a line's, or at a full stop, question or exclamation mark before space.
+    """
+    def whole(text: Column) -> Column:
+        return F.regexp_replace(F.array_join(tokens(text), " "), f"[{NUMBER}{NAME}{UNIT}{OPENER}]", "")
+
+    asked = items.where(F.size(tokens(F.col("text"))).between(1, LEAST_TOKENS - 1)).select("item_id", whole(F.col("text")).alias("whole"))
+    sentences = F.transform(F.split(F.coalesce("text", F.lit("")), r"[.!?]++(?=\s|$)|[\r\n]++"), whole)
+    said = texts.select("doc_id", "text_hash", F.explode(F.array_distinct(sentences)).alias("whole"))
+    return (said.join(asked.distinct(), "whole").select("doc_id", "text_hash", "item_id").distinct()
+            .select("*", F.lit(1.0).alias("cover"), F.lit(True).alias("same_values")))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """One row per document and item it holds: ``doc_id``, ``text_hash``, ``item_id``, ``cover``, ``same_values``.
 
     ``text_hash`` tells apart rows of one id; rows alike in both count once.
     ``cover`` is the largest share of the item's windows found in one place (or of those with
     its own values in all places), ``same_values`` whether all placeholders of a place that
-    holds the item have the item's own values.  Null texts are empty; items of under three
-    tokens are left out, items of under eight are one window.
+    holds the item have the item's own values.  Null texts are empty; items of under eight tokens are one
+    window, those of one or two must be a whole sentence, those without any are left out.
     """
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", "text")
     sizes = [r["n"] for r in items.select(F.least(F.size(tokens(F.col("text"))), F.lit(WIDTH)).alias("n")).distinct().collect()]
@@ -174,8 +189,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> D
         return F.col(count) / F.col("windows")
 
     held = judged.where((share("same") >= cover) | (share("fit") >= cover))
-    return held.select("doc_id", "text_hash", "item_id", F.round(F.greatest(share("found"), share("same")), 6).alias("cover"),
+    found = held.select("doc_id", "text_hash", "item_id", F.round(F.greatest(share("found"), share("same")), 6).alias("cover"),
                        (F.col("plain") | F.coalesce(share("fit_same") >= cover, F.lit(False))).alias("same_values"))
+    return found.unionByName(short_leaks(texts, items)) if any(0 < n < LEAST_TOKENS for n in sizes) else found
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:

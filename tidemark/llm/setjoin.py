@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.latest import first_ranked, row_fingerprint
+from ..operators.ordering import dense_numbers
 from ..session import stored
 from .components import connected_components
 from .shingles import chunks, mix, shingle_hashes
@@ -496,11 +498,29 @@ def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id.  Rows without an id that are linked with none stay."""
+    """``docs`` with one row of each component: of the smallest id, and of its rows the first by text.
+
+    Rows that share an id and have different texts are documents of their own: both stay unless they are linked.  Rows
+    alike in id and text are one document; the one with the smallest hash of the whole row stays.  Rows without
+    an id, which nobody can name, stay.  Null texts are empty; texts without words are linked with
+    nothing.  An empty table stays empty; other columns pass through under any name.
+    """
+    known = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    hashed = F.xxhash64("text")
+    shared = known.groupBy("doc_id").agg(F.min(hashed).alias("least"), F.max(hashed).alias("most")).where("least <> most")
+    if not shared.isEmpty():
+        # numbers in the order of id and text take the place of the ids
+        numbers = dense_numbers(known.distinct(), ["doc_id", "text"], "number")
+        d, n = docs.alias("d"), numbers.alias("n")
+        own = d.join(n, (F.col("d.doc_id") == F.col("n.doc_id")) & (F.coalesce("d.text", F.lit("")) == F.col("n.text")), "left")
+        packed = own.select(F.col("n.number").alias("doc_id"), F.col("d.text").alias("text"),
+                            F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]).alias("row"))
+        return keep_one(stored(packed, "numbered")).select("row.*")
+
     found = similar_components(docs)
     kept = stored(found.where("doc_id is null or doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows")), "kept")
     out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
     if kept.where("doc_id is not null and _rows > 1").isEmpty():
         return out
-    again = out.where("doc_id is not null").dropDuplicates(["doc_id"])
+    again = first_ranked(out.where("doc_id is not null"), ["doc_id"], [row_fingerprint(out)], 1)
     return again.unionByName(out.where("doc_id is null"))
