@@ -12,6 +12,8 @@ one place do and replace its values consistently: one value always by the same o
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,69 +50,95 @@ def _is_slot(token: Column) -> Column:
     return token.between(NUMBER, UNIT + "\U0010ffff")
 
 
-def marked(templates: list[int]) -> bytearray:
-    """A byte for each of the low bits a template can have: 1 for those of ``templates``."""
-    size = 1 << min(max((16 * len(templates)).bit_length(), 16), 22)
+def marked(hashes: list[int]) -> bytearray:
+    """A byte for each of the low bits a hash can have: 1 for those of ``hashes``."""
+    size = 1 << min(max((16 * len(hashes)).bit_length(), 16), 22)
     out = bytearray(size)
-    for t in templates:
+    for t in hashes:
         out[t & (size - 1)] = 1
     return out
 
 
-def with_windows(df: DataFrame, widths: list[int], keep: list[str], asked: bytearray | None = None) -> DataFrame:
-    """One row per window and form: ``at``, ``width``, ``named``, ``template`` (hash), ``slots`` (its values, null without any).
+def _has_mark(marks: bytearray, value: Column) -> Column:
+    low = value.bitwiseAND(F.lit(len(marks) - 1)).cast("int")
+    return F.substring(F.lit(marks), low + 1, F.lit(1)) == F.lit(bytearray(b"\1"))
 
-    In the second form (``named``) openers are names; it is there for windows with an opener,
-    unless they were all placeholders, which any text could fill.  Windows whose template
-    has no mark in ``asked`` are left out before they become rows.
-    """
-    df = df.select(*keep, tokens(F.col("text")).alias("tokens")).withColumn("n_tokens", F.size("tokens"))
 
-    def opens(t: Column) -> Column:
-        return t.startswith(OPENER)
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _opens(token: Column) -> Column:
+    return token.startswith(OPENER)
+
+
+def _word(token: Column) -> Column:
+    return F.substring(token, 2, 1 << 30)
+
 
-    def word(t: Column) -> Column:
-        return F.substring(t, 2, 1 << 30)
+def form_hash(token: Column, opener=_word) -> Column:
+    """Hash of what a token is in a template: its mark if it is a placeholder, ``opener`` of it if it opens a sentence."""
+    return F.xxhash64(F.when(_is_slot(token), F.left(token, F.lit(1))).when(_opens(token), opener(token)).otherwise(token))
 
-    def hashes(opener) -> Column:
-        return F.transform("tokens", lambda t: F.xxhash64(F.when(_is_slot(t), F.left(t, F.lit(1))).when(opens(t), opener(t)).otherwise(t)))
 
-    def values(opener) -> Column:
-        return F.transform("tokens", lambda t: F.when(_is_slot(t), t).when(opens(t), opener(t)).otherwise(F.lit("")))
+@dataclass(frozen=True)
+class Asked:
+    """Marks of the templates asked for and of the tokens they are made of."""
+
+    templates: bytearray
+    vocabulary: bytearray
+
+    def known(self, tokens: Column) -> Column:
+        """A byte for each token: ``1`` if it may be part of a template, else ``0``.  Bytes, as a place in them is found at once."""
+        return F.array_join(F.transform(tokens, lambda t: F.when(_opens(t) | _has_mark(self.vocabulary, form_hash(t)), "1").otherwise("0")), "").cast("binary")
+
+
+def with_windows(df: DataFrame, widths: list[int], keep: list[str], asked: Asked | None = None) -> DataFrame:
+    """One row per window and form: ``at``, ``width``, ``named``, ``template`` (hash), ``slots`` (its values).
+
+    In the second form (``named``) openers are names; it is there for windows with an opener,
+    unless they were all placeholders, which any text could fill.  With ``asked``, windows with a token
+    that no template has, and those whose template has no mark, are left out before they become rows;
+    nothing else is worked out for a text without a run of known tokens.
+    """
+    def found(t: Column, known: Column | None, width: int) -> Column:
+        def hashed(tokens: Column, opener) -> Column:
+            return F.xxhash64(F.transform(tokens, lambda x: form_hash(x, opener)))
 
-    packed = F.struct(
-        F.exists("tokens", _is_slot).alias("has_slots"), F.transform("tokens", opens).alias("opens"),
-        hashes(word).alias("forms"), values(lambda t: F.lit("")).alias("values"),
-        hashes(lambda t: F.lit(NAME)).alias("named_forms"), values(lambda t: F.concat(F.lit(NAME), word(t))).alias("named_values"))
+        def wanted(template: Column) -> Column:
+            return F.lit(True) if asked is None else _has_mark(asked.templates, template)
 
-    def of(p: Column, width: int) -> Column:
-        def part(field: str, i: Column) -> Column:
-            return F.slice(p[field], i + 1, width)
+        def row(c: Column, named: bool) -> Column:
+            opener = (lambda x: F.concat(F.lit(NAME), _word(x))) if named else (lambda x: F.lit(""))
+            slots = F.transform(c["tokens"], lambda x: F.when(_is_slot(x), x).when(_opens(x), opener(x)).otherwise(F.lit("")))
+            return F.struct(c["at"].alias("at"), F.size(t).alias("n_tokens"), F.lit(width).alias("width"), F.lit(named).alias("named"),
+                            c["named" if named else "plain"].alias("template"), F.array_remove(slots, "").alias("slots"))
 
-        def template(i: Column, named: bool) -> Column:
-            return F.xxhash64(part("named_forms" if named else "forms", i))
+        places = F.sequence(F.lit(0), F.size(t) - width)
+        if known is not None:
+            places = F.filter(places, lambda i: F.substring(known, i + 1, F.lit(width)) == ones(width))
+        cut = F.transform(places, lambda i: F.struct(i.alias("at"), F.slice(t, i + 1, width).alias("tokens")))
+        hashes = F.transform(cut, lambda c: F.struct(
+            c["at"].alias("at"), c["tokens"].alias("tokens"), hashed(c["tokens"], _word).alias("plain"),
+            F.when(F.exists(c["tokens"], _opens) & F.exists(c["tokens"], lambda x: ~_is_slot(x) & ~_opens(x)),
+                   hashed(c["tokens"], lambda x: F.lit(NAME))).alias("named")))
+        return F.when(F.size(t) >= width, F.concat(
+            F.transform(F.filter(hashes, lambda c: wanted(c["plain"])), lambda c: row(c, False)),
+            F.transform(F.filter(hashes, lambda c: c["named"].isNotNull() & wanted(c["named"])), lambda c: row(c, True)))).otherwise(empty)
 
-        def wanted(i: Column, named: bool) -> Column:
-            if asked is None:
-                return F.lit(True)
-            low = template(i, named).bitwiseAND(F.lit(len(asked) - 1)).cast("int")
-            return F.substring(F.lit(asked), low + 1, F.lit(1)) == F.lit(bytearray(b"\1"))
+    empty = F.array().cast("array<struct<at:int,n_tokens:int,width:int,named:boolean,template:bigint,slots:array<string>>>")
 
-        def one(i: Column, named: bool) -> Column:
-            slots = F.array_remove(part("named_values" if named else "values", i), "")
-            return F.struct(i.alias("at"), F.lit(width).alias("width"), F.lit(named).alias("named"),
-                            template(i, named).alias("template"),
-                            (slots if named else F.when(p["has_slots"], slots)).alias("slots"))
+    def ones(n: int) -> Column:
+        return F.lit(bytearray(b"1" * n))
 
-        places = F.sequence(F.lit(0), F.col("n_tokens") - width)
-        second = F.filter(places, lambda i: F.array_contains(part("opens", i), True) & wanted(i, True) & F.array_contains(part("named_values", i), ""))
-        first = F.filter(places, lambda i: wanted(i, False)) if asked is not None else places
-        return F.when(F.col("n_tokens") >= width, F.concat(F.transform(first, lambda i: one(i, False)),
-                                                           F.transform(second, lambda i: one(i, True))))
+    def windows(t: Column) -> Column:
+        if asked is None:
+            return F.concat(*(found(t, None, w) for w in widths))
+        return _let(asked.known(t), lambda known: F.when(F.contains(known, ones(min(widths))), F.concat(*(found(t, known, w) for w in widths))).otherwise(empty))
 
-    empty = F.array().cast("array<struct<at:int,width:int,named:boolean,template:bigint,slots:array<string>>>")
-    windows = F.get(F.transform(F.array(packed), lambda p: F.concat(*(F.coalesce(of(p, w), empty) for w in widths))), 0)
-    return df.select(*keep, "n_tokens", F.explode(windows).alias("w")).select(*keep, "n_tokens", "w.*")
+    return (df.select(*keep, F.explode(_let(tokens(F.col("text")), windows)).alias("w"))
+            .select(*keep, "w.n_tokens", "w.at", "w.width", "w.named", "w.template", "w.slots"))
 
 
 def short_leaks(texts: DataFrame, items: DataFrame) -> DataFrame:
@@ -146,7 +174,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> D
                      "width", "template", F.col("named").alias("own_named"), F.col("slots").alias("own")))
     marks = None
     if asked.count() <= BROADCAST_WINDOWS:
-        marks = marked([r["template"] for r in asked.select("template").distinct().collect()])
+        words = items.select(F.explode(tokens(F.col("text"))).alias("t")).select(
+            F.explode(F.array(form_hash(F.col("t")), F.xxhash64(F.lit(NAME)))).alias("hash")).distinct()
+        marks = Asked(marked([r["template"] for r in asked.select("template").distinct().collect()]),
+                      marked([r["hash"] for r in words.collect()]))
         asked = F.broadcast(asked)
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     hits = with_windows(texts, widths, ["doc_id", "text_hash"], marks).join(asked, ["template", "width"])
