@@ -21,7 +21,8 @@ WIDTH = 8
 LEAST_TOKENS = 3                # shorter items would be found anywhere; they must be a whole sentence
 COVER = 0.3                     # share of an item's windows
 SHIFT = 6                       # diagonals up to this far from another one can count with it
-BROADCAST_WINDOWS = 1_000_000   # benchmark windows that are broadcast at most; beyond it, a shuffled join
+BROADCAST_WINDOWS = 200_000     # benchmark windows that are broadcast at most; beyond it, a shuffled join
+MARKS = 1 << 16                 # bytes of a table of marks at most; a fuller one only lets more windows through to the join
 
 # private characters, taken out of texts first
 NUMBER, NAME, UNIT, JOINER, OPENER = "\ue010", "\ue011", "\ue012", "\ue013", "\ue014"
@@ -50,12 +51,15 @@ def _is_slot(token: Column) -> Column:
     return token.between(NUMBER, UNIT + "\U0010ffff")
 
 
-def marked(hashes: list[int]) -> bytearray:
-    """A byte for each of the low bits a hash can have: 1 for those of ``hashes``."""
-    size = 1 << min(max((16 * len(hashes)).bit_length(), 16), 22)
+def marked(hashes: DataFrame) -> bytearray:
+    """A byte for each of the low bits a hash of the one column can have: 1 for those that occur.
+
+    The table is a literal of the plan, so it has ``MARKS`` bytes at most, however many hashes there are.
+    """
+    size = 1 << min(max((8 * hashes.count()).bit_length(), 10), MARKS.bit_length() - 1)
     out = bytearray(size)
-    for t in hashes:
-        out[t & (size - 1)] = 1
+    for r in hashes.select(F.col(hashes.columns[0]).bitwiseAND(F.lit(size - 1)).cast("int").alias("low")).distinct().collect():
+        out[r["low"]] = 1
     return out
 
 
@@ -176,8 +180,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> D
     if asked.count() <= BROADCAST_WINDOWS:
         words = items.select(F.explode(tokens(F.col("text"))).alias("t")).select(
             F.explode(F.array(form_hash(F.col("t")), F.xxhash64(F.lit(NAME)))).alias("hash")).distinct()
-        marks = Asked(marked([r["template"] for r in asked.select("template").distinct().collect()]),
-                      marked([r["hash"] for r in words.collect()]))
+        marks = Asked(marked(asked.select("template").distinct()), marked(words))
         asked = F.broadcast(asked)
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     hits = with_windows(texts, widths, ["doc_id", "text_hash"], marks).join(asked, ["template", "width"])
