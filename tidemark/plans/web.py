@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from ..operators.breakdown import topn_other
 from ..operators.shape import align, aligned_union, rolling_window
 from ..schemas import WEB_BREAKDOWN, layout
 from ..session import stored
+from ..sources.parts import read_parts, rebuild_days
 
 # How many values of a day stay before the rest is "(other)".
 TOP_VALUES = {"Page": 40, "Location": 25, "Campaign": 25}
@@ -103,5 +104,24 @@ def web_breakdown(device: DataFrame, city: DataFrame, page: DataFrame, campaign:
     return bucketed_days(rows, as_of, days, n_by_type)
 
 
+def rebuild_breakdown(sources: Mapping[str, DataFrame], days: Sequence[date], root: str,
+                      n_by_type: Mapping[str, int] = TOP_VALUES) -> list[str]:
+    """Build the stored breakdown again for the days of new deliveries only.
+
+    ``sources`` are the whole reports by name (device, city, page, campaign, site); of each only those days are scanned.
+    """
+    def build(**reports: DataFrame) -> DataFrame:
+        rows = aligned_union([site_rows(reports["site"]), device_rows(reports["device"]), city_rows(reports["city"]),
+                              page_rows(reports["page"]), campaign_rows(reports["campaign"])], _UNIFIED)
+        return bucketed_days(rows, max(days), (max(days) - min(days)).days, n_by_type)
+    return rebuild_days(build, sources, days, root)
+
+
+def stored_breakdown(spark: SparkSession, root: str, as_of: date | str | Column, days: int = 365) -> DataFrame | None:
+    """The stored days of the window, with their age as of a day."""
+    table = read_parts(spark, root)
+    return None if table is None else align(date_parts(rolling_window(table, "date", days, as_of), "date", as_of), WEB_BREAKDOWN)
+
+
 def unified_schema() -> T.StructType:
     return _UNIFIED

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from .tables import _file_system
 
 COMMITS = "_commits"
-# ``table`` and ``folder`` are NULL in the row that stands for the load's ledger entries
+# ``table`` is NULL in the row that stands for the load's ledger entries; a table without ``folder`` has no rows from then on
 COMMIT = "load string, number bigint, table string, folder string, schema string"
 LOAD = "load-"
 _ROOT = "_raw_root"
@@ -58,7 +58,7 @@ def read_loads(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.schema(schema).parquet(*folders) if folders else None
 
 
-def publish(spark: SparkSession, raw_root: str, load: str, written: Sequence[tuple[str, str, T.StructType]]) -> None:
+def publish(spark: SparkSession, raw_root: str, load: str, written: Sequence[tuple[str, str | None, T.StructType]]) -> None:
     """Make a load, (table, folder, schema) of each folder, visible; the one step that counts."""
     done = commits(spark, raw_root)
     number = 0 if done is None else done.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
