@@ -51,6 +51,7 @@ def _secrets() -> str:
     most = {k: int((math.log2(w) - bits) * w * scale) for k, bits in secret_scan.LEAST_BITS.items()}
     # possessive quantifiers are only for speed
     plain = [re.sub(r"([+}])\+", r"\1", p) for p in secret_scan.ALLOWED]
+    lead = _text(re.sub(r"([+}])\+", r"\1", secret_scan.LEAD))
     harmless = " OR ".join(f"regexp_matches(value, {_text(p)})" for p in plain)
     weight = "[" + ", ".join(map(str, secret_scan.WEIGHT)) + "]"
     shapes = {k: _either_case(p) for k, p in secret_scan.KNOWN.items()}
@@ -64,8 +65,10 @@ def _secrets() -> str:
     return f"""
 WITH safe AS (SELECT doc_id, replace(coalesce(text, ''), {_MARK}, chr(57345)) AS t FROM documents),
 base AS ({base}),
-candidates AS (SELECT *, row_number() OVER () AS c FROM ({_spans('entropy', secret_scan.CANDIDATE)})
-  WHERE regexp_matches(value, '[0-9]') AND NOT ({harmless})),
+strings AS (SELECT *, regexp_replace(value, {lead}, '') AS rest FROM ({_spans('entropy', secret_scan.CANDIDATE)})),
+judged AS (SELECT doc_id, kind, stop, CASE WHEN length(rest) >= {w} THEN rest ELSE value END AS value FROM strings),
+candidates AS (SELECT *, stop - length(value) AS start, row_number() OVER () AS c FROM judged
+  WHERE (regexp_matches(value, '[0-9]') OR len(regexp_extract_all(value, '[a-z][A-Z]')) * {secret_scan.SWITCHES} >= length(value)) AND NOT ({harmless})),
 windows AS (SELECT c, i, value, substr(value, CAST(i + 1 AS BIGINT), {w}) AS s
   FROM (SELECT c, value, unnest(range(length(value) - {w - 1})) AS i FROM candidates)),
 hot AS (SELECT c, min(i) AS lo, max(i) + {w} AS hi FROM windows

@@ -1,7 +1,7 @@
 """Secret scans: known shapes of keys, and windows of high entropy.
 
-Known shapes are regular expressions.  Beyond them, long unbroken strings with
-a digit are candidates: a window slides over each, the counts of its characters
+Known shapes are regular expressions.  Beyond them, long unbroken strings with a digit or with
+letters of both cases mixed are candidates, without the words and short numbers of a path before them: a window slides over each, the counts of its characters
 are kept up by adding one and taking one away, and so is the sum of n log n, from
 which the window's Shannon entropy follows.  Strings of hexadecimal digits
 and other strings have thresholds of their own.  The allow-list drops well-known
@@ -35,6 +35,9 @@ ALLOWED = (
     # paths and names of words and short numbers
     r"^(?:(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+)[/_=-]++)++(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+)?$",
 )
+# words and short numbers in front, as of a path: what stands behind them is judged by itself
+LEAD = r"^(?:(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,4}+)[/=-]++)++"
+SWITCHES = 6                            # without a digit, one in so many characters must be a small letter before a capital
 SCALE = 1_000_000                       # n log2 n as whole numbers: sums don't depend on their order
 WEIGHT = [round(n * math.log2(n) * SCALE) if n else 0 for n in range(WINDOW + 2)]
 
@@ -89,7 +92,8 @@ def find_secrets(docs: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFra
     """``docs`` plus ``assign``, ``access``, ``hex`` and ``entropy``: arrays of spans.
 
     Every row is handled by itself: repeated rows repeat, null and empty texts
-    have empty arrays, columns of those names are replaced.  An entropy span
+    have empty arrays, columns of those names are replaced.  The allow-list is tested on what
+    is judged, so ``sample/`` or ``your-`` before a key hides nothing.  An entropy span
     that overlaps a known shape is left out, as that one reports it.
     """
     docs = docs.drop(*KNOWN, "entropy")
@@ -99,13 +103,19 @@ def find_secrets(docs: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFra
         F.regexp_extract(s["value"], ASSIGN, 1)) >= ASSIGNED_LENGTH))
     base = F.concat(*(F.transform(k, lambda s: F.struct(s["start"], s["end"])) for k in KNOWN))
 
+    def judged(s: Column) -> Column:
+        rest = F.regexp_replace(s["value"], LEAD, "")
+        value = F.when(F.length(rest) >= WINDOW, rest).otherwise(s["value"])
+        return F.struct((s["end"] - F.length(value)).alias("start"), value.alias("value"), s["before"].alias("before"), s["after"].alias("after"))
+
     def suspicious(s: Column) -> Column:
         bad = harmless
         for pattern in allowed:
             bad = bad | s["value"].rlike(pattern)
-        return s["value"].rlike("[0-9]") & ~bad
+        mixed = F.regexp_count(s["value"], F.lit("[a-z][A-Z]")) * SWITCHES >= F.length(s["value"])
+        return (s["value"].rlike("[0-9]") | mixed) & ~bad
 
-    found = found.withColumn("entropy", F.filter("entropy", suspicious))
+    found = found.withColumn("entropy", F.filter(F.transform("entropy", judged), suspicious))
     found = found.withColumn("entropy", F.transform("entropy", lambda s: F.struct(
         s["start"].alias("at"), s["value"].alias("text"), s["before"].alias("before"), s["after"].alias("after"),
         hot_ranges(s["value"]).alias("hot"))))
