@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,9 +57,53 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_scopes", default=())
+_SCRATCH = re.compile(r".+-[0-9a-f]{32}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder path of the shared folder; never reused between runs."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _SCOPES.get():
+        made.append(path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove, when the block is left, the scratch folders made inside it; gives their paths.
+
+    Lazy results made inside read those folders, so write or collect them before the block ends.
+    Folders made by other threads are not touched.
+    """
+    made: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), made))
+    try:
+        yield made
+    finally:
+        _SCOPES.reset(token)
+        for path in made:
+            _remove(spark, path)
+
+
+def sweep_scratch(spark: SparkSession, older_than_hours: float) -> list[str]:
+    """Remove scratch folders last changed that long ago, left by drivers that died; returns their names.
+
+    No job that still reads one may be running.  Folders that :func:`scratch_path` did not name stay.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    oldest = (time.time() - older_than_hours * 3600) * 1000
+    old = [s.getPath() for s in (fs.listStatus(root) if fs.exists(root) else [])
+           if s.isDirectory() and s.getModificationTime() <= oldest and _SCRATCH.fullmatch(s.getPath().getName())]
+    for path in old:
+        fs.delete(path, True)
+    return sorted(p.getName() for p in old)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -75,6 +124,4 @@ def discard(*frames: DataFrame) -> None:
     for df in frames:
         path = getattr(df, "stored_at", None)
         if path:
-            jvm = df.sparkSession.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _remove(df.sparkSession, path)
