@@ -42,7 +42,8 @@ def footer_bounds(spark: SparkSession, tables: Mapping[str, tuple[str, str | Non
         ends = [F.min(column).alias("lo"), F.max(column).alias("hi")] if column is not None else []
         found = df.agg(F.count("*").alias("row_count"), *ends)
         lo, hi = (F.col(c).cast("string") if ends else F.lit(None).cast("string") for c in ("lo", "hi"))
-        # a table without row groups has no footer that says 0
+        # A table without row groups has no footer that says 0, and Spark, which takes a count for never NULL, drops a
+        # plain coalesce; nullif brings the NULL back.
         return found.select(F.lit(name).alias("table"), lo.alias("min_value"), hi.alias("max_value"),
-                            F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
+                            F.coalesce(F.nullif(F.col("row_count"), F.lit(-1)), F.lit(0)).cast("bigint").alias("row_count"))
     return reduce(lambda a, b: a.unionByName(b), [one(n, p, c) for n, (p, c) in tables.items()])
