@@ -1,6 +1,7 @@
 """Operators that keep rows apart: pieces, chat, secrets, licences, personal data."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -214,6 +215,49 @@ def test_licenses_against_plain_python(frame):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_rolling_hashes_are_those_of_the_words(spark):
+    texts = ["", "a", "a b", "a b c", "a b c a b c", "c b a", "ab c d", "a bc d", "x x x x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("w", licenses.words(F.col("text")))
+    got = rows.select("text", licenses.rolling_hashes(F.col("w"), F.size("w")).alias("h"), F.transform("w", lambda x: F.xxhash64(x)).alias("own")).collect()
+    by_run, n = {}, 0
+    for r in got:
+        w = r.text.split()
+        runs = [" ".join(w[i:i + licenses.GRAM]) for i in range(len(w) - licenses.GRAM + 1)]
+        assert len(r.h or []) == len(runs)
+        for i, run in enumerate(runs):
+            both = []
+            for prime in (licenses.PRIME, licenses.OTHER):
+                total = 0
+                for x in r.own[i:i + licenses.GRAM]:
+                    total = (total * licenses.BASE + x) % prime
+                both.append(total)
+            assert r.h[i] == both[0] << 30 | both[1] and by_run.setdefault(run, r.h[i]) == r.h[i]
+            n += 1
+    assert n == 10 and len(set(by_run.values())) == len(by_run) == 7
+
+
+def test_altered_notices_are_found_and_prose_is_not(frame):
+    """Each notice with a word put in, one left out and one changed, amid other words."""
+    rng = random.Random(3)
+    prose = [w for t in licenses.TEMPLATES.values() for w in t.split()]     # the notices' own words, in no order
+    want, texts = [], []
+    for label, template in licenses.TEMPLATES.items():
+        for n in range(8):
+            w = template.split()
+            edges = rng.sample(range(len(w)), 3 if len(w) > 20 else 1)
+            for at, edit in zip(sorted(edges, reverse=True), rng.sample([[], ["other"], None], len(edges))):
+                w[at:at + 1] = [w[at], "inserted"] if edit is None else edit
+            around = [rng.choice(prose) for _ in range(60)]
+            texts.append(" ".join(around[:30] + w + around[30:]))
+            want.append(label)
+        texts.append(" ".join(rng.choice(prose) for _ in range(400)))
+        want.append(None)
+    got = {r.doc_id: set(r.labels.split(",")) - {""} for r in licenses.scan_licenses(docs(frame, *texts)).collect()}
+    marked = [n for n, label in enumerate(want) if label]
+    assert sum(want[n] in got[n] for n in marked) >= .9 * len(marked)
+    assert not any(got[n] for n, label in enumerate(want) if label is None)
+
+
 # --- personal data --------------------------------------------------------
 
 PERSONAL = ["mail a.b@c-d.example.org, %x@y.zz and a@b", "a@b.com%x@c.de @d.e", "10.0.0.255 1.2.3.4.5.6.7.8 256.1.1.1 0001.2.3.4",

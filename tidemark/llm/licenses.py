@@ -1,7 +1,8 @@
 """License scans by diagonal voting.
 
-Texts and templates are word sequences.  All runs of three words of all texts
-are joined by hash with the places of the same runs in the templates, which are few
+Texts and templates are word sequences.  Every word is hashed once, and the rolling hash of each
+run of three words is a polynomial of theirs, by two primes side by side (61 bits).  The hashes of all texts
+are joined with the places of the same runs in the templates, which are few
 and fixed, so they are broadcast.  A hit at text place p and template place q
 votes for the diagonal p - q.  Votes are summed per text, template and
 diagonal; neighbouring diagonals (a word put in or left out) are merged; a merged
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 GRAM = 3
+PRIME, OTHER = (1 << 31) - 1, (1 << 30) - 35        # moduli of the rolling hashes; products of two residues fit a long
+BASE = 1_000_003
+NO_GRAM = -1                    # stands for the text itself; rolling hashes are not negative
 SHIFT = 6                       # diagonals up to this far apart are one place
 COVER = 0.6                     # share of a template's runs that a place must hold
 
@@ -53,6 +57,28 @@ def words(text: Column) -> Column:
     return F.filter(F.split(lower, SEPARATORS), lambda w: w != "")
 
 
+def rolling_hashes(w: Column, n_words: Column) -> Column:
+    """The hash of each run of ``GRAM`` words, in order; none for fewer words.
+
+    A run's hash is the sum of its words' hashes times falling powers of ``BASE``, modulo each prime.
+    """
+    powers = [[pow(BASE, GRAM - 1 - k, p) for k in range(GRAM)] for p in (PRIME, OTHER)]
+
+    def residue(h: Column, at: Column, prime: int, power: list[int]) -> Column:
+        total = F.lit(0).cast("bigint")
+        for k in range(GRAM):
+            total = (total + F.pmod(F.get(h, at + k), F.lit(prime)) * F.lit(power[k])) % F.lit(prime)
+        return total
+
+    def run(h: Column, at: Column) -> Column:
+        return F.shiftleft(residue(h, at, PRIME, powers[0]), 30).bitwiseOR(residue(h, at, OTHER, powers[1]))
+
+    hashed = F.transform(w, lambda x: F.xxhash64(x))
+    # bound once: a lambda that names an array of expressions would hash the words anew for each run
+    rolled = F.transform(F.array(hashed), lambda h: F.transform(F.sequence(F.lit(0), n_words - GRAM), lambda i: run(h, i)))
+    return F.when(n_words >= GRAM, F.get(rolled, 0))
+
+
 def _template_rows(phrases: dict[str, str], templates: dict[str, str]) -> list[tuple]:
     rows = []
     for n, (label, text, is_phrase) in enumerate([(v, k, True) for k, v in phrases.items()]
@@ -65,8 +91,9 @@ def _template_rows(phrases: dict[str, str], templates: dict[str, str]) -> list[t
 
 
 def template_grams(spark: SparkSession, phrases: dict[str, str], templates: dict[str, str]) -> DataFrame:
-    rows = _template_rows(phrases, templates)
-    return spark.createDataFrame(rows, "template int, label string, is_phrase boolean, runs int, q int, gram string")
+    """The places of all runs of all templates, with the same hashes as texts have."""
+    rows = spark.createDataFrame(_template_rows(phrases, templates), "template int, label string, is_phrase boolean, runs int, q int, gram string")
+    return rows.withColumn("gram", F.get(rolling_hashes(F.split("gram", " "), F.lit(GRAM)), 0))
 
 
 def find_places(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES) -> DataFrame:
@@ -79,15 +106,14 @@ def find_places(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: d
     split = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.length(text).alias("n_chars"), words(text).alias("w"))
     sized = split.withColumn("n_words", F.size("w"))
     # place -1 stands for the text itself, so that every text comes through the join with its length
-    grams = F.when(F.col("n_words") >= GRAM, F.transform(
-        F.sequence(F.lit(0), F.col("n_words") - GRAM),
-        lambda i: F.concat_ws(" ", *(F.get("w", i + k) for k in range(GRAM)))))
+    grams = rolling_hashes(F.col("w"), F.col("n_words"))
+    marker = F.lit(NO_GRAM).cast("bigint")
     every = sized.select("doc_id", "text_hash", "n_chars", "n_words", F.posexplode(
-        F.concat(F.array(F.lit("")), F.coalesce(grams, F.array().cast("array<string>")))).alias("at", "gram"))
+        F.concat(F.array(marker), F.coalesce(grams, F.array().cast("array<bigint>")))).alias("at", "gram"))
     known = template_grams(docs.sparkSession, phrases, templates)
     known = known.unionByName(known.limit(1).select(
         F.lit(-1).alias("template"), F.lit("").alias("label"), F.lit(False).alias("is_phrase"), F.lit(1).alias("runs"),
-        F.lit(-1).alias("q"), F.lit("").alias("gram")))
+        F.lit(-1).alias("q"), marker.alias("gram")))
     hits = every.join(F.broadcast(known), "gram").withColumn("p", F.col("at") - 1)
     key = ["doc_id", "text_hash", "n_chars", "n_words"]
     one = [*key, "template", "label", "is_phrase", "runs"]
