@@ -88,13 +88,16 @@ def fit(cells: Sequence[dict], features: Sequence[str], rounds: int = 20, depth:
 
 
 def threshold(cells: Sequence[dict], scores: Sequence[float], precision: float) -> float:
-    """The smallest score from which the cells above hold at least this share of positives; 2 if none does."""
+    """The smallest score from which the cells above hold at least this share of positives; 2 if none does.
+
+    One positive and one negative are added to each share, so that a few candidates by themselves prove nothing.
+    """
     order = sorted(range(len(cells)), key=lambda i: -scores[i])
     n = positive = 0
     found = 2.0
     for k, i in enumerate(order):
         n, positive = n + cells[i]["n"], positive + cells[i]["positive"]
         last = k + 1 == len(order) or scores[order[k + 1]] < scores[i]
-        if last and positive >= precision * n and positive:
+        if last and positive + 1 >= precision * (n + 2):
             found = scores[i]
     return found

@@ -5,11 +5,12 @@ expressions with a check of their own, and always reported.  High-recall
 generators propose further spans, which may overlap: numbers that
 failed a check, national phone numbers, social security numbers, account
 numbers, spelled-out mail addresses.  A candidate is described by its format and
-what stands around it.  The trees learn from all candidates of all rows which
-descriptions go with a proven format (a check sum, a valid range); the description
-leaves the proof itself out.  Per kind, the threshold is the smallest score at
+what stands around it.  The trees learn from the candidates of three quarters of the documents which
+descriptions go with a proven format (a check sum, a valid range).  The description
+leaves the proof itself out: where the number of digits is the proof, it is no feature.  Thresholds
+are calibrated on the other quarter, which the trees have not seen: per kind, the smallest score at
 which enough of the chosen candidates are proven.  DataFrame functions only; the driver
-sees counts per combination of features, at most ``CELLS`` of them.
+sees counts per part and combination of features, at most twice ``CELLS`` of them.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ CUES = (r"(?i)phone|mobile|call|tel\b|tel[.:]|fax", r"(?i)mail|contact|write to"
 FEATURES = ("kind", "digits", "rules", "before", "after", "cue")
 CELLS = 8 * 6 * 4 * 4 * 4 * 5
 PRECISION = 0.9
+BY_DIGITS = ("phone", "tel")     # kinds proven by their number of digits
+PARTS = 4                       # of which one calibrates
 
 
 def _digits(value: Column) -> Column:
@@ -79,7 +82,8 @@ def proven(kind: str, value: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(value)).between(10, 15)
     if kind == "tel":
-        return F.length(_digits(value)).between(9, 11)
+        # the generator is wide: three, two and four digits with hyphens are the form of another kind
+        return F.length(_digits(value)).between(9, 11) & ~value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$")
     if kind == "ssn":
         return ~value.rlike("^(000|666|9)|-00-|-0000$")
     if kind == "iban":
@@ -98,6 +102,8 @@ def _described(kind: str) -> Column:
     """The spans of a generator as candidates: place, features and proof."""
     def one(s: Column) -> Column:
         n = F.length(_digits(s["value"]))
+        if kind in BY_DIGITS:
+            n = F.lit(0)
         cue = F.lit(0)
         for level, words in reversed(list(enumerate(CUES, 1))):
             cue = F.when(s["before"].rlike(words), level).otherwise(cue)
@@ -134,15 +140,20 @@ class Model:
 
 
 def fit(found: DataFrame, precision: float = PRECISION) -> Model:
-    """Trees and thresholds from all candidates of :func:`with_candidates`."""
-    rows = (found.select(F.explode("candidates").alias("c"))
-            .groupBy(*(f"c.{f}" for f in FEATURES))
+    """Trees from the candidates of most documents, thresholds from those of the others.
+
+    Documents with the same id are in the same part; rows without id are in one part together.  A kind of which the
+    calibrating part has too few candidates to show the precision has no threshold, and none is chosen.
+    """
+    held = (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % PARTS == PARTS - 1).alias("held")
+    rows = (found.select(held, F.explode("candidates").alias("c"))
+            .groupBy("held", *(f"c.{f}" for f in FEATURES))
             .agg(F.count("*").alias("n"), F.sum(F.col("c.proven").cast("int")).alias("positive")).collect())
     cells = sorted((r.asDict() for r in rows), key=lambda c: [c[f] for f in FEATURES])
-    trees = boosting.fit(cells, FEATURES)
+    trees = boosting.fit([c for c in cells if not c["held"]], FEATURES)
     limits = {}
     for kind in range(len(KINDS)):
-        own = [c for c in cells if c["kind"] == kind]
+        own = [c for c in cells if c["held"] and c["kind"] == kind]
         limits[kind] = boosting.threshold(own, [trees.score(c) for c in own], precision)
     return Model(trees, limits)
 
@@ -150,7 +161,8 @@ def fit(found: DataFrame, precision: float = PRECISION) -> Model:
 def judged(found: DataFrame, model: Model) -> DataFrame:
     """``found`` with ``extra``: candidates at their kind's threshold, outside the known spans.
 
-    Of two chosen candidates that overlap, the higher score stays, then the earlier, then the longer.
+    Of two chosen candidates that overlap, the higher score stays, then the earlier, then the longer.  Rows are
+    judged one by one: repeated rows alike; a null or empty text has no candidates and no ``extra``.
     """
     base = F.concat(*(F.transform(k, lambda s: F.struct(s["start"], s["end"])) for k in BASE))
     limits = F.array(*(F.lit(float(model.thresholds[k])) for k in range(len(KINDS))))
@@ -193,7 +205,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 def redact(judged_docs: DataFrame, to: str = "▮") -> DataFrame:
     """``text`` with every known or chosen span replaced, each by one mark.
 
-    Needs the text beside the spans.  Overlapping spans are replaced as one.
+    Needs the text beside the spans.  Overlapping spans are replaced as one.  A null text becomes empty.
     """
     spans = F.array_sort(F.concat(*(F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
                                     for k in (*BASE, "extra"))))
