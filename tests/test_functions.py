@@ -1,4 +1,5 @@
 import datetime as dt
+import html
 import math
 
 import pytest
@@ -10,6 +11,7 @@ from tidemark.functions import (clip, coerce_cell, coerce_typed, date_parts, ext
                                 recovered_sessions, round_to_long, safe_ratio, signed_percent,
                                 squash, translated)
 from tidemark.functions.cells import SinkField
+from tidemark.functions.links import _plain
 from tidemark.sources.reports import normalise_headers
 
 from .conftest import rows_of
@@ -165,3 +167,19 @@ def test_headers():
 
 def test_rows_helper(frame):
     assert rows_of(frame([(2,), (1,)], "a int")) == [(1,), (2,)]
+
+
+def test_references_without_a_semicolon(frame):
+    words = ["copy", "copyright", "amp", "amplify", "ampamp", "notin", "notin;", "notit;", "lt", "ltimes;", "AMP", "uml3", "zzz", "zzz;", "b", "",
+             "CounterClockwiseContourIntegral;", "thorn", "times", "timesbar;", "reg=1", "reg-1", "#65", "#x41;b", "frac12x", "sup1"]
+    texts = [f"x &{a}&{b} y&{b}." for a in words for b in words]
+    got = frame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", _plain(F.col("t")).alias("d")).collect()
+    assert {r.i: r.d for r in got} == {i: html.unescape(t) for i, t in enumerate(texts)}
+
+
+def test_references_in_addresses(frame):
+    cases = {"/a?x=1&copy=2": "/a?x=1&copy=2", "/a?x=1&amp;copy=2": "/a?x=1&copy=2", "/a&copy": "/a©", "/a&copyright": "/a&copyright",
+             "/a?b&amp=1&lt": "/a?b&amp=1<", "/a&notin;": "/a∉", "/a&copy;=1": "/a©=1", "/a&reg-1": "/a®-1"}
+    rows = frame([(i, f'<a href="{a}">x</a>') for i, a in enumerate(cases)], "i int, h string")
+    got = {r.i: r.links[0].href for r in rows.select("i", extract_links(F.col("h")).alias("links")).collect()}
+    assert got == dict(enumerate(cases.values()))

@@ -20,14 +20,32 @@ SKIPPED_WORDS = ["mailto:", "unsubscribe", "preferences", "manage", "#"]
 _ANCHOR = r"(?is)<a(?=[\s>/])[^>]*+>(?:(?!<a[\s>/]|</a)[\s\S])*+</a"
 _HREF = r"""(?is)[\s"'/]href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 # Named character references, and numbers that mean another character.
-_NAMED = json.dumps({f"&{name}": char for name, char in html5.items() if name.endswith(";")})
+# By first letter, so that a lookup passes few of the two thousand names; some may end without a semicolon.
+_NAMED = json.dumps({first: {f"&{name}": char for name, char in html5.items() if name[0] == first}
+                     for first in sorted({name[0] for name in html5})})
+_OPEN = "^&(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
 _MOVED = json.dumps({str(k): bytes([k]).decode("cp1252", "ignore") or chr(k) for k in range(0x80, 0xA0)} | {"13": "\r"})
-_PIECES = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)|[^&]+|&"
+_PIECES = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*[;=]?)|[^&]+|&"
 
 
-def _plain(text: Column) -> Column:
-    """``text`` with its character references decoded, once."""
-    named, moved = (F.from_json(F.lit(m), "map<string,string>") for m in (_NAMED, _MOVED))
+def _plain(text: Column, in_address: bool = False) -> Column:
+    """``text`` with its character references decoded, once.
+
+    A name without semicolon is decoded where HTML knows it so (``&copy``).  In a text the longest such name that a
+    word begins with counts; in an address the whole word must be one and no ``=`` may follow, which keeps
+    parameters (``&copy=1``) as they are.
+    """
+    named = F.from_json(F.lit(_NAMED), "map<string,map<string,string>>")
+    moved = F.from_json(F.lit(_MOVED), "map<string,string>")
+
+    def meaning(name: Column) -> Column:
+        return F.try_element_at(F.try_element_at(named, F.substring(name, 2, 1)), name)
+
+    def word(p: Column) -> Column:
+        if in_address:
+            return F.coalesce(meaning(p), p)
+        known = F.regexp_extract(p, _OPEN, 0)
+        return F.coalesce(meaning(p), F.concat(meaning(known), F.substr(p, F.length(known) + 1)), p)
 
     def char(number: Column) -> Column:
         good = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
@@ -38,7 +56,8 @@ def _plain(text: Column) -> Column:
         digits = F.regexp_replace(F.regexp_extract(p, "^&#[xX]?([0-9a-fA-F]+)", 1), "^0+", "")
         base = F.when(p.rlike("^&#[xX]"), F.lit(16)).otherwise(F.lit(10))
         number = F.when(F.length(digits) > 8, F.lit(0)).otherwise(F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint"))
-        return F.when(p.rlike("^&#[0-9xX]"), char(F.coalesce(number, F.lit(0)))).otherwise(F.coalesce(F.try_element_at(named, p), p))
+        return F.when(p.rlike("^&#[0-9xX]"), char(F.coalesce(number, F.lit(0)))).otherwise(
+            F.when(p.rlike("^&[A-Za-z]"), word(p)).otherwise(p))
 
     return F.when(text.contains("&"), F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0)), piece), "")).otherwise(text)
 
@@ -56,7 +75,7 @@ def extract_links(html: Column) -> Column:
         hrefs = F.transform(F.regexp_extract_all(tag, F.lit(_HREF), F.lit(0)), lambda h: F.concat(
             *(F.regexp_extract(h, _HREF, group) for group in (1, 2, 3))))
         inner = F.regexp_replace(F.regexp_replace(anchor, "(?i)</a$", ""), "<[^>]*>", "")
-        return F.struct(F.coalesce(_plain(F.get(F.reverse(hrefs), F.lit(0))), F.lit("")).alias("href"),
+        return F.struct(F.coalesce(_plain(F.get(F.reverse(hrefs), F.lit(0)), in_address=True), F.lit("")).alias("href"),
                         squash(_plain(inner)).alias("text"))
 
     return F.transform(F.regexp_extract_all(body, F.lit(_ANCHOR), F.lit(0)), link)
