@@ -236,6 +236,22 @@ def test_upper_median_of_skewed_values(frame):
     assert got[("a", "v")]["median"] == 5.0 and got[("b", "v")]["n"] == 1
 
 
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_upper_medians_of_many_groups(frame, monkeypatch, most):
+    """Both ways, bounds joined by key and broadcast, against sorted lists."""
+    monkeypatch.setattr(q, "_BROADCAST_BOUNDS", most)
+    rng = random.Random(5)
+    rows = [(rng.choice(["hot"] * 6 + ["a", "b", None]), rng.choice([0.0, 1.5, rng.gauss(0, 9), None]), rng.choice([1, None, rng.randrange(5000)]))
+            for _ in range(3000)]
+    want = {}
+    for g in ("hot", "a", "b", None):
+        for n, field in enumerate(("v", "w"), 1):
+            own = sorted(float(r[n]) for r in rows if r[0] == g and r[n] is not None)
+            want[g, field] = (own[0], own[len(own) // 2], own[-1], len(own))
+    got = q.numeric_profile(frame(rows, "g string, v double, w int"), ["g"]).collect()
+    assert {(r.g, r.field): (r["min"], r["median"], r["max"], r.n) for r in got} == want and len(got) == len(want)
+
+
 def test_compare_and_reconcile(frame):
     old = frame([("a", 1), ("b", 2)], "k string, v bigint")
     new = frame([("a", 5), ("c", 2), ("c", 1)], "k string, v bigint")

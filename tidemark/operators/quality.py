@@ -210,8 +210,9 @@ def numeric_profile(df: DataFrame, by: Sequence[str],
     the order of the values, so the sketch steers the work and not the result.
 
     Whole numbers stay whole where all fields are; else values are doubles.
-    The counts of distinct values are stored, as they are read twice; the few rows of
-    bounds are broadcast up to a checked number and joined by key beyond it.
+    The few rows of bounds are broadcast up to a checked number; rows are then read three times and only
+    counts per bin and the values of one bin are shuffled.  Beyond that number the bounds are joined by
+    key with counts of distinct values, which are stored.
     """
     names = list(fields) if fields else [
         f.name for f in df.schema.fields
@@ -228,11 +229,11 @@ def numeric_profile(df: DataFrame, by: Sequence[str],
 
     pairs = F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in names]))
-    counted = stored(values.select(*by, pairs.alias("_p")).select(*by, "_p.*")
-                     .filter(F.col("value").isNotNull())
-                     .groupBy(*by, "field", "value").agg(F.count("*").alias("_c")), "counted")
+    long = values.select(*by, pairs.alias("_p")).select(*by, "_p.*").filter(F.col("value").isNotNull())
     stats = stored(stats, "bounds")
     few = stats.count() <= _BROADCAST_BOUNDS
+    counted = long.withColumn("_c", F.lit(1).cast("bigint")) if few else stored(
+        long.groupBy(*by, "field", "value").agg(F.count("*").alias("_c")), "counted")
     keys = [*by, "field"]
 
     def small(rows: DataFrame) -> DataFrame:
@@ -266,6 +267,8 @@ def numeric_profile(df: DataFrame, by: Sequence[str],
         *keys, "_bin", (F.col("_upto") - F.col("_c")).alias("_before"))
     finalists = placed.alias("p").join(
         small(chosen).alias("b"), _same("p", "b", [*keys, "_bin"])).select("p.*", "b._before")
+    if few:
+        finalists = finalists.groupBy(*keys, "min", "max", "n", "_before", "_value").agg(F.sum("_c").alias("_c"))
     found = holding_target(finalists, "_value", F.col("_before"))
     return found.select(*by, "field", "min", F.col("_value").alias("median"), "max", "n")
 
