@@ -299,6 +299,9 @@ def test_personal_data_against_plain_python(frame):
         assert all(f"{k}:{s}:{e}" in r.spans.split(",") for s, _, k, e in want)
     clean = {r.doc_id: r.text for r in personal.redact(rows).collect()}
     assert clean[12] == "é🙂 ▮ ▮" and clean[5] == "" and clean[13] == "▮ 4111111111111111 ▮"
+    alone = docs(frame, None, None)
+    nothing = personal.judged(personal.with_candidates(alone), model)
+    assert [(r.text, r.extra) for r in personal.redact(nothing).collect()] == [("", [])] * 2
     empty = docs(frame, "x").limit(0)
     assert personal.digests(personal.find_personal_data(empty)).count() == 0
 

@@ -229,7 +229,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> D
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
+    """The rows of ``docs`` that hold no item.
+
+    Rows alike in id and text go or stay together; a null or empty text holds nothing and stays, a null id is an id like
+    others.  An empty table, or an empty benchmark, changes nothing.  Other columns pass through; none may be called
+    ``_id``, ``_hash`` or ``_own_hash``.
+    """
     leaks = find_leaks(docs, benchmark, cover).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     keyed = docs.withColumn("_own_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     return keyed.join(leaks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")),

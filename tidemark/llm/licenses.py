@@ -100,7 +100,8 @@ def find_places(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: d
     """One row per distinct (doc_id, text): ``copies``, ``n_words`` and ``places``.
 
     ``copies`` is how often the row occurs.  A place is (label, is_phrase, start,
-    end, cover), in words from 0, the end exclusive.  Null text: empty.
+    end, cover), in words from 0, the end exclusive.  Null text: empty; a text of fewer words than a run has
+    no place.  A null id is an id like others; only ``doc_id`` and ``text`` are read.
     """
     text = F.coalesce("text", F.lit(""))
     split = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.length(text).alias("n_chars"), words(text).alias("w"))

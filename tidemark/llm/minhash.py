@@ -84,6 +84,7 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, lanes: in
     expanded.  All texts that share a band are compared, unless their numbers of shingles
     rule the pair out; Jaccard is then verified on the shingle sets.  A group of n near copies
     has up to n squared pairs, and all of them are returned.  Rows without id or words are in no pair.
+    Only ``doc_id`` and ``text`` are read; an empty table has no pair.
     """
     from .shingles import shingle_sets
     rows = lanes // bands

@@ -192,7 +192,12 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Forest:
-    """Trees from at most ``rows`` labelled documents outside the held-out part."""
+    """Trees from at most ``rows`` labels of documents outside the held-out part, chosen by the hash of their ids.
+
+    Labels without id or quality, and documents without id, teach nothing.  Null and empty texts count as empty.  An id with several labels
+    or several rows counts once for each pair of them.  Without labels every score is one half.  Only ``doc_id``
+    and ``text`` of ``docs`` are read.
+    """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
     chosen = known.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
@@ -230,4 +235,5 @@ def score(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> Data
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """``docs`` with the scores of trees fitted on them: see :func:`fit` and :func:`score` for nulls, repeats and clashes."""
     return score(docs, fit(docs, labels, **options))
