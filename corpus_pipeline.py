@@ -31,7 +31,10 @@ def _unpacked(packed: DataFrame, like: DataFrame, **changed) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; labels come from the ``labels`` table."""
+    """Documents that the quality classifier accepts; labels come from the ``labels`` table.
+
+    Null and empty texts are scored like others; repeated rows go or stay together.
+    """
     forest = quality.fit(docs, _table(spark, sf_dir, "labels"))
     return _unpacked(quality.score(_packed(docs), forest).where("predicted = 1"), docs)
 
@@ -50,19 +53,25 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that of the smallest id."""
+    """One document of each group of near copies stays: that of the smallest id.
+
+    Rows alike are one document; texts that share an id are told apart; rows without id or words stay.
+    """
     return _unpacked(setjoin.keep_one(_packed(docs)), docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the ``benchmark`` table."""
+    """Documents that hold no item of the ``benchmark`` table.
+
+    Null and empty texts hold none; repeated rows go or stay together.
+    """
     return _unpacked(leaks.without_leaks(_packed(docs), _table(spark, sf_dir, "benchmark")), docs)
 
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with sampled ``piece_ids``, and ``lossless``: whether decoding them gives the text back.
 
-    Columns of those two names are replaced.
+    Columns of those two names are replaced.  Null text: null; empty text: no piece; repeated rows get equal ids.
     """
     done = pieces.encode_pieces(_packed(docs), check=True)
     return _unpacked(done, docs, piece_ids=F.col("piece_ids"), lossless=F.col("lossless"))
