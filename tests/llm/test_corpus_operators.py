@@ -336,6 +336,15 @@ def test_items_are_found_whole_shifted_and_with_other_values(frame):
     assert leaks.find_leaks(docs(frame, rows), bench.limit(0)).count() == 0
 
 
+def test_marks_are_not_written_into_the_plan(frame):
+    bench = frame([(k, " ".join(f"w{k}x{i}" for i in range(30))) for k in range(200)], "item_id bigint, text string")
+    rows = [(k, "before " + " ".join(f"w{k}x{i}" for i in range(30))) for k in range(3)] + [(3, None), (4, "nothing")]
+    left = leaks.without_leaks(docs(frame, rows), bench)
+    assert sorted(r.doc_id for r in left.collect()) == [3, 4]
+    told = left._jdf.queryExecution()
+    assert max(len(told.analyzed().toString()), len(told.executedPlan().toString())) < leaks.MARKS
+
+
 def test_items_of_one_or_two_tokens_are_whole_sentences(frame):
     bench = frame([(1, "Two words"), (2, "Answer!"), (3, "..."), (4, "12 kg"), (5, "two words and a third one in it")], "item_id bigint, text string")
     rows = [(1, "two words"), (2, "Well. Two  words! Then more."), (3, "not two words here"), (4, "first\nanswer\nlast"),

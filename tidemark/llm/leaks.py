@@ -54,7 +54,7 @@ def _is_slot(token: Column) -> Column:
 def marked(hashes: DataFrame) -> bytearray:
     """A byte for each of the low bits a hash of the one column can have: 1 for those that occur.
 
-    The table is a literal of the plan, so it has ``MARKS`` bytes at most, however many hashes there are.
+    The driver holds the table and every task gets it, so it has ``MARKS`` bytes at most, however many hashes there are.
     """
     size = 1 << min(max((8 * hashes.count()).bit_length(), 10), MARKS.bit_length() - 1)
     out = bytearray(size)
@@ -63,9 +63,9 @@ def marked(hashes: DataFrame) -> bytearray:
     return out
 
 
-def _has_mark(marks: bytearray, value: Column) -> Column:
-    low = value.bitwiseAND(F.lit(len(marks) - 1)).cast("int")
-    return F.substring(F.lit(marks), low + 1, F.lit(1)) == F.lit(bytearray(b"\1"))
+def _has_mark(marks: Column, value: Column) -> Column:
+    low = value.bitwiseAND(F.octet_length(marks) - 1).cast("int")
+    return F.substring(marks, low + 1, F.lit(1)) == F.lit(bytearray(b"\1"))
 
 
 def _let(value: Column, body) -> Column:
@@ -93,9 +93,19 @@ class Asked:
     templates: bytearray
     vocabulary: bytearray
 
-    def known(self, tokens: Column) -> Column:
-        """A byte for each token: ``1`` if it may be part of a template, else ``0``.  Bytes, as a place in them is found at once."""
-        return F.array_join(F.transform(tokens, lambda t: F.when(_opens(t) | _has_mark(self.vocabulary, form_hash(t)), "1").otherwise("0")), "").cast("binary")
+    def beside(self, df: DataFrame) -> DataFrame:
+        """``df`` and both tables, as columns whose value a plan names but doesn't hold.
+
+        As literals they stood in every text of the plan, which the driver writes anew whenever
+        a stage ends, once for each level of the expression around them.
+        """
+        one = df.sparkSession.createDataFrame([(self.templates, self.vocabulary)], "templates binary, vocabulary binary")
+        return df.select("*", one.select("templates").scalar().alias("_templates"), one.select("vocabulary").scalar().alias("_vocabulary"))
+
+
+def _known(tokens: Column, vocabulary: Column) -> Column:
+    """A byte for each token: ``1`` if it may be part of a template, else ``0``.  Bytes, as a place in them is found at once."""
+    return F.array_join(F.transform(tokens, lambda t: F.when(_opens(t) | _has_mark(vocabulary, form_hash(t)), "1").otherwise("0")), "").cast("binary")
 
 
 def with_windows(df: DataFrame, widths: list[int], keep: list[str], asked: Asked | None = None) -> DataFrame:
@@ -106,12 +116,12 @@ def with_windows(df: DataFrame, widths: list[int], keep: list[str], asked: Asked
     that no template has, and those whose template has no mark, are left out before they become rows;
     nothing else is worked out for a text without a run of known tokens.
     """
-    def found(t: Column, known: Column | None, width: int) -> Column:
+    def found(t: Column, known: Column | None, width: int, marks: Column | None) -> Column:
         def hashed(tokens: Column, opener) -> Column:
             return F.xxhash64(F.transform(tokens, lambda x: form_hash(x, opener)))
 
         def wanted(template: Column) -> Column:
-            return F.lit(True) if asked is None else _has_mark(asked.templates, template)
+            return F.lit(True) if marks is None else _has_mark(marks, template)
 
         def row(c: Column, named: bool) -> Column:
             opener = (lambda x: F.concat(F.lit(NAME), _word(x))) if named else (lambda x: F.lit(""))
@@ -138,9 +148,13 @@ def with_windows(df: DataFrame, widths: list[int], keep: list[str], asked: Asked
 
     def windows(t: Column) -> Column:
         if asked is None:
-            return F.concat(*(found(t, None, w) for w in widths))
-        return _let(asked.known(t), lambda known: F.when(F.contains(known, ones(min(widths))), F.concat(*(found(t, known, w) for w in widths))).otherwise(empty))
+            return F.concat(*(found(t, None, w, None) for w in widths))
+        # each table is bound once a row: a column's bytes would be copied for every token
+        return _let(F.col("_vocabulary"), lambda vocabulary: _let(_known(t, vocabulary), lambda known: F.when(
+            F.contains(known, ones(min(widths))),
+            _let(F.col("_templates"), lambda marks: F.concat(*(found(t, known, w, marks) for w in widths)))).otherwise(empty)))
 
+    df = df if asked is None else asked.beside(df.select(*keep, "text"))
     return (df.select(*keep, F.explode(_let(tokens(F.col("text")), windows)).alias("w"))
             .select(*keep, "w.n_tokens", "w.at", "w.width", "w.named", "w.template", "w.slots"))
 
