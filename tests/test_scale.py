@@ -12,7 +12,7 @@ from tidemark.operators.calendar import copy_report, gap_summary
 from tidemark.operators.latest import first_ranked
 from tidemark.operators.shape import ordered_scan
 from tidemark.plans.cross_channel import email_items
-from tidemark.registry import copies, raw
+from tidemark.registry import copies, models, raw
 from tidemark.session import stored
 from tidemark.sources import tables
 
@@ -66,6 +66,16 @@ def test_hot_key_of_the_sync(frame):
     assert after.count() == 300 - 199 - 50 + 349 and after.agg(F.count_distinct("id")).first()[0] == after.count()
 
 
+def test_whole_sync_builds_each_model_once(spark, monkeypatch):
+    built = []
+    for name in ("social_posts", "breakdown_365d"):
+        monkeypatch.setattr(models, name, lambda *a, f=getattr(models, name), n=name: (built.append(n), f(*a))[1])
+    got = {(r.copy, r.run): r for r in copies.end_to_end_sync(spark, "/root/testdata/sf0.001").collect()}
+    assert sorted(built) == ["breakdown_365d", "social_posts"]
+    assert sorted(got) == [("dashboard", 1), ("dashboard", 2), ("social", 1), ("social", 2), ("web", 1)]
+    assert all(r.rows_read == r.created > 0 for (_, run), r in got.items() if run == 1)
+
+
 def test_only_copies_are_compared(frame):
     target = frame([("a", 1, "k", "x"), ("b", 2, "K ", "x"), ("c", 3, "k", "y"), ("d", 4, "alone", "z"), ("e", 5, "k", "y")],
                    "id string, seq bigint, name string, v string")

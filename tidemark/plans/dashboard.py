@@ -97,12 +97,13 @@ def dashboard_records(items: DataFrame, as_of: date | str | Column) -> DataFrame
 
 @dataclass(frozen=True)
 class SyncResult:
-    """Lazy results of a sync: the plan, the new target snapshot, one row of counts."""
+    """Lazy results of a sync: the plan, the new target snapshot, one row of counts, the numbered records."""
 
     plan: DataFrame | None
     snapshot: DataFrame
     stats: DataFrame
     dropped: tuple[str, ...] = ()
+    records: DataFrame | None = None
 
 
 def sync_records(records: DataFrame, target: DataFrame, keys: Sequence[str],
@@ -118,7 +119,7 @@ def sync_records(records: DataFrame, target: DataFrame, keys: Sequence[str],
     # stored: applying and counting read the decisions, they do not make them again
     plan = stored(upsert_plan(fitted, target, keys, source_order), "plan")
     return SyncResult(plan, apply_plan(target, plan, prune, dedupe, run_id, source_order),
-                      sync_stats(plan, prune, dedupe), tuple(dropped))
+                      sync_stats(plan, prune, dedupe), tuple(dropped), records)
 
 
 def ordered(df: DataFrame, order_by: Sequence[str],
@@ -133,21 +134,29 @@ def ordered(df: DataFrame, order_by: Sequence[str],
 
 
 def sync_dashboard(items: DataFrame, target: DataFrame, schema: Sequence[SinkField],
-                   as_of: date | str | Column, days: int = DAYS_BACK, **options) -> SyncResult:
-    """Recent cross-channel items to the dashboard copy, stale records pruned."""
-    recent = rolling_window(items, "date", days, as_of)
-    records = ordered(dashboard_records(recent, as_of), DASHBOARD_KEYS)
+                   as_of: date | str | Column, days: int = DAYS_BACK, records: DataFrame | None = None, **options) -> SyncResult:
+    """Recent cross-channel items to the dashboard copy, stale records pruned.
+
+    ``records`` are those that an earlier sync of the same items, day and window has numbered.
+    """
+    if records is None:
+        recent = rolling_window(items, "date", days, as_of)
+        records = ordered(dashboard_records(recent, as_of), DASHBOARD_KEYS)
     return sync_records(records, target, DASHBOARD_KEYS, schema, prune=True,
                         **{"add_numbers": ADDED_NUMBERS, **options})
 
 
 def sync_social(posts: DataFrame, target: DataFrame, schema: Sequence[SinkField],
-                as_of: date | str | Column, days: int = DAYS_BACK, **options) -> SyncResult:
-    """Recent posts to the social copy, keyed by platform and post."""
-    recent = rolling_window(posts, "date", days, as_of)
-    texts = {f.name: iso_text(F.col(f.name), f.dataType.simpleString())
-             for f in recent.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType))}
-    records = ordered(recent.withColumns(texts), SOCIAL_KEYS)
+                as_of: date | str | Column, days: int = DAYS_BACK, records: DataFrame | None = None, **options) -> SyncResult:
+    """Recent posts to the social copy, keyed by platform and post.
+
+    ``records`` are those that an earlier sync of the same posts, day and window has numbered.
+    """
+    if records is None:
+        recent = rolling_window(posts, "date", days, as_of)
+        texts = {f.name: iso_text(F.col(f.name), f.dataType.simpleString())
+                 for f in recent.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType))}
+        records = ordered(recent.withColumns(texts), SOCIAL_KEYS)
     return sync_records(records, target, SOCIAL_KEYS, schema, prune=True, **options)
 
 

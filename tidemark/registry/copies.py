@@ -243,9 +243,10 @@ def _empty(spark, df: DataFrame) -> DataFrame:
 
 def _two_runs(name: str, first: DataFrame, run) -> DataFrame:
     """Sync into an empty copy, then again: what has a key of its own is skipped the
-    second time; of records that repeat a key the first meets the last, the others are created again."""
-    one = run(first, "first")
-    again = run(sync.fetched(stored(one.snapshot, "snapshot")), "second")
+    second time; of records that repeat a key the first meets the last, the others are created again.
+    Both runs read the records that the first one has numbered and stored."""
+    one = run(first, "first", None)
+    again = run(sync.fetched(stored(one.snapshot, "snapshot")), "second", one.records)
     parts = [r.stats.select(F.lit(name).alias("copy"), F.lit(i).alias("run"), "*")
              for i, r in ((1, one), (2, again))]
     return parts[0].unionByName(parts[1])
@@ -286,24 +287,25 @@ _SOCIAL_RUNS = _two_runs_sql("social", f"SELECT * FROM ({models.POSTS}) WHERE {_
 
 def _dashboard_runs(items: DataFrame) -> DataFrame:
     mapped = dashboard.dashboard_records(items, _AS_OF)
-    return _two_runs("dashboard", _empty(items.sparkSession, mapped), lambda target, run: dashboard.sync_dashboard(
-        items, target, sink_of(mapped), _AS_OF, run_id=run))
+    return _two_runs("dashboard", _empty(items.sparkSession, mapped), lambda target, run, records: dashboard.sync_dashboard(
+        items, target, sink_of(mapped), _AS_OF, records=records, run_id=run))
 
 
 def _social_runs(posts: DataFrame) -> DataFrame:
     texts = posts.withColumns({c: F.col(c).cast("string") for c in ("date", "post_created_at")})
-    return _two_runs("social", _empty(posts.sparkSession, texts), lambda target, run: dashboard.sync_social(
-        posts, target, sink_of(texts), _AS_OF, run_id=run))
+    return _two_runs("social", _empty(posts.sparkSession, texts), lambda target, run, records: dashboard.sync_social(
+        posts, target, sink_of(texts), _AS_OF, records=records, run_id=run))
 
 
 @query("end_to_end_sync", f"""{_DASHBOARD_RUNS} UNION ALL {_SOCIAL_RUNS} UNION ALL
 SELECT 'web', 1, count(*), count(*), 0, 0, 0, count(*) FROM ({models.BREAKDOWN})""")
 def end_to_end_sync(spark, d):
     """Dashboard, social and web copies from empty: counts of a first and a second run."""
-    # table models: built once, then read by the syncs
-    dash = _dashboard_runs(stored(models.all_items(spark, d), "items"))
-    soc = _social_runs(stored(models.social_posts(spark, d), "posts"))
+    # table models: built once, then read by the items and the syncs
+    posts = stored(models.social_posts(spark, d), "posts")
     breakdown = stored(models.breakdown_365d(spark, d), "breakdown")
+    dash = _dashboard_runs(stored(models.items_of(spark, d, posts, breakdown), "items"))
+    soc = _social_runs(posts)
     web = dashboard.sync_web(breakdown, breakdown).stats.select(
         F.lit("web").alias("copy"), F.lit(1).alias("run"), "rows_read", "created",
         F.lit(0).cast("bigint").alias("updated"), F.lit(0).cast("bigint").alias("skipped"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as q
@@ -360,9 +360,14 @@ ITEMS = "\nUNION ALL\n".join([_SOCIAL_ITEMS, _WEB_ITEMS, _EMAIL_ITEMS, _FORM_ITE
 
 
 def all_items(spark, d):
+    return items_of(spark, d, social_posts(spark, d), breakdown_365d(spark, d))
+
+
+def items_of(spark, d, posts: DataFrame, breakdown: DataFrame) -> DataFrame:
+    """Items of all channels, from posts and a web breakdown that are there already."""
     return cross_channel.cross_channel_items(
-        cross_channel.social_items(social_posts(spark, d)),
-        cross_channel.web_items(breakdown_365d(spark, d), SITE_URL),
+        cross_channel.social_items(posts),
+        cross_channel.web_items(breakdown, SITE_URL),
         cross_channel.email_items(raw.emails(spark, d)),
         cross_channel.form_items(raw.forms(spark, d)))
 
